@@ -30,9 +30,12 @@ TARGET_FILE_BYTES = 256 * 1024**2
 SMALL_FILE_SHARE = 0.25
 # A clustered folder of this size is final: later runs cluster new data beside it.
 SETTLED_BYTES = 100 * 1024**3
+# One clustering job shuffles at most about this much.
+JOB_BYTES = 1024**4
 # Rows that reach the driver, on average, to find the range edges of a clustering.
 SAMPLE_ROWS = 50_000
 EDGE_TEXT_LENGTH = 64
+MAX_LEVEL_BITS = 6
 MAX_CELL_BITS = 14
 SALT_STEPS = 1 << 20
 
@@ -58,21 +61,22 @@ def compact(store: TableStore, table: str, target_file_bytes: int = TARGET_FILE_
     if sum(f.files for f in small) <= wanted:
         return snapshot.version
     packed = store.read_snapshot(snapshot, small).coalesce(wanted)
-    return store.rewrite(packed, snapshot, small)
+    return store.rewrite([packed], snapshot, small)
 
 
 # ---- clustering ----------------------------------------------------------------------------------
 
 
 def _sort_key(df: DataFrame, name: str) -> Column:
-    """A double or a string that sorts like the column."""
-    data_type = df.select(quoted(name)).schema[0].dataType
+    """A double or a string that sorts like the column, never NULL (short code for comparisons)."""
+    column = quoted(name)
+    data_type = df.select(column).schema[0].dataType
     if isinstance(data_type, StringType):
-        return quoted(name)
+        return F.coalesce(column, F.lit(""))
     if isinstance(data_type, (DateType, TimestampType, TimestampNTZType)):
-        return quoted(name).cast("timestamp").cast("double")
-    if isinstance(data_type, (NumericType, BooleanType)):
-        return quoted(name).cast("double")
+        column = column.cast("timestamp")
+    if isinstance(data_type, (DateType, TimestampType, TimestampNTZType, NumericType, BooleanType)):
+        return F.coalesce(column.cast("double"), F.lit(float("-inf")))
     raise TypeError(f"cannot cluster by {name} of type {data_type.simpleString()}")
 
 
@@ -85,44 +89,49 @@ def _edges(values: np.ndarray, levels: int) -> list:
     return sorted(set(picks.tolist()) - {ordered[0]})
 
 
-def _interleave(level_bits: list, bits: int):
-    """Bits of several level numbers, the highest of each first, as one number."""
-    z = None
+def _interleave(levels: list, bits: int):
+    """The bits of several level numbers, the highest of each first, as one cell number.
+
+    Works on columns and on arrays alike.
+    """
+    cell = None
     for bit in reversed(range(bits)):
-        for pick in level_bits:
-            z = pick(bit) if z is None else z * 2 + pick(bit)
-    return z
+        for level in levels:
+            if isinstance(level, Column):
+                digit = F.shiftright(level, bit).bitwiseAND(F.lit(1))
+            else:
+                digit = (level >> bit) & 1
+            cell = digit if cell is None else cell * 2 + digit
+    return cell
 
 
-def _rescale(count: int, bits: int) -> float:
-    """Stretches 0..count to the full range of levels, so a column with few values keeps its weight."""
+def _stretch(count: int, bits: int) -> float:
+    """Maps 0..count to the full range of levels, so a column with few values keeps its weight."""
     return ((1 << bits) - 1) / count if count else 0.0
 
 
-def _level_column(key: Column, cuts: list, bits: int) -> Column:
-    passed = F.lit(0)
-    for cut in cuts:
-        passed = passed + (key >= F.lit(cut)).cast("int")
-    return F.floor(F.coalesce(passed, F.lit(0)) * F.lit(_rescale(len(cuts), bits))).cast("int")
+def _levels(keys: np.ndarray, cuts: list, bits: int) -> np.ndarray:
+    passed = np.searchsorted(np.array(cuts, dtype=keys.dtype), keys, side="right")
+    return np.floor(passed * _stretch(len(cuts), bits)).astype(np.int64)
 
 
-def _cell_column(levels: list[str], bits: int) -> Column:
-    picks = [
-        lambda bit, name=name: F.shiftright(F.col(name), bit).bitwiseAND(F.lit(1)) for name in levels
-    ]
-    return _interleave(picks, bits)
+def _literal(value: float | str) -> str:
+    if isinstance(value, str):
+        return f"CAST(X'{value.encode().hex()}' AS STRING)"
+    return f"DOUBLE('{value}')"
 
 
-def _z_values(columns: list[np.ndarray], known: list[np.ndarray], edges: list[list], bits: int) -> np.ndarray:
-    """The same numbers as ``_cell_column`` gives, for the sampled rows."""
-    picks = []
-    for values, present, cuts in zip(columns, known, edges):
-        passed = np.zeros(len(values), dtype=np.int64)
-        if cuts:
-            passed[present] = np.searchsorted(np.array(cuts, dtype=values.dtype), values[present], "right")
-        level = np.floor(passed * _rescale(len(cuts), bits)).astype(np.int64)
-        picks.append(lambda bit, level=level: (level >> bit) & 1)
-    return _interleave(picks, bits)
+def _level_column(key: str, cuts: list, bits: int) -> Column:
+    """How many edges a key has reached, stretched to the full range of levels, as ``_levels`` does.
+
+    One comparison per edge, all of them in generated code. SQL text spares a call per edge.
+    """
+    passed = " + ".join(f"INT({key} >= {_literal(cut)})" for cut in cuts) or "0"
+    return F.expr(f"INT(FLOOR(({passed}) * {_stretch(len(cuts), bits)}D))")
+
+
+def _double_array(values: np.ndarray) -> Column:
+    return F.expr("array(" + ",".join(f"{value:.9f}D" for value in values) + ")")
 
 
 def cluster(df: DataFrame, columns: Sequence[str], files: int, rows: int) -> DataFrame:
@@ -132,53 +141,46 @@ def cluster(df: DataFrame, columns: Sequence[str], files: int, rows: int) -> Dat
     rows get a level per column, the levels' bits are interleaved into a cell number, and cells go
     to partitions by their share of the sample. A cell that is worth several partitions, such as one
     value in a third of the rows, is spread over them by row position. There is one shuffle, without
-    the extra pass a range repartitioning makes over all columns.
+    the extra pass over all columns that a range repartitioning makes.
     """
-    if not 0 < len(columns) <= MAX_CELL_BITS:
-        raise ValueError(f"give 1 to {MAX_CELL_BITS} columns to cluster by")
-    keys = [_sort_key(df, name) for name in columns]
     if files == 1:
         return df.coalesce(1).sortWithinPartitions(*[quoted(name) for name in columns])
+    bits = min(math.ceil(math.log2(files) / len(columns)) + 2, MAX_LEVEL_BITS, MAX_CELL_BITS // len(columns))
+    keys = [f"__key{i}" for i in range(len(columns))]
+    levels = [f"__level{i}" for i in range(len(columns))]
+    position = df.metadataColumn("_metadata").getField("row_index")
+    keyed = df.select(
+        "*",
+        *[_sort_key(df, column).alias(key) for column, key in zip(columns, keys)],
+        F.pmod(F.xxhash64(position), F.lit(SALT_STEPS)).alias("__salt"),
+    )
 
-    bits = min(math.ceil(math.log2(files) / len(columns)) + 2, 6, MAX_CELL_BITS // len(columns))
-    bits = max(bits, 1)
-    short = [
-        F.substring(key, 1, EDGE_TEXT_LENGTH) if isinstance(field.dataType, StringType) else key
-        for key, field in zip(keys, df.select(*[quoted(name) for name in columns]).schema)
-    ]
+    # Edges only place rows, so the start of a long text is enough for one.
+    texts = {field.name for field in keyed.schema if isinstance(field.dataType, StringType)}
     sample = (
-        df.select(*[key.alias(f"k{i}") for i, key in enumerate(short)])
+        keyed.select(*[F.substring(k, 1, EDGE_TEXT_LENGTH).alias(k) if k in texts else F.col(k) for k in keys])
         .sample(withReplacement=False, fraction=min(1.0, SAMPLE_ROWS / max(rows, 1)), seed=42)
         .toPandas()
     )
-    values = [sample[name].to_numpy() for name in sample.columns]
-    known = [sample[name].notna().to_numpy() for name in sample.columns]
-    edges = [_edges(v[k], 1 << bits) for v, k in zip(values, known)]
-
-    cells = 1 << (bits * len(columns))
-    weight = np.bincount(_z_values(values, known, edges, bits), minlength=cells)
-    starts = np.concatenate([[0.0], np.cumsum(weight) / max(len(sample), 1)])
-    start_array = F.expr("array(" + ",".join(f"{x:.9f}D" for x in starts) + ")")
-
-    salt = F.pmod(F.xxhash64(df.metadataColumn("_metadata").getField("row_index")), F.lit(SALT_STEPS))
-    levels = [f"__level{i}" for i in range(len(columns))]
-    cell = F.col("__cell")
-    place = F.element_at(start_array, cell + 1)
-    width = F.element_at(start_array, cell + 2) - place
-    partition = F.least(
-        F.floor((place + width * F.col("__salt") / SALT_STEPS) * files), F.lit(files - 1)
-    ).cast("int")
+    values = [sample[key].to_numpy() for key in keys]
+    edges = [_edges(column, 1 << bits) for column in values]
+    cells = _interleave([_levels(column, cuts, bits) for column, cuts in zip(values, edges)], bits)
+    shares = np.bincount(cells, minlength=1 << (bits * len(columns))) / max(len(sample), 1)
+    starts = np.cumsum(shares) - shares
+
+    cell = F.col("__cell") + 1
+    place = F.element_at(_double_array(starts), cell)
+    width = F.element_at(_double_array(shares), cell)
+    spot = F.floor((place + width * F.col("__salt") / SALT_STEPS) * files)
     return (
-        df.select(
-            "*",
-            *[_level_column(k, e, bits).alias(name) for k, e, name in zip(keys, edges, levels)],
-            salt.alias("__salt"),
+        keyed.withColumns(
+            {name: _level_column(k, cuts, bits) for name, k, cuts in zip(levels, keys, edges)}
         )
-        .withColumn("__cell", _cell_column(levels, bits))
-        .withColumn("__partition", partition)
+        .withColumn("__cell", _interleave([F.col(name) for name in levels], bits))
+        .withColumn("__partition", F.least(spot, F.lit(files - 1)).cast("int"))
         .repartitionById(files, F.col("__partition"))
         .sortWithinPartitions("__cell", *[quoted(name) for name in columns])
-        .drop("__cell", "__salt", "__partition", *levels)
+        .drop("__cell", "__salt", "__partition", *keys, *levels)
     )
 
 
@@ -188,20 +190,33 @@ def zorder(
     columns: Sequence[str],
     target_file_bytes: int = TARGET_FILE_BYTES,
     settled_bytes: int = SETTLED_BYTES,
+    job_bytes: int = JOB_BYTES,
 ) -> int:
     """Cluster the latest version by several columns; returns the version to read from now on.
 
     Folders that an earlier run clustered by the same columns stay once they have grown to
-    ``settled_bytes``. No new version is made if all data is clustered already.
+    ``settled_bytes``. More than ``job_bytes`` are clustered as several groups of files, one job
+    each, so that no shuffle has to hold the whole table. No new version is made if all data is
+    clustered already.
     """
+    if not 0 < len(columns) <= MAX_CELL_BITS:
+        raise ValueError(f"give 1 to {MAX_CELL_BITS} columns to cluster by")
     snapshot = store.snapshot(table)
     by = tuple(columns)
     stale = [f for f in snapshot.folders if f.clustered_by != by or f.bytes < settled_bytes]
     if not stale or (len(stale) == 1 and stale[0].clustered_by == by):
         return snapshot.version
-    files = _file_count(sum(f.bytes for f in stale), target_file_bytes)
-    clustered = cluster(store.read_snapshot(snapshot, stale), columns, files, sum(f.rows for f in stale))
-    return store.rewrite(clustered, snapshot, stale, clustered_by=by)
+    size, rows = sum(f.bytes for f in stale), sum(f.rows for f in stale)
+    groups = max(1, math.ceil(size / job_bytes))
+    files = max(1, math.ceil(size / groups / target_file_bytes))
+    scan = store.read_snapshot(snapshot, stale)
+    # The hash is constant within a file, so a group's scan leaves the other files out.
+    group = F.pmod(F.xxhash64(scan.metadataColumn("_metadata").getField("file_path")), F.lit(groups))
+    parts = [
+        cluster(scan.where(group == i) if groups > 1 else scan, columns, files, rows // groups)
+        for i in range(groups)
+    ]
+    return store.rewrite(parts, snapshot, stale, clustered_by=by)
 
 
 # ---- report --------------------------------------------------------------------------------------

@@ -112,8 +112,8 @@ class TableStore:
     def snapshot(self, table: str, version: int | None = None) -> Snapshot:
         """Folders and schema of a version (the latest by default).
 
-        Only the few columns of the history that describe folders reach the driver: one short row
-        per commit. Schemas are stored only where they changed.
+        Only the columns of the history that describe folders reach the driver: one short row per
+        commit. Schemas are stored only where they changed.
         """
         history = self.history(table)
         if version is not None:
@@ -173,35 +173,37 @@ class TableStore:
     def append(self, df: DataFrame, table: str) -> int:
         """Add rows as a new version. New columns join the table; a changed type is an error."""
         current = self._current(table)
-        return self._commit(df, current, "APPEND", base=max(current.base, 0))
+        return self._commit([df], current, "APPEND", base=max(current.base, 0))
 
     def overwrite(self, df: DataFrame, table: str, replace_schema: bool = False) -> int:
         """Replace all rows as a new version. Columns are merged unless the schema is replaced too."""
         current = self._current(table)
         return self._commit(
-            df, current, "OVERWRITE", base=current.version + 1, replace_schema=replace_schema
+            [df], current, "OVERWRITE", base=current.version + 1, replace_schema=replace_schema
         )
 
     def rewrite(
         self,
-        df: DataFrame,
+        parts: Sequence[DataFrame],
         snapshot: Snapshot,
         replaced: Sequence[Folder],
         clustered_by: Sequence[str] = (),
     ) -> int:
-        """Put other files with the same rows in the place of some folders of the latest version."""
+        """Put other files with the same rows in the place of some folders of the latest version.
+
+        The parts are written one after another and become visible together. The version is only
+        published if they have as many rows as the folders they replace.
+        """
         return self._commit(
-            df, snapshot, "OPTIMIZE", base=snapshot.base, replaced=replaced, clustered_by=clustered_by
+            parts, snapshot, "OPTIMIZE", base=snapshot.base, replaced=replaced, clustered_by=clustered_by
         )
 
     def _current(self, table: str) -> Snapshot:
-        if self.latest_version(table) == MISSING:
-            return Snapshot(table, MISSING, MISSING, None)
-        return self.snapshot(table)
+        return self.snapshot(table) if self.exists(table) else Snapshot(table, MISSING, MISSING, None)
 
     def _commit(
         self,
-        df: DataFrame,
+        parts: Sequence[DataFrame],
         current: Snapshot,
         operation: str,
         base: int,
@@ -209,18 +211,22 @@ class TableStore:
         replaced: Sequence[Folder] = (),
         clustered_by: Sequence[str] = (),
     ) -> int:
-        schema = nullable(df.schema)
+        schema = nullable(parts[0].schema)
         if current.schema is not None and not replace_schema:
             schema = merge_types(current.schema, schema)
         version = current.version + 1
         name = uuid.uuid4().hex
         folder = self._folder(current.table, "data", name)
 
-        # The row count is taken in the write job itself, in its last stage.
-        counted = Observation()
-        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
-        rows = counted.get["rows"]
+        rows = 0
+        for part in parts:
+            # The row count is taken in the write job itself, in its last stage.
+            counted = Observation()
+            part.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(folder)
+            rows += counted.get["rows"]
         files, size = folder_size(self.spark, folder)
+        if replaced and rows != sum(f.rows for f in replaced):
+            raise RuntimeError(f"rewriting {current.table} gave {rows} rows, so it was not published")
 
         metrics = {"numFiles": files, "numOutputRows": rows, "numOutputBytes": size}
         gone = list(current.folders) if operation == "OVERWRITE" else list(replaced)
