@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Iterable, Mapping
 from typing import NamedTuple
 
@@ -38,6 +39,15 @@ def usable_rules(rules: Iterable[Mapping[str, str]] | None) -> list[Rule]:
     return usable
 
 
+def tests_membership(rule: Rule) -> bool:
+    """Whether the condition looks like it holds ``IN (<subquery>)``.
+
+    Spark gives NULL for an unknown membership in a filter, but false in a projection.
+    """
+    pattern = r"\bin\b[^)]*?\b(select|from|table|values|with)\b"
+    return re.search(pattern, rule.condition, re.IGNORECASE | re.DOTALL) is not None
+
+
 def quoted(name: str) -> Column:
     """A top-level column by its exact name, also when the name holds dots or back-quotes."""
     return F.col("`" + name.replace("`", "``") + "`")

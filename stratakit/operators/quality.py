@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from datetime import datetime
+from functools import reduce
 from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratakit.functions.rules import Rule, breaks, percentage, usable_rules
+from stratakit.functions.rules import Rule, breaks, percentage, tests_membership, usable_rules
 from stratakit.operators.sampling import SAMPLE_LIMIT, SAMPLE_RATIO, sample_bernoulli
 
 HIGH_NULL_PERCENT = 5
@@ -56,22 +57,49 @@ def _totals(df: DataFrame, rules: list[Rule], nulls: bool) -> DataFrame:
     return frame.agg(F.count(F.lit(1)).alias("n"), *counts)
 
 
+def _membership_totals(df: DataFrame, rule: Rule) -> DataFrame:
+    """The same row as ``_totals`` for one rule with ``IN (<subquery>)``, which only filters treat right."""
+    seen = (
+        df.select(F.lit("row").alias("kind"))
+        .unionAll(df.where(breaks(rule.condition)).select(F.lit("failing")))
+        .unionAll(df.where(F.expr(rule.condition)).select(F.lit("passing")))
+    )
+    n, failing, passing = (F.count_if(F.col("kind") == k) for k in ("row", "failing", "passing"))
+    return seen.agg(n.alias("n"), failing.alias("f0"), (n - failing - passing).alias("f1"))
+
+
 def _count(
     df: DataFrame, rules: list[Rule], nulls: bool, sample_ratio: float | None, limit: int | None
 ) -> Counts:
     sampled = df if sample_ratio is None else sample_bernoulli(df, sample_ratio)
-    if sample_ratio is not None and limit is not None and limit <= TAKE_AT_MOST:
+    capped = sample_ratio is not None and limit is not None
+    width = len(df.columns) if nulls else 0
+    end = width + len(rules)
+
+    if capped and limit <= TAKE_AT_MOST and not any(map(tests_membership, rules)):
         frame, flags = _flags(sampled, rules, nulls)
         rows = frame.select(*[flag.alias(f"f{i}") for i, flag in enumerate(flags)]).take(limit)
-        size = len(rows)
         counts = [sum(1 for row in rows if row[i]) for i in range(len(flags))]
-    else:
-        if sample_ratio is not None and limit is not None:
-            sampled = sampled.limit(limit)
-        size, *counts = _totals(sampled, rules, nulls).first()
-    width = len(df.columns) if nulls else 0
-    end = width + len(rules)
-    return Counts(size, counts[:width], counts[width:end], counts[end:])
+        return Counts(len(rows), counts[:width], counts[width:end], counts[end:])
+
+    if capped:
+        sampled = sampled.limit(limit)
+    plain = [rule for rule in rules if not tests_membership(rule)]
+    reused = capped and len(plain) < len(rules)
+    if reused:
+        sampled.persist()
+    try:
+        size, *counts = _totals(sampled, plain, nulls).first()
+        split = width + len(plain)
+        failing = dict(zip(plain, counts[width:split]))
+        unknown = dict(zip(plain, counts[split:]))
+        for rule in rules:
+            if rule not in failing:
+                _, failing[rule], unknown[rule] = _membership_totals(sampled, rule).first()
+    finally:
+        if reused:
+            sampled.unpersist()
+    return Counts(size, counts[:width], [failing[r] for r in rules], [unknown[r] for r in rules])
 
 
 # ---- DataFrame reports ---------------------------------------------------------------------------
@@ -97,6 +125,20 @@ def high_null_columns(profile: DataFrame, threshold: float = HIGH_NULL_PERCENT)
     return profile.where(F.col("null_pct") > threshold)
 
 
+def _rule_rows(totals: DataFrame, rules: list[Rule]) -> DataFrame:
+    entries = [
+        F.struct(
+            F.lit(rule.name).alias("rule_name"),
+            F.lit(rule.description).alias("description"),
+            F.col("n").alias("sample_size"),
+            F.col(f"f{i}").alias("failing_count"),
+            F.col(f"f{i + len(rules)}").alias("unknown_count"),
+        )
+        for i, rule in enumerate(rules)
+    ]
+    return totals.select(F.inline(F.array(*entries)))
+
+
 def rule_report(df: DataFrame, rules: Rules) -> DataFrame:
     """One row per rule. Rows whose condition is NULL pass, and are counted apart as unknown."""
     usable = usable_rules(rules)
@@ -106,17 +148,12 @@ def rule_report(df: DataFrame, rules: Rules) -> DataFrame:
             "rule_name string, description string, sample_size long, failing_count long,"
             " unknown_count long, failing_pct double, passed boolean",
         )
-    entries = [
-        F.struct(
-            F.lit(rule.name).alias("rule_name"),
-            F.lit(rule.description).alias("description"),
-            F.col("n").alias("sample_size"),
-            F.col(f"f{i}").alias("failing_count"),
-            F.col(f"f{i + len(usable)}").alias("unknown_count"),
-        )
-        for i, rule in enumerate(usable)
+    plain = [rule for rule in usable if not tests_membership(rule)]
+    reports = [_rule_rows(_totals(df, plain, nulls=False), plain)] if plain else []
+    reports += [
+        _rule_rows(_membership_totals(df, rule), [rule]) for rule in usable if tests_membership(rule)
     ]
-    report = _totals(df, usable, nulls=False).select(F.inline(F.array(*entries)))
+    report = reduce(DataFrame.unionAll, reports)
     return report.withColumns(
         {
             "failing_pct": percentage(F.col("failing_count"), F.col("sample_size")),

@@ -79,8 +79,8 @@ def _publish(
     if mode == "write":
         before = store.latest_version(table)
         write()
-        metrics = [row["operationMetrics"] for row in store.write_metrics(table, before).collect()]
         snapshot = store.snapshot(table)
+        metrics = [snapshot.metrics[v] for v in sorted(snapshot.metrics) if v > before]
         df, version, row_count = store.read_snapshot(snapshot), snapshot.version, snapshot.rows
     else:
         df, version, row_count, metrics = preview(), None, None, []

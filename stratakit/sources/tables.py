@@ -57,7 +57,8 @@ class Snapshot:
     version: int
     base: int
     schema: StructType | None
-    folders: tuple[Folder, ...] = field(default=())
+    folders: tuple[Folder, ...] = ()
+    metrics: dict[int, dict[str, str]] = field(default_factory=dict)
 
     @property
     def rows(self) -> int:
@@ -112,13 +113,12 @@ class TableStore:
     def snapshot(self, table: str, version: int | None = None) -> Snapshot:
         """Folders and schema of a version (the latest by default).
 
-        Only the columns of the history that describe folders reach the driver: one short row per
-        commit. Schemas are stored only where they changed.
+        The history reaches the driver: one short row per commit, with a schema only where it changed.
         """
         history = self.history(table)
         if version is not None:
             history = history.where(F.col("version") <= version)
-        rows = history.select("version", "base", "added", "removed", "schema_json").collect()
+        rows = history.drop("timestamp", "operation").collect()
         rows.sort(key=lambda row: row["version"])
         versions = [row["version"] for row in rows]
         if len(set(versions)) < len(versions):
@@ -143,7 +143,8 @@ class TableStore:
                 tuple(added["clustered_by"] or ()),
             )
         schema = StructType.fromJson(json.loads(schema_json))
-        return Snapshot(table, head["version"], head["base"], schema, tuple(live.values()))
+        metrics = {row["version"]: row["operationMetrics"] for row in rows}
+        return Snapshot(table, head["version"], head["base"], schema, tuple(live.values()), metrics)
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
         """A version of a table, the latest by default. Version 0 is a version like any other."""
