@@ -385,7 +385,9 @@ def _pipeline(spark, sf_dir):
 
 
 def stage_metrics(spark, sf_dir):
-    return sk.stage_metrics(spark, _pipeline(spark, sf_dir)[1]).drop("pipeline_id")
+    stages = sk.stage_metrics(spark, _pipeline(spark, sf_dir)[1])
+    timed = (F.col("duration_seconds") > 0).alias("is_timed")
+    return stages.select("position", "stage", "status", timed)
 
 
 def full_pipeline(spark, sf_dir):
@@ -461,6 +463,9 @@ _RULES = " UNION ALL ".join(
 )
 
 
+_STAGES = ("bronze", "bronze_optimize", "silver", "silver_optimize", "gold", "gold_optimize")
+
+
 def oracle_sql() -> dict[str, str]:
     orders, lineitem = "SELECT * FROM orders", "SELECT * FROM lineitem"
     return {
@@ -538,4 +543,20 @@ def oracle_sql() -> dict[str, str]:
             SELECT {_MONTHS} AS month_count, {_COUNT_SILVER} AS order_count, 0::BIGINT AS tables_written
         """,
         "full_pipeline": _MONTHLY,
+        "stage_metrics": " UNION ALL ".join(
+            f"SELECT {i}::INTEGER AS position, '{stage}' AS stage, 'success' AS status, true AS is_timed"
+            for i, stage in enumerate(_STAGES)
+        ),
+        "schema_profile": """
+            SELECT (row_number() OVER () - 1)::INTEGER AS position, column_name,
+                   CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+                        WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS data_type,
+                   true AS nullable
+            FROM (DESCRIBE lineitem)
+        """,
+        # The table is smaller than one file of the target size.
+        "optimize_report": """
+            SELECT 'lineitem' AS table_name, 40::BIGINT AS files_before, 1::BIGINT AS files_after
+            FROM lineitem LIMIT 1
+        """,
     }

@@ -23,7 +23,7 @@ from pyspark.sql.types import (
 )
 
 from stratakit.functions.rules import quoted
-from stratakit.sources.tables import TableStore
+from stratakit.sources.tables import Snapshot, TableStore
 
 TARGET_FILE_BYTES = 256 * 1024**2
 # A folder needs compaction if its files are on average smaller than this part of the target.
@@ -53,10 +53,12 @@ def compact(store: TableStore, table: str, target_file_bytes: int = TARGET_FILE_
     There is no shuffle: the scan packs small files into its partitions, and ``coalesce`` joins
     those up to the target size. No new version is made if there is nothing to gain.
     """
-    snapshot = store.snapshot(table)
-    small = [
-        f for f in snapshot.folders if f.files and f.bytes / f.files < target_file_bytes * SMALL_FILE_SHARE
-    ]
+    return _compact(store, store.snapshot(table), target_file_bytes)
+
+
+def _compact(store: TableStore, snapshot: Snapshot, target_file_bytes: int) -> int:
+    small_bytes = target_file_bytes * SMALL_FILE_SHARE
+    small = [f for f in snapshot.folders if f.files and f.bytes / f.files < small_bytes]
     wanted = _file_count(sum(f.bytes for f in small), target_file_bytes)
     if sum(f.files for f in small) <= wanted:
         return snapshot.version
@@ -81,10 +83,13 @@ def _sort_key(df: DataFrame, name: str) -> Column:
 
 
 def _edges(values: np.ndarray, levels: int) -> list:
-    """Distinct quantiles of the values, without their minimum: at most ``levels`` - 1 of them."""
-    if len(values) == 0:
+    """Distinct quantiles of the values, without their minimum: at most ``levels`` - 1 of them.
+
+    NaN is no edge: it sorts above all other values and so passes every edge by itself.
+    """
+    ordered = np.sort(values[values == values])
+    if len(ordered) == 0:
         return []
-    ordered = np.sort(values)
     picks = ordered[np.arange(1, levels) * len(ordered) // levels]
     return sorted(set(picks.tolist()) - {ordered[0]})
 
@@ -199,16 +204,26 @@ def zorder(
     each, so that no shuffle has to hold the whole table. No new version is made if all data is
     clustered already.
     """
+    return _zorder(store, store.snapshot(table), columns, target_file_bytes, settled_bytes, job_bytes)
+
+
+def _zorder(
+    store: TableStore,
+    snapshot: Snapshot,
+    columns: Sequence[str],
+    target_file_bytes: int,
+    settled_bytes: int = SETTLED_BYTES,
+    job_bytes: int = JOB_BYTES,
+) -> int:
     if not 0 < len(columns) <= MAX_CELL_BITS:
         raise ValueError(f"give 1 to {MAX_CELL_BITS} columns to cluster by")
-    snapshot = store.snapshot(table)
     by = tuple(columns)
     stale = [f for f in snapshot.folders if f.clustered_by != by or f.bytes < settled_bytes]
     if not stale or (len(stale) == 1 and stale[0].clustered_by == by):
         return snapshot.version
     size, rows = sum(f.bytes for f in stale), sum(f.rows for f in stale)
     groups = max(1, math.ceil(size / job_bytes))
-    files = max(1, math.ceil(size / groups / target_file_bytes))
+    files = _file_count(size // groups, target_file_bytes)
     scan = store.read_snapshot(snapshot, stale)
     # The hash is constant within a file, so a group's scan leaves the other files out.
     group = F.pmod(F.xxhash64(scan.metadataColumn("_metadata").getField("file_path")), F.lit(groups))
@@ -231,9 +246,9 @@ def optimize_table(
     """Compact a table, or cluster it if columns are given, and report the files before and after."""
     before = store.snapshot(table)
     if zorder_columns:
-        version = zorder(store, table, zorder_columns, target_file_bytes)
+        version = _zorder(store, before, zorder_columns, target_file_bytes)
     else:
-        version = compact(store, table, target_file_bytes)
+        version = _compact(store, before, target_file_bytes)
     after = before if version == before.version else store.snapshot(table, version)
     return {
         "table": table,

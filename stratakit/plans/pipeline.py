@@ -60,7 +60,7 @@ def run_pipeline(
     bronze_validation_rules: Rules = None,
     silver_validation_rules: Rules = None,
     gold_validation_rules: Rules | Mapping[str, Rules] = None,
-    pipeline_name: str = "DE_Pipeline",
+    pipeline_name: str = "pipeline",
     silver_zorder_columns: Sequence[str] | None = None,
     sample_ratio: float | None = SAMPLE_RATIO,
     limit_sample_size: int | None = SAMPLE_LIMIT,
