@@ -2,13 +2,16 @@
 
 Layout below the store's root folder::
 
-    tables/<name>/data/<random id>/part-*.parquet   rows of one write
-    tables/<name>/history/part-*.txt                one JSON line per version
+    tables/<name>/data/<random id>/part-*.parquet          rows of one write
+    tables/<name>/history/section=<n>/part-*.txt           one JSON line per version
 
 Data is written first and the history line last, so a write that dies half-way leaves a folder that
-no version names. A version's folders are those added from its ``base`` (the last overwrite) on,
-without the ones a later rewrite replaced. Old versions therefore stay readable. A table has one
-writer at a time; readers need no coordination.
+no version names. A version consists of the folders added up to it, without those that an overwrite
+or a rewrite replaced. Old versions therefore stay readable. A table has one writer at a time;
+readers need no coordination.
+
+A section holds the lines of ``SECTION`` versions. Its first line lists all folders of its version,
+so finding a version's folders takes one section, however long the history is.
 """
 
 from __future__ import annotations
@@ -16,22 +19,23 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stratakit.functions.schemas import merge_types, nullable
 from stratakit.sources.storage import append_json_lines, folder_size, path_exists
 
-HISTORY_SCHEMA = """
-    version long, base long, timestamp timestamp, operation string,
-    added struct<path: string, rows: long, files: long, bytes: long, clustered_by: array<string>>,
-    removed array<string>, schema_json string, operationMetrics map<string, string>
+FOLDER_TYPE = "struct<path: string, rows: long, files: long, bytes: long, clustered_by: array<string>>"
+HISTORY_SCHEMA = f"""
+    version long, timestamp timestamp, operation string, added {FOLDER_TYPE}, removed array<string>,
+    folders array<{FOLDER_TYPE}>, schema_json string, operationMetrics map<string, string>
 """
+SECTION = 100
 MISSING = -1
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -48,6 +52,10 @@ class Folder:
     bytes: int
     clustered_by: tuple[str, ...] = ()
 
+    @classmethod
+    def from_row(cls, row: Row) -> Folder:
+        return cls(row.path, row.rows, row.files, row.bytes, tuple(row.clustered_by or ()))
+
 
 @dataclass(frozen=True)
 class Snapshot:
@@ -55,10 +63,8 @@ class Snapshot:
 
     table: str
     version: int
-    base: int
     schema: StructType | None
     folders: tuple[Folder, ...] = ()
-    metrics: dict[int, dict[str, str]] = field(default_factory=dict)
 
     @property
     def rows(self) -> int:
@@ -83,29 +89,36 @@ class TableStore:
     # ---- reading -------------------------------------------------------------------------------
 
     def exists(self, table: str) -> bool:
-        return path_exists(self.spark, self._folder(table, "history"))
+        return path_exists(self.spark, self._section(table, 0))
 
     def history(self, table: str) -> DataFrame:
         """One row per version."""
-        if not self.exists(table):
-            raise TableNotFoundError(f"table {table} does not exist in {self.root}")
-        return self.spark.read.schema(HISTORY_SCHEMA).json(self._folder(table, "history"))
+        self._require(table)
+        history = self.spark.read.schema(HISTORY_SCHEMA).json(self._folder(table, "history"))
+        return history.drop("section", "folders")
 
     def last_history(self, table: str, n: int = 1) -> DataFrame:
         return self.history(table).orderBy(F.desc("version")).limit(n)
 
     def latest_version(self, table: str) -> int:
         """The newest version, or -1 if the table is missing."""
-        if not self.exists(table):
-            return MISSING
-        newest = F.coalesce(F.max("version"), F.lit(MISSING))
-        return self.history(table).agg(newest.alias("version")).first()["version"]
+        for section in self._sections_from_last(table):
+            lines = self._read_section(table, section).coalesce(1)
+            version = lines.agg(F.max("version").alias("newest")).first()["newest"]
+            if version is not None:
+                return version
+        return MISSING
 
     def write_metrics(self, table: str, since: int = MISSING) -> DataFrame:
-        """Metrics of the writes after a version, oldest first; no rows if nothing was written."""
+        """Metrics of the writes after a version, oldest first; no rows if nothing was written.
+
+        These are a few short lines, so one task sorts them and there is no shuffle.
+        """
+        self._require(table)
+        history = self.spark.read.schema(HISTORY_SCHEMA).json(self._folder(table, "history"))
         return (
-            self.history(table)
-            .where(F.col("version") > since)
+            history.where((F.col("section") >= max(since, 0) // SECTION) & (F.col("version") > since))
+            .coalesce(1)
             .orderBy("version")
             .select("version", "operation", "operationMetrics")
         )
@@ -113,38 +126,41 @@ class TableStore:
     def snapshot(self, table: str, version: int | None = None) -> Snapshot:
         """Folders and schema of a version (the latest by default).
 
-        The history reaches the driver: one short row per commit, with a schema only where it changed.
+        One section of the history reaches the driver: a short row per commit, and the folders and
+        the schema where they are stated in full.
         """
-        history = self.history(table)
-        if version is not None:
-            history = history.where(F.col("version") <= version)
-        rows = history.drop("timestamp", "operation").collect()
-        rows.sort(key=lambda row: row["version"])
-        versions = [row["version"] for row in rows]
+        self._require(table)
+        if version is None:
+            sections = self._sections_from_last(table)
+        else:
+            sections = [version // SECTION] if version >= 0 else []
+        for section in sections:
+            if not path_exists(self.spark, self._section(table, section)):
+                continue
+            lines = self._read_section(table, section).drop("timestamp", "operationMetrics")
+            if version is not None:
+                lines = lines.where(F.col("version") <= version)
+            rows = sorted(lines.collect(), key=lambda row: row.version)
+            if rows:
+                break
+        else:
+            rows = []
+        versions = [row.version for row in rows]
         if len(set(versions)) < len(versions):
             raise RuntimeError(f"table {table} had two writers at once: {versions}")
         if not rows or (version is not None and versions[-1] != version):
             raise LookupError(f"table {table} has no version {version}")
-        head = rows[-1]
-        live: dict[str, Folder] = {}
-        schema_json = None
-        for row in rows:
-            schema_json = row["schema_json"] or schema_json
-            if row["version"] < head["base"]:
-                continue
-            for path in row["removed"] or []:
-                live.pop(path, None)
-            added = row["added"]
-            live[added["path"]] = Folder(
-                added["path"],
-                added["rows"],
-                added["files"],
-                added["bytes"],
-                tuple(added["clustered_by"] or ()),
-            )
+        live = {row.path: Folder.from_row(row) for row in rows[0].folders}
+        schema_json = rows[0].schema_json
+        for row in rows[1:]:
+            if row.operation == "OVERWRITE":
+                live.clear()
+            for path in row.removed:
+                live.pop(path)
+            live[row.added.path] = Folder.from_row(row.added)
+            schema_json = row.schema_json or schema_json
         schema = StructType.fromJson(json.loads(schema_json))
-        metrics = {row["version"]: row["operationMetrics"] for row in rows}
-        return Snapshot(table, head["version"], head["base"], schema, tuple(live.values()), metrics)
+        return Snapshot(table, versions[-1], schema, tuple(live.values()))
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
         """A version of a table, the latest by default. Version 0 is a version like any other."""
@@ -174,14 +190,12 @@ class TableStore:
     def append(self, df: DataFrame, table: str) -> int:
         """Add rows as a new version. New columns join the table; a changed type is an error."""
         current = self._current(table)
-        return self._commit([df], current, "APPEND", base=max(current.base, 0))
+        return self._commit([df], current, "APPEND")
 
     def overwrite(self, df: DataFrame, table: str, replace_schema: bool = False) -> int:
         """Replace all rows as a new version. Columns are merged unless the schema is replaced too."""
         current = self._current(table)
-        return self._commit(
-            [df], current, "OVERWRITE", base=current.version + 1, replace_schema=replace_schema
-        )
+        return self._commit([df], current, "OVERWRITE", replace_schema=replace_schema)
 
     def rewrite(
         self,
@@ -195,19 +209,16 @@ class TableStore:
         The parts are written one after another and become visible together. The version is only
         published if they have as many rows as the folders they replace.
         """
-        return self._commit(
-            parts, snapshot, "OPTIMIZE", base=snapshot.base, replaced=replaced, clustered_by=clustered_by
-        )
+        return self._commit(parts, snapshot, "OPTIMIZE", replaced=replaced, clustered_by=clustered_by)
 
     def _current(self, table: str) -> Snapshot:
-        return self.snapshot(table) if self.exists(table) else Snapshot(table, MISSING, MISSING, None)
+        return self.snapshot(table) if self.exists(table) else Snapshot(table, MISSING, None)
 
     def _commit(
         self,
         parts: Sequence[DataFrame],
         current: Snapshot,
         operation: str,
-        base: int,
         replace_schema: bool = False,
         replaced: Sequence[Folder] = (),
         clustered_by: Sequence[str] = (),
@@ -229,30 +240,54 @@ class TableStore:
         if replaced and rows != sum(f.rows for f in replaced):
             raise RuntimeError(f"rewriting {current.table} gave {rows} rows, so it was not published")
 
-        metrics = {"numFiles": files, "numOutputRows": rows, "numOutputBytes": size}
+        added = Folder(name, rows, files, size, tuple(clustered_by))
         gone = list(current.folders) if operation == "OVERWRITE" else list(replaced)
+        metrics = {"numFiles": files, "numOutputRows": rows, "numOutputBytes": size}
         if gone:
             metrics["numRemovedFiles"] = sum(f.files for f in gone)
         record = {
             "version": version,
-            "base": base,
             "timestamp": datetime.now(timezone.utc).isoformat(timespec="milliseconds"),
             "operation": operation,
-            "added": {
-                "path": name,
-                "rows": rows,
-                "files": files,
-                "bytes": size,
-                "clustered_by": list(clustered_by),
-            },
+            "added": asdict(added),
             "removed": [f.path for f in replaced],
             "operationMetrics": {key: str(value) for key, value in metrics.items()},
         }
-        if schema != current.schema:
+        if version % SECTION == 0:
+            record["folders"] = [asdict(f) for f in current.folders if f not in gone] + [asdict(added)]
+        if version % SECTION == 0 or schema != current.schema:
             record["schema_json"] = schema.json()
-        append_json_lines(self.spark, self._folder(current.table, "history"), [record])
+        append_json_lines(self.spark, self._section(current.table, version // SECTION), [record])
         return version
 
+    # ---- history files -------------------------------------------------------------------------
+
+    def _require(self, table: str) -> None:
+        if not self.exists(table):
+            raise TableNotFoundError(f"table {table} does not exist in {self.root}")
+
+    def _section(self, table: str, section: int) -> str:
+        return self._folder(table, "history", f"section={section}")
+
+    def _read_section(self, table: str, section: int) -> DataFrame:
+        return self.spark.read.schema(HISTORY_SCHEMA).json(self._section(table, section))
+
+    def _sections_from_last(self, table: str) -> Iterator[int]:
+        """Section numbers downwards. The last may be empty, if its first commit never finished."""
+
+        def there(section: int) -> bool:
+            return path_exists(self.spark, self._section(table, section))
+
+        if not there(0):
+            return
+        low, high = 0, 1
+        while there(high):
+            low, high = high, high * 2
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if there(middle) else (low, middle)
+        yield from range(low, -1, -1)
+
     def _folder(self, table: str, *parts: str) -> str:
         if not re.fullmatch(r"\w[\w.-]*", table):
             raise ValueError(f"not a table name: {table!r}")
