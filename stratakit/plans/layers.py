@@ -1,6 +1,7 @@
 """Bronze, silver and gold: read a source, transform and write it, check what was stored.
 
-Each layer runs in one of two modes. ``write`` calls the writer and checks the stored version.
+Each layer runs in one of two modes. ``write`` calls the writer and checks the rows it stored, not
+those of earlier runs, so an append is checked at the cost of its own size.
 ``test`` stores nothing: it checks the transformed frame, whose ``version`` is None. A dry run can
 hand its frame to the next layer as ``source``.
 """
@@ -77,14 +78,18 @@ def _publish(
     """The part all layers share: write or preview, check, and make the checkpoint record."""
     started = time.time()
     if mode == "write":
-        before = store.latest_version(table)
+        before = store.current(table)
         write()
-        metrics = [row["operationMetrics"] for row in store.write_metrics(table, before).collect()]
-        snapshot = store.snapshot(table)
-        df, version, row_count = store.read_snapshot(snapshot), snapshot.version, snapshot.rows
+        metrics = [row["operationMetrics"] for row in store.write_metrics(table, before.version).collect()]
+        after = store.snapshot(table)
+        df, version = store.read_snapshot(after), after.version
+        # A writer that stored nothing leaves nothing new to check; then the table is checked.
+        fresh = [f for f in after.folders if f not in before.folders] or after.folders
+        checked, row_count = store.read_snapshot(after, fresh), sum(f.rows for f in fresh)
     else:
-        df, version, row_count, metrics = preview(), None, None, []
-    quality, validation = checks.run(df, check_name or layer, row_count)
+        df = checked = preview()
+        version, row_count, metrics = None, None, []
+    quality, validation = checks.run(checked, check_name or layer, row_count)
     record = checkpoint(
         pipeline_id,
         layer,

@@ -48,7 +48,7 @@ def scratch_folder(spark: SparkSession) -> str:
     It lies under ``spark.checkpoint.dir``, which every executor can reach. Only a local session
     may leave that setting out; it then gets a temporary folder that goes away with the process.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/stratakit-{uuid.uuid4().hex}"
     if not spark.sparkContext.master.startswith("local"):

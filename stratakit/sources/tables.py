@@ -89,7 +89,7 @@ class TableStore:
     # ---- reading -------------------------------------------------------------------------------
 
     def exists(self, table: str) -> bool:
-        return path_exists(self.spark, self._section(table, 0))
+        return self._has_section(table, 0)
 
     def history(self, table: str) -> DataFrame:
         """One row per version."""
@@ -130,26 +130,35 @@ class TableStore:
         the schema where they are stated in full.
         """
         self._require(table)
+        snapshot = self._replay(table, version)
+        if snapshot.version == MISSING or version not in (None, snapshot.version):
+            raise LookupError(f"table {table} has no version {version}")
+        return snapshot
+
+    def current(self, table: str) -> Snapshot:
+        """The latest version, or version -1 without folders if the table is missing."""
+        return self._replay(table, None)
+
+    def _replay(self, table: str, version: int | None) -> Snapshot:
+        """The last version up to the given one, in its section."""
         if version is None:
             sections = self._sections_from_last(table)
         else:
-            sections = [version // SECTION] if version >= 0 else []
+            sections = [version // SECTION] if self._has_section(table, version // SECTION) else []
+        rows: list[Row] = []
         for section in sections:
-            if not path_exists(self.spark, self._section(table, section)):
-                continue
             lines = self._read_section(table, section).drop("timestamp", "operationMetrics")
             if version is not None:
                 lines = lines.where(F.col("version") <= version)
             rows = sorted(lines.collect(), key=lambda row: row.version)
             if rows:
                 break
-        else:
-            rows = []
+        if not rows:
+            return Snapshot(table, MISSING, None)
+
         versions = [row.version for row in rows]
         if len(set(versions)) < len(versions):
             raise RuntimeError(f"table {table} had two writers at once: {versions}")
-        if not rows or (version is not None and versions[-1] != version):
-            raise LookupError(f"table {table} has no version {version}")
         live = {row.path: Folder.from_row(row) for row in rows[0].folders}
         schema_json = rows[0].schema_json
         for row in rows[1:]:
@@ -177,7 +186,8 @@ class TableStore:
     def detail(self, table: str, version: int | None = None) -> DataFrame:
         """One row: version, files, rows and bytes, taken from the history without a data scan."""
         snapshot = self.snapshot(table, version)
-        return self.history(table).where(F.col("version") == snapshot.version).select(
+        lines = self._read_section(table, snapshot.version // SECTION)
+        return lines.where(F.col("version") == snapshot.version).select(
             F.lit(table).alias("table_name"),
             "version",
             F.lit(snapshot.files).cast("long").alias("num_files"),
@@ -189,12 +199,12 @@ class TableStore:
 
     def append(self, df: DataFrame, table: str) -> int:
         """Add rows as a new version. New columns join the table; a changed type is an error."""
-        current = self._current(table)
+        current = self.current(table)
         return self._commit([df], current, "APPEND")
 
     def overwrite(self, df: DataFrame, table: str, replace_schema: bool = False) -> int:
         """Replace all rows as a new version. Columns are merged unless the schema is replaced too."""
-        current = self._current(table)
+        current = self.current(table)
         return self._commit([df], current, "OVERWRITE", replace_schema=replace_schema)
 
     def rewrite(
@@ -211,9 +221,6 @@ class TableStore:
         """
         return self._commit(parts, snapshot, "OPTIMIZE", replaced=replaced, clustered_by=clustered_by)
 
-    def _current(self, table: str) -> Snapshot:
-        return self.snapshot(table) if self.exists(table) else Snapshot(table, MISSING, None)
-
     def _commit(
         self,
         parts: Sequence[DataFrame],
@@ -269,23 +276,22 @@ class TableStore:
     def _section(self, table: str, section: int) -> str:
         return self._folder(table, "history", f"section={section}")
 
+    def _has_section(self, table: str, section: int) -> bool:
+        return path_exists(self.spark, self._section(table, section))
+
     def _read_section(self, table: str, section: int) -> DataFrame:
         return self.spark.read.schema(HISTORY_SCHEMA).json(self._section(table, section))
 
     def _sections_from_last(self, table: str) -> Iterator[int]:
         """Section numbers downwards. The last may be empty, if its first commit never finished."""
-
-        def there(section: int) -> bool:
-            return path_exists(self.spark, self._section(table, section))
-
-        if not there(0):
+        if not self._has_section(table, 0):
             return
         low, high = 0, 1
-        while there(high):
+        while self._has_section(table, high):
             low, high = high, high * 2
         while high - low > 1:
             middle = (low + high) // 2
-            low, high = (middle, high) if there(middle) else (low, middle)
+            low, high = (middle, high) if self._has_section(table, middle) else (low, middle)
         yield from range(low, -1, -1)
 
     def _folder(self, table: str, *parts: str) -> str:
