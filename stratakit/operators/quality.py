@@ -12,6 +12,7 @@ from datetime import datetime
 from functools import reduce
 from typing import Any, NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,10 +51,16 @@ def _flags(df: DataFrame, rules: list[Rule], nulls: bool) -> tuple[DataFrame, li
     return frame, flags
 
 
-def _totals(df: DataFrame, rules: list[Rule], nulls: bool) -> DataFrame:
-    """One row: ``n`` and one count per flag, ``f0``, ``f1`` and so on."""
+def _totals(df: DataFrame, rules: list[Rule], nulls: bool, limit: int | None = None) -> DataFrame:
+    """One row: ``n`` and one count per flag, ``f0``, ``f1`` and so on.
+
+    A limit applies to the booleans, so no row of the data has to pass it.
+    """
     frame, flags = _flags(df, rules, nulls)
-    counts = [F.count_if(flag).alias(f"f{i}") for i, flag in enumerate(flags)]
+    frame = frame.select(*[flag.alias(f"f{i}") for i, flag in enumerate(flags)])
+    if limit is not None:
+        frame = frame.limit(limit)
+    counts = [F.count_if(F.col(f"f{i}")).alias(f"f{i}") for i in range(len(flags))]
     return frame.agg(F.count(F.lit(1)).alias("n"), *counts)
 
 
@@ -82,14 +89,13 @@ def _count(
         counts = [sum(1 for row in rows if row[i]) for i in range(len(flags))]
         return Counts(len(rows), counts[:width], counts[width:end], counts[end:])
 
-    if capped:
-        sampled = sampled.limit(limit)
     plain = [rule for rule in rules if not tests_membership(rule)]
+    # Several jobs have to see the same capped sample, also if an executor is lost in between.
     reused = capped and len(plain) < len(rules)
     if reused:
-        sampled.persist()
+        sampled, limit = sampled.limit(limit).persist(StorageLevel.MEMORY_AND_DISK_2), None
     try:
-        size, *counts = _totals(sampled, plain, nulls).first()
+        size, *counts = _totals(sampled, plain, nulls, limit if capped else None).first()
         split = width + len(plain)
         failing = dict(zip(plain, counts[width:split]))
         unknown = dict(zip(plain, counts[split:]))

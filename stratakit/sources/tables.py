@@ -295,7 +295,7 @@ class TableStore:
         yield from range(low, -1, -1)
 
     def _folder(self, table: str, *parts: str) -> str:
-        if not re.fullmatch(r"\w[\w.-]*", table):
+        if not isinstance(table, str) or not re.fullmatch(r"\w[\w.-]*", table):
             raise ValueError(f"not a table name: {table!r}")
         return "/".join([self.root, "tables", table, *parts])
 
