@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 
 import stratakit as sk
 
+try:
+    import corpus_pipeline
+    from stratakit.llm import queries as llm
+except ImportError:  # the folders of that part may be left out
+    corpus_pipeline = llm = None
+
 EVENTS = """
     event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string
 """
@@ -416,7 +422,8 @@ _QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    own = {query.__name__: query for query in _QUERIES}
+    return own if llm is None else own | llm.queries() | {"pipeline": corpus_pipeline.run}
 
 
 _EARLY = "o_orderdate < TIMESTAMP '1998-01-01'"
@@ -467,6 +474,13 @@ _STAGES = ("bronze", "bronze_optimize", "silver", "silver_optimize", "gold", "go
 
 
 def oracle_sql() -> dict[str, str]:
+    if llm is None:
+        return _oracle_sql()
+    ends = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return _oracle_sql() | llm.oracle_sql() | ends
+
+
+def _oracle_sql() -> dict[str, str]:
     orders, lineitem = "SELECT * FROM orders", "SELECT * FROM lineitem"
     return {
         "ingest_parquet": orders,
