@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratakit.llm import language_gru
+from stratakit.llm import language_gru, minhash_hamming
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,12 +23,47 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-_QUERIES = (op6_language,)
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash_hamming.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+_QUERIES = (op3_minhash, op6_language)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in _QUERIES}
 
 
+_SHINGLES = r"""
+    WITH words AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[ \t-\r]+'), lambda x: x <> '') AS w
+        FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+        FROM words
+    )
+"""
+_MINHASH = _SHINGLES.replace("WITH", "WITH RECURSIVE", 1) + """
+    , items AS (SELECT doc_id, unnest(s) AS x FROM sets),
+    common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+        FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2
+    ), pairs AS (
+        SELECT a, b FROM common JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b
+        WHERE 100 * n >= 85 * (len(p.s) + len(q.s) - n)
+    ), links AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+    reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM documents
+        UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+    ), lowest AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM sets JOIN lowest ON doc_id = a
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_minhash": _MINHASH}
