@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratakit.llm import language_gru, minhash_hamming
+from stratakit.llm import language_gru, minhash_hamming, secret_markov
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +28,22 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
-_QUERIES = (op3_minhash, op6_language)
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans per document; the models are trained on a bounded sample of the same texts."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_markov.find(documents, secret_markov.fit(documents)).select("doc_id", "secrets")
+
+    def of(kind: int):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+    base = secret_markov.listed(F.filter("secrets", lambda s: s["kind"] < 3))
+    return found.select(
+        "doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
+        F.sha2(base, 256).alias("base_sha256"), secret_markov.listed(F.col("secrets")).alias("spans"),
+    )
+
+
+_QUERIES = (op2_secrets, op3_minhash, op6_language)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
