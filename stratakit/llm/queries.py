@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratakit.llm import language_gru, minhash_hamming, secret_markov
+from stratakit.llm import language_gru, license_index, minhash_hamming, secret_markov
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,7 +43,14 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_QUERIES = (op2_secrets, op3_minhash, op6_language)
+def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_index.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumns(
+        {"base_labels": F.array_join("base_labels", ","), "labels": F.array_join("labels", ",")}
+    )
+
+
+_QUERIES = (op2_secrets, op3_minhash, op6_language, op9_license)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
