@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratakit.llm import language_gru, license_index, minhash_hamming, secret_markov
+from stratakit.llm import cutting_stock, flow_mix, language_gru, license_index, minhash_hamming, secret_markov
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,23 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document belongs to its own source; sizes are words between ASCII spaces."""
+    documents = _table(spark, sf_dir, "documents")
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
+    rows = documents.select("doc_id", "source", words.cast("long").alias("size"), F.crc32("text").alias("text_crc32"))
+    mixed, sizes, quotas = flow_mix.mix(rows, F.array("source"), F.col("size"))
+    schema = "name string, source_size long, target double"
+    per_source = spark.createDataFrame([(s, sizes[s], quotas[s]) for s in sizes], schema)
+    return mixed.join(F.broadcast(per_source), F.col("source").eqNullSafe(F.col("name"))).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("given")).alias("taken")
+    )
+
+
+def op8_cutting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cutting_stock.pack(_table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_index.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.withColumns(
@@ -50,7 +67,7 @@ def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_QUERIES = (op2_secrets, op3_minhash, op6_language, op9_license)
+_QUERIES = (op2_secrets, op3_minhash, op6_language, op7_mix, op8_cutting, op9_license)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
