@@ -7,8 +7,9 @@ once per choice of so many values to leave out, and two such signatures meet und
 finds every pair within the distance. Pairs are confirmed on the full sets.
 
 Groups of near copies are linked without listing their pairs. Under each key all members are first compared with
-the member that meets most others; what that joins is one component already. Then once more with a
-member outside of the leader's component, and last all pairs whose components still differ.
+the member that meets most others; what that joins is one component already. Of the keys under which several
+components are left, members with too many shingles of their own can be similar to nobody and drop out; pairs of
+the others are compared if their components differ and their shared shingles may suffice.
 """
 
 from __future__ import annotations
@@ -192,37 +193,51 @@ def _near_links(df, id_col, text_col, words, percent, classes) -> DataFrame:
         .mapInPandas(to_sets, "node long, shingles binary")
     )
 
-    def leaders(rows: DataFrame) -> DataFrame:
-        best = F.max_by("node", F.struct(F.col("score"), -F.col("node"))).alias("leader")
-        return rows.join(scores, "node").groupBy("key").agg(best)
-
-    def labelled(links: DataFrame) -> DataFrame:
-        """Members of the keys under which more than one component meets."""
-        named = components(links).select(F.col("id").alias("node"), "component")
-        rows = met.join(named, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        open_keys = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        return stored(rows.join(open_keys.where("low < high").select("key"), "key"))
-
-    first = leaders(met)
-    star = stored(met.join(first, "key").where("node <> leader").select(*_pair("node", "leader")).distinct())
+    best = F.max_by("node", F.struct(F.col("score"), -F.col("node"))).alias("leader")
+    leaders = met.join(scores, "node").groupBy("key").agg(best)
+    star = stored(met.join(leaders, "key").where("node <> leader").select(*_pair("node", "leader")).distinct())
     links = _confirmed(star, signatures, sets, percent)
-    left = labelled(links)
+    named = components(links).select(F.col("id").alias("node"), "component")
+    rows = met.join(named, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    several = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    left = stored(rows.join(several.where("low < high").select("key"), "key"))
     if left.isEmpty():
         return links
 
-    led = leaders(left).join(left.withColumnRenamed("node", "leader"), ["key", "leader"])
-    led = led.select("key", "leader", F.col("component").alias("led"))
-    others = left.join(led, "key").where("component <> led")
-    second = leaders(others.select("key", "node")).join(left.withColumnRenamed("node", "leader"), ["key", "leader"])
-    again = left.join(second.withColumnRenamed("component", "led"), "key").where("component <> led")
-    done = star
-    star = stored(again.select(*_pair("node", "leader")).distinct().join(done, ["a", "b"], "left_anti"))
-    links = links.union(_confirmed(star, signatures, sets, percent))
-    left = labelled(links)
-    if left.isEmpty():
-        return links
-
-    other = left.select("key", F.col("node").alias("partner"), F.col("component").alias("its"))
-    rest = left.join(other, "key").where("node < partner and component <> its").select(*_pair("node", "partner"))
-    rest = rest.distinct().join(done.union(star), ["a", "b"], "left_anti")
+    able = left.select("node").distinct()
+    for _ in range(2):
+        able = _able(able, sets, percent)
+    keys = left.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    left = stored(left.join(able, "node").join(keys, "node"))
+    other = left.select(*[F.col(c).alias(f"its_{c}") for c in left.columns])
+    most = F.least("shared", "its_shared")
+    rest = left.join(
+        other,
+        F.expr("key = its_key and node < its_node and component <> its_component")
+        & (100 * most >= percent * (F.col("size") + F.col("its_size") - most))
+        & (F.array_min(F.array_intersect("keys", "its_keys")) == F.col("key")),
+    )
+    rest = rest.select(F.col("node").alias("a"), F.col("its_node").alias("b")).join(star, ["a", "b"], "left_anti")
     return links.union(_confirmed(stored(rest), signatures, sets, percent))
+
+
+def _able(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, size, shared) of the nodes that can be similar enough to another of them.
+
+    shared counts the shingles that some other node has too: no intersection is larger.
+    """
+
+    @F.pandas_udf("array<long>")
+    def numbers(shingles: pd.Series) -> pd.Series:
+        return shingles.map(lambda x: np.frombuffer(x, np.int64))
+
+    own = sets.join(nodes.select("node"), "node").select("node", F.explode(numbers("shingles")).alias("shingle"))
+    alone = own.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
+    alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    size = (F.octet_length("shingles") / 8).cast("long")
+    sizes = sets.join(nodes.select("node"), "node").groupBy("node").agg(
+        F.min(size).alias("size"), F.max(size).alias("most"), F.count(F.lit(1)).alias("texts")
+    )
+    shared = F.when(F.col("texts") == 1, F.col("size") - F.coalesce("alone", F.lit(0))).otherwise(F.col("most"))
+    found = sizes.join(alone, "node", "left").select("node", "size", shared.alias("shared"))
+    return stored(found.where(100 * F.col("shared") >= percent * F.col("size")))
