@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratakit.llm import cutting_stock, flow_mix, language_gru, license_index, minhash_hamming, secret_markov
+from stratakit.llm import cutting_stock, flow_mix, hilbert_search, language_gru, license_index, minhash_hamming, secret_markov
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,7 +67,11 @@ def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_QUERIES = (op2_secrets, op3_minhash, op6_language, op7_mix, op8_cutting, op9_license)
+def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_search.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+_QUERIES = (op2_secrets, op3_minhash, op6_language, op7_mix, op8_cutting, op9_license, op10_hilbert)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
