@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratakit.llm import cutting_stock, flow_mix, hilbert_search, language_gru, license_index, minhash_hamming, secret_markov
+from stratakit.llm import cutting_stock, flow_mix, hilbert_search, language_gru, license_index, minhash_hamming, secret_markov, vector_graph
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op1_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and spans per document; the models are trained on a bounded sample of the same texts."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,13 +75,29 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_search.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-_QUERIES = (op2_secrets, op3_minhash, op6_language, op7_mix, op8_cutting, op9_license, op10_hilbert)
+_QUERIES = (op1_graph, op2_secrets, op3_minhash, op6_language, op7_mix, op8_cutting, op9_license, op10_hilbert)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in _QUERIES}
 
 
+_NEAR_VECTORS = """
+    WITH RECURSIVE usable AS (
+        SELECT DISTINCT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+        WHERE list_count(embedding) = len(embedding) AND list_bool_and(list_transform(embedding, lambda x: isfinite(x)))
+          AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+    ), links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+    ), reach AS (
+        SELECT vec_id AS a, vec_id AS b FROM embeddings
+        UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+    ), lowest AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT a AS vec_id, (SELECT count(*) FROM links WHERE links.a = lowest.a) AS n_links, component_id,
+           a = component_id AS kept
+    FROM lowest
+"""
 _SHINGLES = r"""
     WITH words AS (
         SELECT doc_id, list_filter(regexp_split_to_array(
@@ -109,4 +129,4 @@ _MINHASH = _SHINGLES.replace("WITH", "WITH RECURSIVE", 1) + """
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_minhash": _MINHASH}
+    return {"op1_graph": _NEAR_VECTORS, "op3_minhash": _MINHASH}
