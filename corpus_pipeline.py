@@ -1,8 +1,82 @@
-"""From raw documents to packed sequences."""
+"""From raw documents to packed token sequences, in five stages.
 
-STAGES = []
+Every stage takes the documents that its predecessor kept, and all but the last return the columns of ``documents``.
+A stage's result is written to the shared folder and read again by the next one, so a lost executor costs at most the
+stage at work.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stratakit.llm import cutting_stock, flow_mix, language_gru, minhash_hamming, secret_markov
+from stratakit.llm.common import SPACES, stored
+
+UNCERTAIN = 0.3
+"""Documents whose best language has a smaller mean probability are rejected."""
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a language: no letters, or no language that stands out.
+
+    The model learns from the labelled documents. Without any label, documents with letters stay.
+    """
+    model = language_gru.fit(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language_gru.identify(docs, model)
+    sure = (F.col("lang_pred") != language_gru.UNKNOWN) & (F.col("score") >= UNCERTAIN)
+    return found.where(sure).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near copies, and one row of each id.
+
+    Documents without an id can't be told apart from others and stay.
+    """
+    found = stored(minhash_hamming.near_duplicates(docs).where("id is not null"))
+    others = found.groupBy("id").agg(F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
+    others = stored(others.where("not kept or rows > 1").withColumnRenamed("id", "doc_id"))
+    once = docs.join(others.select("doc_id"), "doc_id", "left_anti")
+    repeated = docs.join(others.where("kept").select("doc_id"), "doc_id", "left_semi")
+    order = "row_number() over (partition by doc_id order by text, lang, source, n_chars)"
+    repeated = repeated.withColumn("_n", F.expr(order)).where("_n = 1")
+    return once.select(*docs.columns).union(repeated.select(*docs.columns))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces every secret in the texts by a mark; no document is dropped."""
+    changed = secret_markov.redact(docs, secret_markov.fit(docs))
+    length = F.when(F.col("n_chars").isNotNull(), F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")))
+    return changed.withColumn("n_chars", length).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes documents to the target weights of their sources; one that is taken twice stands there twice."""
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(f"[^{SPACES}]+"))
+    mixed, _, _ = flow_mix.mix(docs, F.array("source"), words)
+    return mixed.select(*docs.columns, F.explode("given")).select(*docs.columns)
+
+
+def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their ids, each with its sequence and its offset there."""
+    return cutting_stock.pack(docs)
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near duplicates", drop_near_duplicates),
+    ("secrets", redact_secrets),
+    ("mixing", mix_sources),
+    ("packing", pack_tokens),
+]
+# Neither the trained models nor the packing can be stated in SQL; tests compare run() with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

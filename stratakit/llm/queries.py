@@ -7,13 +7,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratakit.llm import cutting_stock, flow_mix, hilbert_search, language_gru, license_index, minhash_hamming, secret_markov, vector_graph
+from stratakit.llm import (
+    best_fit,
+    cutting_stock,
+    flow_mix,
+    hilbert_search,
+    histogram_sort,
+    language_gru,
+    license_index,
+    minhash_hamming,
+    secret_markov,
+    vector_graph,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per packed sequence, with its ids, segment ends and positions."""
+    return best_fit.pack(_table(spark, sf_dir, "documents"))
+
+
+def op5_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """40 shards of near equal bytes; equal texts lie side by side."""
+    body = F.coalesce("text", F.lit(""))
+    documents = _table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body).alias("text_crc32"),
+        F.xxhash64("text").alias("text_hash"),
+    )
+    sharded = histogram_sort.shard(documents, F.col("size"), F.col("text_hash"), F.col("doc_id"), 40)
+    nothing = F.lit(None).cast("int")
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", nothing.alias("grown_shard")
+    )
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from four fifths of the documents, by the hash of their id, and predicts all of them."""
     documents = _table(spark, sf_dir, "documents")
@@ -75,7 +105,7 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_search.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-_QUERIES = (op1_graph, op2_secrets, op3_minhash, op6_language, op7_mix, op8_cutting, op9_license, op10_hilbert)
+_QUERIES = (op1_graph, op2_secrets, op3_minhash, op4_best_fit, op5_histogram, op6_language, op7_mix, op8_cutting, op9_license, op10_hilbert)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
