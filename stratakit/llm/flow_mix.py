@@ -125,9 +125,14 @@ def mix(df: DataFrame, sources: Column, size: Column, quotas: dict | None = None
     choice depends on the hash of the rows and not on their order. Driver: one entry for each pattern and source.
     """
     pattern = F.to_json(F.struct(F.array_sort(F.array_distinct(sources)).alias("of")))
-    base = df.withColumns({"words": F.coalesce(size.cast("long"), F.lit(0)), "pattern": pattern})
     plain = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    base = base.withColumns({"hash": F.xxhash64(F.lit(seed), *plain), "uid": F.monotonically_increasing_id()})
+    base = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        F.coalesce(size.cast("long"), F.lit(0)).alias("words"),
+        pattern.alias("pattern"),
+        F.xxhash64(F.lit(seed), *plain).alias("hash"),
+        F.monotonically_increasing_id().alias("uid"),
+    )
     base = stored(base)
     sums = base.groupBy("pattern").agg(F.sum("words").alias("words"), F.count(F.lit(1)).alias("rows"))
     known = sums.limit(MOST_PATTERNS + 1).collect()
@@ -174,5 +179,5 @@ def mix(df: DataFrame, sources: Column, size: Column, quotas: dict | None = None
     rows = base.join(whole, ["pattern", "bucket"], "left").join(chosen, "uid", "left")
     nothing = F.array().cast("array<string>")
     given = F.when(F.col("words") > 0, F.coalesce("all", "given", nothing)).otherwise(nothing)
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in ("words", "given")]
+    kept = [F.col("row").getField(c).alias(c) for c in df.columns if c.lower() not in ("words", "given")]
     return rows.select(*kept, "words", given.alias("given")), sizes, quotas

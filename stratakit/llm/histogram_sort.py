@@ -114,9 +114,9 @@ def shard(df: DataFrame, size: Column, group: Column, key: Column, shards: int,
     share by at most the two rows at its ends and twice the tolerance; a group is parted only where a boundary
     falls into it. Equal keys stay together. The result does not depend on the order of the rows.
     """
-    kept = [c for c in df.columns if c not in ("shard", "slot")]
+    kept = [c for c in df.columns if c.lower() not in ("shard", "slot")]
     rows = df.select(
-        *[F.col(f"`{c}`") for c in kept],
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"),
         F.xxhash64(group).alias("_high"), F.xxhash64(key, group).alias("_low"), size.cast("long").alias("_bytes"),
     )
     rows = stored(rows)
@@ -139,5 +139,5 @@ def shard(df: DataFrame, size: Column, group: Column, key: Column, shards: int,
     own = F.expr("row_number() over (partition by _part order by _high, _low, _bytes)")
     numbered = parted.withColumn("_own", own).join(counts, "_part")
     return numbered.select(
-        *[F.col(f"`{c}`") for c in kept], "shard", (F.col("_before") + F.col("_own") - 1).cast("long").alias("slot")
+        *[F.col("_row").getField(c).alias(c) for c in kept], "shard", (F.col("_before") + F.col("_own") - 1).cast("long").alias("slot")
     )

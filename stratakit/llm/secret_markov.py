@@ -161,14 +161,15 @@ def log_ratio(token: Column, model: RandomnessModel) -> Column:
 
 
 def find(df: DataFrame, model: RandomnessModel, text: str = "text") -> DataFrame:
-    """The rows with an array ``secrets`` of (start, kind, end) added, in order of start and kind.
+    """The rows with an array ``secrets`` of (start, kind, end), in order of start and kind, as a new last column.
 
     kind is a number in KINDS; start and end count code points, end is exclusive. Base spans are the leftmost
     non-overlapping ones of their kind. Tokens that the models find random are added where they meet no base
     span. Null and empty texts have an empty array. One pass over whole texts, without a shuffle.
     """
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    rows = df.withColumns(
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    body = F.col("_body")
+    rows = df.select(whole, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_body")).withColumns(
         {
             "_assign": F.regexp_extract_all(body, F.lit(ASSIGN), F.lit(0)),
             "_value": F.regexp_extract_all(body, F.lit(ASSIGN), F.lit(2)),
@@ -200,7 +201,8 @@ def find(df: DataFrame, model: RandomnessModel, text: str = "text") -> DataFrame
         ),
     ).otherwise(F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>"))
     rows = rows.withColumn("secrets", F.array_sort(F.concat("_base", random)))
-    return rows.drop("_assign", "_value", "_access", "_hex", "_token", "_judged", "_base")
+    kept = [F.col("_row").getField(c).alias(c) for c in df.columns if c.lower() != "secrets"]
+    return rows.select(*kept, "secrets")
 
 
 def listed(spans: Column) -> Column:
@@ -213,9 +215,9 @@ def listed(spans: Column) -> Column:
 
 def redact(df: DataFrame, model: RandomnessModel, text: str = "text", mark: str = "[secret]") -> DataFrame:
     """The rows with every secret in the text replaced by a mark; spans that touch or overlap become one mark."""
-    columns = df.columns
-    rows = find(df, model, text)
-    body = F.col(f"`{text}`")
+    own = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_own")
+    rows = find(df.select(own, F.col(f"`{text}`").alias("_text")), model, "_text")
+    body = F.col("_text")
 
     def step(held: Column, span: Column) -> Column:
         inside = span["start"] <= held["end"]
@@ -232,4 +234,4 @@ def redact(df: DataFrame, model: RandomnessModel, text: str = "text", mark: str
         lambda held: F.concat(held["out"], F.substring(body, (held["end"] + 1).cast("int"), F.length(body))),
     )
     changed = F.when(F.size("secrets") > 0, replaced).otherwise(body)
-    return rows.withColumn(text, changed).select(*[F.col(f"`{c}`") for c in columns])
+    return rows.select(*[(changed if c == text else F.col("_own").getField(c)).alias(c) for c in df.columns])
