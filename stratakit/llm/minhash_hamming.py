@@ -117,8 +117,14 @@ def _differing(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((left != right).sum(1).astype(np.int32))
 
 
-def _confirmed(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough; those with far apart signatures go first."""
+def _with_ends(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    for end in ("a", "b"):
+        pairs = pairs.join(table.select(F.col("node").alias(end), F.col(column).alias(f"{column}_{end}")), end)
+    return pairs
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough; pairs with far apart signatures are not looked at."""
 
     @F.pandas_udf("boolean")
     def similar(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -129,14 +135,8 @@ def _confirmed(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, percent
             out.append(100 * common >= percent * (len(x) + len(y) - common))
         return pd.Series(out, dtype=bool)
 
-    def with_ends(rows: DataFrame, table: DataFrame, column: str) -> DataFrame:
-        for end in ("a", "b"):
-            rows = rows.join(table.select(F.col("node").alias(end), F.col(column).alias(f"{column}_{end}")), end)
-        return rows
-
-    near = with_ends(pairs, signatures, "signature").where(_differing("signature_a", "signature_b") <= REJECT)
-    near = with_ends(near.select("a", "b").distinct(), sets, "shingles")
-    return stored(near.where(similar("shingles_a", "shingles_b")).select("a", "b").distinct())
+    near = pairs.where(_differing("signature_a", "signature_b") <= REJECT).select("a", "b").distinct()
+    return stored(_with_ends(near, sets, "shingles").where(similar("shingles_a", "shingles_b")).select("a", "b").distinct())
 
 
 def _pair(a: str, b: str) -> list:
@@ -196,7 +196,7 @@ def _near_links(df, id_col, text_col, words, percent, classes) -> DataFrame:
     best = F.max_by("node", F.struct(F.col("score"), -F.col("node"))).alias("leader")
     leaders = met.join(scores, "node").groupBy("key").agg(best)
     star = stored(met.join(leaders, "key").where("node <> leader").select(*_pair("node", "leader")).distinct())
-    links = _confirmed(star, signatures, sets, percent)
+    links = _confirmed(_with_ends(star, signatures, "signature"), sets, percent)
     named = components(links).select(F.col("id").alias("node"), "component")
     rows = met.join(named, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     several = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -208,7 +208,7 @@ def _near_links(df, id_col, text_col, words, percent, classes) -> DataFrame:
     for _ in range(2):
         able = _able(able, sets, percent)
     keys = left.groupBy("node").agg(F.collect_set("key").alias("keys"))
-    left = stored(left.join(able, "node").join(keys, "node"))
+    left = stored(left.join(able, "node").join(keys, "node").join(signatures, "node"))
     other = left.select(*[F.col(c).alias(f"its_{c}") for c in left.columns])
     most = F.least("shared", "its_shared")
     rest = left.join(
@@ -217,8 +217,11 @@ def _near_links(df, id_col, text_col, words, percent, classes) -> DataFrame:
         & (100 * most >= percent * (F.col("size") + F.col("its_size") - most))
         & (F.array_min(F.array_intersect("keys", "its_keys")) == F.col("key")),
     )
-    rest = rest.select(F.col("node").alias("a"), F.col("its_node").alias("b")).join(star, ["a", "b"], "left_anti")
-    return links.union(_confirmed(stored(rest), signatures, sets, percent))
+    rest = rest.select(
+        F.col("node").alias("a"), F.col("its_node").alias("b"),
+        F.col("signature").alias("signature_a"), F.col("its_signature").alias("signature_b"),
+    )
+    return links.union(_confirmed(rest.join(star, ["a", "b"], "left_anti"), sets, percent))
 
 
 def _able(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
