@@ -49,11 +49,11 @@ def best_pattern(values: np.ndarray, capacity: int) -> np.ndarray:
     return pattern
 
 
-def solve(demand: np.ndarray, capacity: int, rounds: int = 5000) -> list[tuple[np.ndarray, float]]:
+def solve(demand: np.ndarray, capacity: int, gap: float = 1e-3) -> list[tuple[np.ndarray, float]]:
     """Patterns and how often each is used, to cover the demand of each class with few sequences.
 
     Revised simplex: it begins with one pattern for each class, and a pattern whose value at the present
-    prices exceeds one enters until there is none.
+    prices exceeds one by the gap enters until there is none: no solution is better by more than that share.
     """
     asked = np.flatnonzero(demand)
     basis = np.zeros((len(asked), len(asked)))
@@ -61,12 +61,12 @@ def solve(demand: np.ndarray, capacity: int, rounds: int = 5000) -> list[tuple[n
         basis[i, i] = capacity // (c + 1)
     inverse = np.diag(1 / basis.diagonal()) if len(asked) else basis
     used = inverse @ demand[asked]
-    for _ in range(rounds if len(asked) else 0):
+    while len(asked):
         prices = inverse.sum(0)
         values = np.zeros(len(demand))
         values[asked] = prices
         column = best_pattern(values, capacity)[asked]
-        if column @ prices <= 1 + 1e-9:
+        if column @ prices <= 1 + gap:
             break
         change = inverse @ column
         steps = np.where(change > 1e-9, used / np.where(change > 1e-9, change, 1), np.inf)

@@ -3,34 +3,71 @@
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 
+import numpy as np
+
 END = (1).to_bytes(4, "little")
 CACHED_WORDS = 400_000
 
 
 class WordTokenizer:
-    """Texts to little-endian 32-bit ids. No token of this vocabulary crosses white space, so words are cached."""
+    """Texts to little-endian 32-bit ids. No token of this vocabulary crosses white space, so words are cached.
+
+    A word of letters followed by full stops or commas is two parts to the vocabulary, and its letters end in a token
+    with the mark of a word's end. New words are therefore encoded many at a time, as one text.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.inner = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        ids = self.inner.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(ids.values()) + 1, bool)
+        self.ends[[i for token, i in ids.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {"": b""}
 
     def encode(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
-        new = list(set(words) - self.known.keys())
+        known = self.known
+        new = [word for word in set(words) if word not in known]
         if new:
-            if len(self.known) + len(new) > CACHED_WORDS:
-                self.known.clear()
+            if len(known) + 2 * len(new) > CACHED_WORDS:
+                known.clear()
+                known[""] = b""
                 new = list(set(words))
-            for begin in range(0, len(new), 50_000):
-                part = new[begin : begin + 50_000]
-                for word, found in zip(part, self.inner.encode_batch_fast(part, add_special_tokens=False)):
-                    self.known[word] = b"".join([i.to_bytes(4, "little") for i in found.ids])
-        return b"".join(map(self.known.__getitem__, words))
+            self._learn(new)
+        return b"".join(map(known.__getitem__, words))
+
+    def _learn(self, new: list[str]) -> None:
+        known = self.known
+        parts = []
+        for word in new:
+            stem = word.rstrip(".,")
+            if stem.isalpha():
+                parts.append((word, stem.lower() if stem.isascii() else stem, word[len(stem) :]))
+        stems = list({stem for _, stem, _ in parts}.difference(known))
+        for begin in range(0, len(stems), 20_000):
+            part = stems[begin : begin + 20_000]
+            ids = np.array(self.inner.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part):  # a letter that the vocabulary sees otherwise
+                self._one_by_one(part)
+                continue
+            raw, at = ids.tobytes(), 0
+            for stem, end in zip(part, (4 * ends).tolist()):
+                known[stem] = raw[at:end]
+                at = end
+        rest = set(new).difference(word for word, _, _ in parts) | {tail for _, _, tail in parts}
+        self._one_by_one([word for word in rest if word not in known])
+        for word, stem, tail in parts:
+            known[word] = known[stem] + known[tail]
+
+    def _one_by_one(self, words: list[str]) -> None:
+        for word, found in zip(words, self.inner.encode_batch_fast(words, add_special_tokens=False)):
+            self.known[word] = array("I", found.ids).tobytes()
 
 
 @lru_cache(1)
