@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from stratakit.llm.common import stored
 from stratakit.llm.tokens import END, default_path, tokenizer
 
-LENGTH, WIDTH = 2048, 8
+LENGTH, WIDTH = 2048, 16
 RANKED_TOGETHER = 50_000
 
 
