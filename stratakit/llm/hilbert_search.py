@@ -175,14 +175,16 @@ def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col:
     )
 
     window = _fit_window(nodes, ranks, k, recall, total, seed)
-    blocks = ranks.where("not asks").select("curve", F.expr(f"at div {block_rows}").alias("block"), "node", F.lit(False).alias("asks"))
+    blocks = ranks.where("not asks").select(
+        "curve", F.expr(f"at div {block_rows}").alias("block"), "node", F.lit(False).alias("asks"), F.lit(0.0).alias("floor")
+    )
     low, high = F.greatest(F.col("at") - window, F.lit(0)), F.least(F.col("at") + window, F.lit(total - 1))
     visits = ranks.where("asks").select(
         "curve",
         F.explode(F.sequence(F.floor(low / block_rows), F.floor(high / block_rows))).alias("block"),
         "node", F.lit(True).alias("asks"),
+        F.least(F.expr(f"at div {block_rows}"), F.lit((total - 1) // block_rows)).alias("home"),
     )
-    met = blocks.union(visits).join(nodes.select("node", "embedding"), "node")
 
     def rerank(rows: pd.DataFrame) -> pd.DataFrame:
         data = rows[~rows["asks"]].sort_values("node")
@@ -191,13 +193,26 @@ def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col:
         out = [pd.DataFrame({"query": [], "node": [], "score": []})]
         for i in range(0, len(asks) if len(data) else 0, QUERIES_AT_ONCE):
             part = asks.iloc[i : i + QUERIES_AT_ONCE]
-            for query, (at, scores) in zip(part["node"], _best(matrix(part["embedding"]) @ points.T, names, k + 1)):
-                out.append(pd.DataFrame({"query": query, "node": at, "score": scores}))
+            best = _best(matrix(part["embedding"]) @ points.T, names, k + 1)
+            for query, floor, (at, scores) in zip(part["node"], part["floor"], best):
+                use = scores >= floor
+                out.append(pd.DataFrame({"query": query, "node": at[use], "score": scores[use]}))
         return pd.concat(out)
 
-    found = met.groupBy("curve", "block").applyInPandas(rerank, "query long, node long, score double")
-    found = found.groupBy("query", "node").agg(F.max("score").alias("score"))
-    found = _first(found, ["query"], [F.desc("score"), F.asc("node")], k + 1)
+    def reranked(asking: DataFrame) -> DataFrame:
+        met = blocks.union(asking.select("curve", "block", "node", "asks", "floor")).join(nodes.select("node", "embedding"), "node")
+        return met.groupBy("curve", "block").applyInPandas(rerank, "query long, node long, score double")
+
+    def merged(found: DataFrame) -> DataFrame:
+        found = found.groupBy("query", "node").agg(F.max("score").alias("score"))
+        return _first(found, ["query"], [F.desc("score"), F.asc("node")], k + 1)
+
+    # The blocks around a query's own places come first; the others add only what is no worse than their k + 1 best.
+    near = stored(merged(reranked(visits.where("block = home").withColumn("floor", F.lit(float("-inf"))))))
+    floors = near.groupBy(F.col("query").alias("node")).agg(
+        F.when(F.count(F.lit(1)) > k, F.min("score") - 1e-9).otherwise(float("-inf")).alias("floor")
+    )
+    found = merged(near.union(reranked(visits.where("block <> home").join(floors, "node"))))
 
     named = rows.join(nodes.select("h1", "h2", "node"), ["h1", "h2"]).select("node", "vec_id", "asks")
     listed = _first(named.select("node", "vec_id"), ["node"], [F.asc("vec_id")], k + 1)
