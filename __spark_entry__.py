@@ -151,6 +151,23 @@ def schema_merge(spark, sf_dir):
     return store.read("orders")
 
 
+def schema_merge_upcast(spark, sf_dir):
+    """Narrower numbers join a table with wider ones."""
+    store = _store(spark)
+    early, late = _orders_halves(spark, sf_dir)
+    store.append(early, "orders")
+    store.append(late.withColumns({"o_orderkey": F.col("o_orderkey").cast("int"), "o_custkey": F.col("o_custkey").cast("int")}), "orders")
+    return store.read("orders")
+
+
+def write_partitioned(spark, sf_dir):
+    """A filter on the partition column of a table with two versions."""
+    store = _store(spark)
+    for half in _orders_halves(spark, sf_dir):
+        store.append(half, "orders", partition_by=["o_orderpriority"])
+    return store.read("orders").where("o_orderpriority like '1%'")
+
+
 def table_history(spark, sf_dir):
     return _three_versions(spark, sf_dir).history("orders").select(
         "version", "operation", F.col("operationMetrics")["numOutputRows"].cast("long").alias("row_count")
@@ -232,17 +249,68 @@ def schema_profile(spark, sf_dir):
 
 
 def sample_bernoulli(spark, sf_dir):
-    return sk.sample_bernoulli(_table(spark, sf_dir, "orders"))
+    """What holds for any such sample: its rows are orders, none twice, and about a twentieth of all."""
+    orders = _table(spark, sf_dir, "orders")
+    taken = sk.sample_bernoulli(orders).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("times"))
+    seen = orders.join(taken, "o_orderkey", "full").agg(
+        F.count("times").alias("taken"), F.count("o_custkey").alias("known"), F.count(F.lit(1)).alias("n"),
+        F.max("times").alias("times"),
+    )
+    spread = 5 * F.sqrt(F.col("n") * 0.05 * 0.95)
+    return seen.select(
+        (F.col("known") == F.col("n")).alias("all_known"),
+        (F.col("times") == 1).alias("none_twice"),
+        (F.abs(F.col("taken") - F.col("n") * 0.05) <= spread).alias("about_the_ratio"),
+    )
 
 
 def sample_capped(spark, sf_dir):
-    return sk.sample_capped(_table(spark, sf_dir, "orders"))
+    """The size of a sample that reaches its cap, and how many of its rows are rows of the table."""
+    lineitem = _table(spark, sf_dir, "lineitem")
+    sample = sk.sample_capped(lineitem)
+    known = lineitem.distinct().withColumn("known", F.lit(1))
+    found = sample.join(known, lineitem.columns, "left")
+    return found.agg(F.count(F.lit(1)).alias("row_count"), F.count("known").alias("known_rows"))
 
 
 def sample_keyed(spark, sf_dir):
     return sk.sample_keyed(_table(spark, sf_dir, "orders"), ["o_orderkey"])
 
 
+def sample_keyed_small(spark, sf_dir):
+    return sk.sample_keyed(_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], 0.001)
+
+
+def sample_keyed_nulls(spark, sf_dir):
+    """A fifth of the rows has no key, and is in the sample by the same share."""
+    orders = _table(spark, sf_dir, "orders")
+    key = F.when(F.col("o_orderkey") % 5 > 0, F.col("o_custkey"))
+    return sk.sample_keyed(orders.select("o_orderkey", key.alias("o_custkey"), "o_orderpriority"), ["o_custkey"])
+
+
+def sample_keyed_capped(spark, sf_dir):
+    return sk.sample_keyed(_table(spark, sf_dir, "orders"), ["o_orderkey"], 0.5, 200)
+
+
+def late_failures(spark, sf_dir):
+    """Rows that break a rule stand at the end of the table; a bronze run with default checks counts them all."""
+    path = f"{sf_dir}/lineitem.parquet"
+    last = _table(spark, sf_dir, "lineitem").agg(F.max("l_orderkey")).head()[0]
+    rules = [{"name": "not_at_the_end", "condition": f"l_orderkey < {last} * 0.9"}]
+    store = _store(spark)
+    folder = sk.scratch_folder(spark)
+    _table(spark, sf_dir, "lineitem").orderBy("l_orderkey").write.parquet(folder)
+    result = sk.run_bronze(
+        store, "parquet", folder, _table(spark, sf_dir, "lineitem").schema, "bronze", validation_rules=rules, mode="write"
+    )
+    report = result.validation
+    failing = report["validation_results"]["not_at_the_end"]["failing_count"]
+    return store.read("bronze").agg(
+        F.count(F.lit(1)).alias("row_count"), F.lit(failing).cast("long").alias("failing_count"),
+        F.lit(report["sample_size"]).cast("long").alias("sample_size"), F.lit(report["cap_reached"]).alias("cap_reached"),
+    )
+
+
 # ---- layout --------------------------------------------------------------------------------------
 
 
@@ -265,6 +333,38 @@ def optimize_zorder(spark, sf_dir):
     return store.read("lineitem", version)
 
 
+def compact_mixed(spark, sf_dir):
+    """One large and 50 small files: the small ones become one, the large one stays."""
+    store = _store(spark)
+    early, late = _orders_halves(spark, sf_dir)
+    store.append(early.coalesce(1), "orders")
+    store.append(late.repartition(50), "orders")
+    size = store.snapshot("orders").folders[0].bytes
+    after = store.snapshot("orders", sk.compact(store, "orders", target_file_bytes=size))
+    return store.read_snapshot(after).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("revenue"),
+        F.lit(after.files <= 4).alias("few_files"),
+        F.lit(any(f.rows == early.count() for f in after.folders)).alias("large_file_stays"),
+    )
+
+
+def zorder_overlap(spark, sf_dir):
+    """Files that can hold a point, on average over all rows' parts, stay few."""
+    store = _fragmented(spark, sf_dir)
+    target = max(1, store.snapshot("lineitem").bytes // 16)
+    version = sk.zorder(store, "lineitem", ["l_partkey"], target_file_bytes=target)
+    rows = store.read("lineitem", version)
+    files = rows.groupBy(rows.metadataColumn("_metadata").getField("file_path").alias("file")).agg(
+        F.min("l_partkey").alias("low"), F.max("l_partkey").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    points = rows.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("own"))
+    hits = points.join(F.broadcast(files), F.expr("l_partkey between low and high"))
+    return hits.agg((F.count(F.lit(1)) / F.countDistinct("l_partkey") <= 1.5).alias("separate_ranges")).crossJoin(
+        files.agg((F.count(F.lit(1)) >= 8).alias("several_files"), F.sum("n").alias("row_count"))
+    )
+
+
 def optimize_report(spark, sf_dir):
     store = _fragmented(spark, sf_dir)
     return sk.optimize_report(store, "lineitem", 0, sk.compact(store, "lineitem"))
@@ -401,6 +501,37 @@ def full_pipeline(spark, sf_dir):
     return store.read("gold_monthly", result["gold_versions"]["gold_monthly"])
 
 
+def failed_run(spark, sf_dir):
+    """A run whose gold transform raises: how each stage ended, and the rows stored until then."""
+
+    def broken(silver):
+        raise ValueError("no gold today")
+
+    store = _store(spark)
+    result = sk.run_pipeline(
+        store, "parquet", f"{sf_dir}/orders.parquet", ORDERS,
+        bronze_table="bronze_orders", silver_table="silver_orders", gold_table="gold",
+        silver_transform=_clean, gold_transform=broken,
+    )
+    stages = sk.stage_metrics(spark, result).select("position", "stage", "status", F.lit(result["status"]).alias("run_status"))
+    rows = {t: store.read(t).agg(F.count(F.lit(1)).alias("row_count")).withColumn("stage", F.lit(s))
+            for t, s in (("bronze_orders", "bronze"), ("silver_orders", "silver"))}
+    return stages.join(rows["bronze_orders"].union(rows["silver_orders"]), "stage", "left")
+
+
+def run_ids(spark, sf_dir):
+    """Ids of two runs over all orders differ, and a mode other than test and write is refused before any job."""
+    ids = [_pipeline(spark, sf_dir)[1]["pipeline_id"] for _ in range(2)]
+    try:
+        _bronze(_store(spark), sf_dir, mode="dry")
+        refused = False
+    except ValueError:
+        refused = True
+    return _table(spark, sf_dir, "orders").agg(
+        F.count(F.lit(1)).alias("row_count"), F.lit(ids[0] != ids[1]).alias("ids_differ"), F.lit(refused).alias("mode_refused")
+    )
+
+
 # ---- contract ------------------------------------------------------------------------------------
 
 
@@ -411,13 +542,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 _QUERIES = (
     ingest_parquet, ingest_csv, ingest_json, ingest_multi_path, provenance,
-    write_append, write_overwrite, read_as_of, read_latest, schema_merge,
+    write_append, write_overwrite, read_as_of, read_latest, schema_merge, schema_merge_upcast, write_partitioned,
     table_history, latest_version, write_metrics, history_last_n, table_detail,
     table_shape, null_profile, high_null_columns, rule_report, rule_failing_rows,
     rules_all_passed, schema_profile, sample_bernoulli, sample_capped, sample_keyed,
-    optimize_compact, optimize_zorder, optimize_report,
+    sample_keyed_small, sample_keyed_nulls, sample_keyed_capped, late_failures,
+    optimize_compact, optimize_zorder, optimize_report, compact_mixed, zorder_overlap,
     bronze_layer, silver_layer, gold_layer, gold_fan_out, checkpoint_log, lineage,
-    dry_run, stage_metrics, full_pipeline,
+    dry_run, stage_metrics, full_pipeline, failed_run, run_ids,
 )
 
 
@@ -470,6 +602,18 @@ _RULES = " UNION ALL ".join(
 )
 
 
+
+
+def _md5(*keys: str) -> str:
+    return "md5(" + " || ".join(
+        f"CASE WHEN {k} IS NULL THEN 'N' ELSE 'V' || length({k}::VARCHAR) || ':' || {k} END" for k in keys
+    ) + ")"
+
+
+def _low(digest: str, ratio: float) -> str:
+    return f"('0x' || substr({digest}, 1, 15))::BIGINT < {round(ratio * (1 << 60))}"
+
+
 _STAGES = ("bronze", "bronze_optimize", "silver", "silver_optimize", "gold", "gold_optimize")
 
 
@@ -525,10 +669,50 @@ def _oracle_sql() -> dict[str, str]:
                 WHERE rule_name IN ('has_user', 'unnamed_rule')
             UNION ALL SELECT 'empty', coalesce(bool_and(passed), true) FROM ({_RULES}) WHERE false
         """,
-        "sample_keyed": """
-            SELECT * FROM orders
-            WHERE ('0x' || substr(md5(o_orderkey::VARCHAR), 1, 8))::BIGINT % 10000 < 500
+        "sample_keyed": f"SELECT * FROM orders WHERE {_low(_md5('o_orderkey'), 0.05)}",
+        "sample_keyed_small": f"SELECT * FROM lineitem WHERE {_low(_md5('l_orderkey', 'l_linenumber'), 0.001)}",
+        "sample_keyed_nulls": f"""
+            WITH keyed AS (
+                SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN o_custkey END AS o_custkey, o_orderpriority FROM orders
+            )
+            SELECT * FROM keyed WHERE CASE WHEN o_custkey IS NULL
+                THEN {_low(_md5('o_custkey', 'o_orderkey', 'o_orderpriority'), 0.05)}
+                ELSE {_low(_md5('o_custkey'), 0.05)} END
+        """,
+        "sample_keyed_capped": f"""
+            SELECT * FROM orders WHERE {_low(_md5('o_orderkey'), 0.5)} ORDER BY {_md5('o_orderkey')} LIMIT 200
+        """,
+        "sample_bernoulli": """
+            SELECT true AS all_known, true AS none_twice, count(*) > 0 AS about_the_ratio FROM orders
+        """,
+        "sample_capped": """
+            SELECT least(count(*), 1000)::BIGINT AS row_count, least(count(*), 1000)::BIGINT AS known_rows
+            FROM lineitem
+        """,
+        "late_failures": """
+            SELECT count(*) AS row_count, count(*) FILTER (WHERE l_orderkey >= m * 0.9) AS failing_count,
+                   count(*) AS sample_size, false AS cap_reached
+            FROM lineitem, (SELECT max(l_orderkey) AS m FROM lineitem)
+        """,
+        "compact_mixed": """
+            SELECT count(*) AS row_count, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS revenue,
+                   true AS few_files, true AS large_file_stays FROM orders
+        """,
+        "zorder_overlap": """
+            SELECT true AS separate_ranges, true AS several_files, count(*) AS row_count FROM lineitem
+        """,
+        "schema_merge_upcast": orders,
+        "write_partitioned": "SELECT * FROM orders WHERE o_orderpriority LIKE '1%'",
+        "failed_run": f"""
+            SELECT * FROM (VALUES
+                (0::INTEGER, 'bronze', 'success', 'failed', {_COUNT_ALL}),
+                (1, 'bronze_optimize', 'success', 'failed', NULL),
+                (2, 'silver', 'success', 'failed', {_COUNT_SILVER}),
+                (3, 'silver_optimize', 'success', 'failed', NULL),
+                (4, 'gold', 'failed', 'failed', NULL)
+            ) AS t(position, stage, status, run_status, row_count)
         """,
+        "run_ids": "SELECT count(*) AS row_count, true AS ids_differ, true AS mode_refused FROM orders",
         "optimize_compact": lineitem,
         "optimize_zorder": lineitem,
         "bronze_layer": "SELECT *, 'run-1' AS batch_id FROM orders",
@@ -565,8 +749,9 @@ def _oracle_sql() -> dict[str, str]:
             SELECT (row_number() OVER () - 1)::INTEGER AS position, column_name,
                    CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
                         WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS data_type,
-                   true AS nullable
-            FROM (DESCRIBE lineitem)
+                   true AS nullable, value_count
+            FROM (DESCRIBE lineitem) JOIN (UNPIVOT (SELECT count(COLUMNS(*)) FROM lineitem)
+                ON COLUMNS(*) INTO NAME column_name VALUE value_count) USING (column_name)
         """,
         # The table is smaller than one file of the target size.
         "optimize_report": """

@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterable, Mapping
 from typing import NamedTuple
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 logger = logging.getLogger("stratakit")
@@ -39,13 +39,25 @@ def usable_rules(rules: Iterable[Mapping[str, str]] | None) -> list[Rule]:
     return usable
 
 
-def tests_membership(rule: Rule) -> bool:
-    """Whether the condition looks like it holds ``IN (<subquery>)``.
+def tests_membership(df: DataFrame, rule: Rule) -> bool:
+    """Whether the condition holds ``IN (<subquery>)``, by the plan that Spark makes of it.
 
     Spark gives NULL for an unknown membership in a filter, but false in a projection.
     """
-    pattern = r"\bin\b[^)]*?\b(select|from|table|values|with)\b"
-    return re.search(pattern, rule.condition, re.IGNORECASE | re.DOTALL) is not None
+    if not re.search(r"\bin\b", rule.condition, re.IGNORECASE):
+        return False
+    plan = df.where(F.expr(rule.condition))._jdf.queryExecution().analyzed()
+    return any(_holds_membership(e) for e in _scala(plan.expressions()))
+
+
+def _scala(sequence) -> list:
+    return [sequence.apply(i) for i in range(sequence.size())]
+
+
+def _holds_membership(expression) -> bool:
+    if expression.nodeName().lower() in ("insubquery", "in-subquery", "listquery"):
+        return True
+    return any(map(_holds_membership, _scala(expression.children())))
 
 
 def quoted(name: str) -> Column:

@@ -2,7 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    ByteType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    MapType,
+    ShortType,
+    StructField,
+    StructType,
+)
+
+INTEGERS = (ByteType, ShortType, IntegerType, LongType)
 
 
 class SchemaChangeError(ValueError):
@@ -22,9 +37,20 @@ def nullable(data_type: DataType) -> DataType:
     return data_type
 
 
+def is_narrower(new: DataType, old: DataType) -> bool:
+    """Whether every value of the new type is one of the old, wider number type."""
+    if isinstance(new, INTEGERS) and isinstance(old, INTEGERS):
+        return INTEGERS.index(type(new)) < INTEGERS.index(type(old))
+    if isinstance(new, DecimalType) and isinstance(old, DecimalType):
+        return new.scale <= old.scale and new.precision - new.scale <= old.precision - old.scale
+    return isinstance(new, FloatType) and isinstance(old, DoubleType)
+
+
 def merge_types(old: DataType, new: DataType, where: str = "") -> DataType:
     """Union of two types: old fields first, new fields after them, no type changes.
 
+    A top-level column of the table keeps its type if the new data has narrower numbers.
+
     Names are matched without regard to case, as Spark resolves them.
     """
     if isinstance(old, StructType) and isinstance(new, StructType):
@@ -45,7 +71,7 @@ def merge_types(old: DataType, new: DataType, where: str = "") -> DataType:
             merge_types(old.valueType, new.valueType, f"{where}.value"),
             True,
         )
-    if old != new:
+    if old != new and not ("." not in where and is_narrower(new, old)):
         raise SchemaChangeError(
             f"column {where} is {old.simpleString()} in the table and {new.simpleString()} in the new data"
         )

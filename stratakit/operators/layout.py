@@ -1,16 +1,18 @@
 """Table maintenance: merge small files, and cluster rows by several columns.
 
-Both rewrite whole write-folders of the latest version and leave the folders that are in good shape
-alone, so the cost of a run follows what was added since the last one, not the size of the table.
+Compaction rewrites small files only and leaves large ones, and clustered folders, where they are. Clustering
+rewrites the folders that are not clustered by the same columns yet, as one key range.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import replace
 from typing import Any
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -23,20 +25,15 @@ from pyspark.sql.types import (
 )
 
 from stratakit.functions.rules import quoted
-from stratakit.sources.tables import Snapshot, TableStore
+from stratakit.sources.tables import Folder, Snapshot, TableStore
 
 TARGET_FILE_BYTES = 256 * 1024**2
-# A folder needs compaction if its files are on average smaller than this part of the target.
+# A file is small if it has less than this part of the target.
 SMALL_FILE_SHARE = 0.25
-# A clustered folder of this size is final: later runs cluster new data beside it.
-SETTLED_BYTES = 100 * 1024**3
-# One clustering job shuffles at most about this much.
-JOB_BYTES = 1024**4
-# Rows that reach the driver, on average, to find the range edges of a clustering.
-SAMPLE_ROWS = 50_000
-EDGE_TEXT_LENGTH = 64
-MAX_LEVEL_BITS = 6
-MAX_CELL_BITS = 14
+# Rows that reach the driver to find the range edges of a clustering: so many for each file, and at least.
+SAMPLE_ROWS_PER_FILE, SAMPLE_ROWS = 50, 50_000
+# Cells for each file, at least, as far as the columns have different values.
+CELLS_PER_FILE = 4
 SALT_STEPS = 1 << 20
 
 
@@ -51,19 +48,44 @@ def compact(store: TableStore, table: str, target_file_bytes: int = TARGET_FILE_
     """Merge the small files of the latest version; returns the version to read from now on.
 
     There is no shuffle: the scan packs small files into its partitions, and ``coalesce`` joins
-    those up to the target size. No new version is made if there is nothing to gain.
+    those up to the target size. Each file counts by its own size: large ones stay, also beside small ones.
+    Clustered folders are left to clustering. No new version is made if there is nothing to gain.
     """
-    return _compact(store, store.snapshot(table), target_file_bytes)
+    return _compact(store, store.snapshot(table), target_file_bytes).version
 
 
-def _compact(store: TableStore, snapshot: Snapshot, target_file_bytes: int) -> int:
+def _compact(store: TableStore, snapshot: Snapshot, target_file_bytes: int) -> Snapshot:
     small_bytes = target_file_bytes * SMALL_FILE_SHARE
-    small = [f for f in snapshot.folders if f.files and f.bytes / f.files < small_bytes]
-    wanted = _file_count(sum(f.bytes for f in small), target_file_bytes)
-    if sum(f.files for f in small) <= wanted:
-        return snapshot.version
-    packed = store.read_snapshot(snapshot, small).coalesce(wanted)
-    return store.rewrite([packed], snapshot, small)
+    # By its average alone a folder can't be judged, but one whose bytes are all in one file can.
+    able = [f for f in snapshot.folders if not f.clustered_by and f.files and (f.files > 1 or f.bytes < small_bytes)]
+    if sum(f.files for f in able) < 2:
+        return snapshot
+    scan = store.read_snapshot(snapshot, able)
+    meta = scan.metadataColumn("_metadata")
+    # Row counts come from the files' footers; the driver gets one row per file.
+    files = scan.groupBy(meta.getField("file_path").alias("path"), meta.getField("file_size").alias("size")).count().collect()
+    names = {r["path"]: store.place_in_folder(r["path"]) for r in files}
+    small = [r for r in files if r["size"] < small_bytes]
+    wanted = _file_count(sum(r["size"] for r in small), target_file_bytes)
+    if len(small) <= wanted:
+        return snapshot
+    merged: list[Folder] = []
+    kept: list[Folder] = []
+    for folder in able:
+        own = [r for r in files if names[r["path"]][0] == folder.path]
+        parts = {True: [r for r in own if r["size"] < small_bytes], False: [r for r in own if r["size"] >= small_bytes]}
+        for is_small, into in ((True, merged), (False, kept)):
+            if parts[is_small]:
+                into.append(
+                    replace(
+                        folder, rows=sum(r["count"] for r in parts[is_small]), files=len(parts[is_small]),
+                        bytes=sum(r["size"] for r in parts[is_small]),
+                        only=() if len(parts[is_small]) == len(own) else tuple(names[r["path"]][1] for r in parts[is_small]),
+                    )
+                )
+    touched = {f.path for f in merged}
+    packed = store.read_snapshot(snapshot, merged).coalesce(wanted)
+    return store.rewrite([packed], snapshot, [f for f in able if f.path in touched], kept=[f for f in kept if f.path in touched])
 
 
 # ---- clustering ----------------------------------------------------------------------------------
@@ -94,98 +116,85 @@ def _edges(values: np.ndarray, levels: int) -> list:
     return sorted(set(picks.tolist()) - {ordered[0]})
 
 
-def _interleave(levels: list, bits: int):
-    """The bits of several level numbers, the highest of each first, as one cell number.
+def _bits(columns: list[np.ndarray], cells: int) -> list[int]:
+    """Bits of each column's level, so that together they give so many cells.
 
-    Works on columns and on arrays alike.
+    A column gets no more than its different values need; what it leaves goes to the others in turn.
     """
-    cell = None
-    for bit in reversed(range(bits)):
-        for level in levels:
-            if isinstance(level, Column):
-                digit = F.shiftright(level, bit).bitwiseAND(F.lit(1))
-            else:
-                digit = (level >> bit) & 1
-            cell = digit if cell is None else cell * 2 + digit
-    return cell
-
-
-def _stretch(count: int, bits: int) -> float:
-    """Maps 0..count to the full range of levels, so a column with few values keeps its weight."""
-    return ((1 << bits) - 1) / count if count else 0.0
+    most = [math.ceil(math.log2(max(1, len(np.unique(v[v == v]))) )) for v in columns]
+    bits = [0] * len(columns)
+    while sum(bits) < math.log2(cells) and bits != most:
+        for i in range(len(columns)):
+            if bits[i] < most[i] and sum(bits) < math.log2(cells):
+                bits[i] += 1
+    return bits
 
 
 def _levels(keys: np.ndarray, cuts: list, bits: int) -> np.ndarray:
+    """How many edges each key has reached, stretched to the full range of levels."""
+    if not cuts:
+        return np.zeros(len(keys), np.int64)
     passed = np.searchsorted(np.array(cuts, dtype=keys.dtype), keys, side="right")
-    return np.floor(passed * _stretch(len(cuts), bits)).astype(np.int64)
-
+    return passed * ((1 << bits) - 1) // len(cuts)
 
-def _literal(value: float | str) -> str:
-    if isinstance(value, str):
-        return f"CAST(X'{value.encode().hex()}' AS STRING)"
-    return f"DOUBLE('{value}')"
-
-
-def _level_column(key: str, cuts: list, bits: int) -> Column:
-    """How many edges a key has reached, stretched to the full range of levels, as ``_levels`` does.
-
-    One comparison per edge, all of them in generated code. SQL text spares a call per edge.
-    """
-    passed = " + ".join(f"INT({key} >= {_literal(cut)})" for cut in cuts) or "0"
-    return F.expr(f"INT(FLOOR(({passed}) * {_stretch(len(cuts), bits)}D))")
 
-
-def _double_array(values: np.ndarray) -> Column:
-    return F.expr("array(" + ",".join(f"{value:.9f}D" for value in values) + ")")
+def _interleave(levels: list[np.ndarray], bits: list[int]) -> np.ndarray:
+    """The bits of several level numbers, the highest of each first, as one cell number."""
+    cell = np.zeros(len(levels[0]), np.int64)
+    for rank in range(max(bits, default=0)):
+        for level, own in zip(levels, bits):
+            if rank < own:
+                cell = cell * 2 + ((level >> (own - 1 - rank)) & 1)
+    return cell
 
 
 def cluster(df: DataFrame, columns: Sequence[str], files: int, rows: int) -> DataFrame:
     """Lay rows out so that each of ``files`` partitions covers a small range of every column.
 
-    ``df`` is a Parquet scan of about ``rows`` rows. A bounded sample gives range edges per column;
-    rows get a level per column, the levels' bits are interleaved into a cell number, and cells go
-    to partitions by their share of the sample. A cell that is worth several partitions, such as one
+    ``df`` is a Parquet scan of about ``rows`` rows. A sample, whose size follows the number of files, gives
+    range edges per column; rows get a level per column, the levels' bits are interleaved into a cell number, and
+    cells go to partitions by their share of the sample. A cell that is worth several partitions, such as one
     value in a third of the rows, is spread over them by row position. There is one shuffle, without
-    the extra pass over all columns that a range repartitioning makes.
+    the extra pass over all columns that a range repartitioning makes. Only the key columns pass through Arrow,
+    where the edges are searched by bisection: edges and cells have no fixed number.
     """
     if files == 1:
         return df.coalesce(1).sortWithinPartitions(*[quoted(name) for name in columns])
-    bits = min(math.ceil(math.log2(files) / len(columns)) + 2, MAX_LEVEL_BITS, MAX_CELL_BITS // len(columns))
     keys = [f"__key{i}" for i in range(len(columns))]
-    levels = [f"__level{i}" for i in range(len(columns))]
     position = df.metadataColumn("_metadata").getField("row_index")
     keyed = df.select(
         "*",
         *[_sort_key(df, column).alias(key) for column, key in zip(columns, keys)],
         F.pmod(F.xxhash64(position), F.lit(SALT_STEPS)).alias("__salt"),
     )
-
-    # Edges only place rows, so the start of a long text is enough for one.
-    texts = {field.name for field in keyed.schema if isinstance(field.dataType, StringType)}
-    sample = (
-        keyed.select(*[F.substring(k, 1, EDGE_TEXT_LENGTH).alias(k) if k in texts else F.col(k) for k in keys])
-        .sample(withReplacement=False, fraction=min(1.0, SAMPLE_ROWS / max(rows, 1)), seed=42)
-        .toPandas()
-    )
+    wanted = max(SAMPLE_ROWS, SAMPLE_ROWS_PER_FILE * files)
+    sample = keyed.select(*keys).sample(False, min(1.0, wanted / max(rows, 1)), seed=42).toPandas()
     values = [sample[key].to_numpy() for key in keys]
-    edges = [_edges(column, 1 << bits) for column in values]
-    cells = _interleave([_levels(column, cuts, bits) for column, cuts in zip(values, edges)], bits)
-    shares = np.bincount(cells, minlength=1 << (bits * len(columns))) / max(len(sample), 1)
+    bits = _bits(values, CELLS_PER_FILE * files)
+    edges = [_edges(column, 1 << n) for column, n in zip(values, bits)]
+    cells = _interleave([_levels(v, cuts, n) for v, cuts, n in zip(values, edges, bits)], bits)
+    # A cell the sample has not met begins where the next one that it has met does.
+    met, counts = np.unique(cells, return_counts=True)
+    shares = counts / max(len(sample), 1)
     starts = np.cumsum(shares) - shares
 
-    cell = F.col("__cell") + 1
-    place = F.element_at(_double_array(starts), cell)
-    width = F.element_at(_double_array(shares), cell)
-    spot = F.floor((place + width * F.col("__salt") / SALT_STEPS) * files)
+    @F.pandas_udf("cell long, spot double")
+    def place(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for *parts, salt in batches:
+            found = [_levels(part.to_numpy(), cuts, n) for part, cuts, n in zip(parts, edges, bits)]
+            cell = _interleave(found, bits)
+            at = np.minimum(np.searchsorted(met, cell), max(len(met) - 1, 0))
+            known = met[at] == cell if len(met) else np.zeros(len(cell), bool)
+            width = np.where(known, shares[at] * salt.to_numpy() / SALT_STEPS, 0.0) if len(met) else 0.0
+            yield pd.DataFrame({"cell": cell, "spot": (starts[at] if len(met) else 0.0) + width})
+
+    spot = F.least(F.floor(F.col("__place.spot") * files), F.lit(files - 1)).cast("int")
     return (
-        keyed.withColumns(
-            {name: _level_column(k, cuts, bits) for name, k, cuts in zip(levels, keys, edges)}
-        )
-        .withColumn("__cell", _interleave([F.col(name) for name in levels], bits))
-        .withColumn("__partition", F.least(spot, F.lit(files - 1)).cast("int"))
+        keyed.withColumn("__place", place(*keys, "__salt"))
+        .withColumns({"__partition": spot, "__cell": F.col("__place.cell")})
         .repartitionById(files, F.col("__partition"))
         .sortWithinPartitions("__cell", *[quoted(name) for name in columns])
-        .drop("__cell", "__salt", "__partition", *keys, *levels)
+        .drop("__cell", "__salt", "__partition", "__place", *keys)
     )
 
 
@@ -194,17 +203,15 @@ def zorder(
     table: str,
     columns: Sequence[str],
     target_file_bytes: int = TARGET_FILE_BYTES,
-    settled_bytes: int = SETTLED_BYTES,
-    job_bytes: int = JOB_BYTES,
+    settled_bytes: int | None = None,
 ) -> int:
     """Cluster the latest version by several columns; returns the version to read from now on.
 
-    Folders that an earlier run clustered by the same columns stay once they have grown to
-    ``settled_bytes``. More than ``job_bytes`` are clustered as several groups of files, one job
-    each, so that no shuffle has to hold the whole table. No new version is made if all data is
-    clustered already.
+    With ``settled_bytes`` the folders that an earlier run clustered by the same columns stay once they have grown
+    to that size; else all data is laid out as one key range. No new version is made if all data is in one
+    folder that is clustered already.
     """
-    return _zorder(store, store.snapshot(table), columns, target_file_bytes, settled_bytes, job_bytes)
+    return _zorder(store, store.snapshot(table), columns, target_file_bytes, settled_bytes).version
 
 
 def _zorder(
@@ -212,26 +219,19 @@ def _zorder(
     snapshot: Snapshot,
     columns: Sequence[str],
     target_file_bytes: int,
-    settled_bytes: int = SETTLED_BYTES,
-    job_bytes: int = JOB_BYTES,
-) -> int:
-    if not 0 < len(columns) <= MAX_CELL_BITS:
-        raise ValueError(f"give 1 to {MAX_CELL_BITS} columns to cluster by")
+    settled_bytes: int | None = None,
+) -> Snapshot:
+    if not columns:
+        raise ValueError("give columns to cluster by")
     by = tuple(columns)
-    stale = [f for f in snapshot.folders if f.clustered_by != by or f.bytes < settled_bytes]
+    stale = [
+        f for f in snapshot.folders if f.clustered_by != by or settled_bytes is None or f.bytes < settled_bytes
+    ]
     if not stale or (len(stale) == 1 and stale[0].clustered_by == by):
-        return snapshot.version
+        return snapshot
     size, rows = sum(f.bytes for f in stale), sum(f.rows for f in stale)
-    groups = max(1, math.ceil(size / job_bytes))
-    files = _file_count(size // groups, target_file_bytes)
-    scan = store.read_snapshot(snapshot, stale)
-    # The hash is constant within a file, so a group's scan leaves the other files out.
-    group = F.pmod(F.xxhash64(scan.metadataColumn("_metadata").getField("file_path")), F.lit(groups))
-    parts = [
-        cluster(scan.where(group == i) if groups > 1 else scan, columns, files, rows // groups)
-        for i in range(groups)
-    ]
-    return store.rewrite(parts, snapshot, stale, clustered_by=by)
+    laid = cluster(store.read_snapshot(snapshot, stale), columns, _file_count(size, target_file_bytes), rows)
+    return store.rewrite([laid], snapshot, stale, clustered_by=by)
 
 
 # ---- report --------------------------------------------------------------------------------------
@@ -246,13 +246,12 @@ def optimize_table(
     """Compact a table, or cluster it if columns are given, and report the files before and after."""
     before = store.snapshot(table)
     if zorder_columns:
-        version = _zorder(store, before, zorder_columns, target_file_bytes)
+        after = _zorder(store, before, zorder_columns, target_file_bytes)
     else:
-        version = _compact(store, before, target_file_bytes)
-    after = before if version == before.version else store.snapshot(table, version)
+        after = _compact(store, before, target_file_bytes)
     return {
         "table": table,
-        "version": version,
+        "version": after.version,
         "files_before": before.files,
         "files_after": after.files,
     }

@@ -20,9 +20,6 @@ from stratakit.functions.rules import Rule, breaks, percentage, tests_membership
 from stratakit.operators.sampling import SAMPLE_LIMIT, SAMPLE_RATIO, sample_bernoulli
 
 HIGH_NULL_PERCENT = 5
-# Samples up to this size are reduced to booleans and counted from ``take``, which stops reading
-# after the first partitions. Larger ones are counted on the executors.
-TAKE_AT_MOST = 10_000
 
 Rules = Iterable[Mapping[str, str]] | None
 
@@ -81,15 +78,7 @@ def _count(
     sampled = df if sample_ratio is None else sample_bernoulli(df, sample_ratio)
     capped = sample_ratio is not None and limit is not None
     width = len(df.columns) if nulls else 0
-    end = width + len(rules)
-
-    if capped and limit <= TAKE_AT_MOST and not any(map(tests_membership, rules)):
-        frame, flags = _flags(sampled, rules, nulls)
-        rows = frame.select(*[flag.alias(f"f{i}") for i, flag in enumerate(flags)]).take(limit)
-        counts = [sum(1 for row in rows if row[i]) for i in range(len(flags))]
-        return Counts(len(rows), counts[:width], counts[width:end], counts[end:])
-
-    plain = [rule for rule in rules if not tests_membership(rule)]
+    plain = [rule for rule in rules if not tests_membership(df, rule)]
     # Several jobs have to see the same capped sample, also if an executor is lost in between.
     reused = capped and len(plain) < len(rules)
     if reused:
@@ -154,11 +143,10 @@ def rule_report(df: DataFrame, rules: Rules) -> DataFrame:
             "rule_name string, description string, sample_size long, failing_count long,"
             " unknown_count long, failing_pct double, passed boolean",
         )
-    plain = [rule for rule in usable if not tests_membership(rule)]
+    members = [rule for rule in usable if tests_membership(df, rule)]
+    plain = [rule for rule in usable if rule not in members]
     reports = [_rule_rows(_totals(df, plain, nulls=False), plain)] if plain else []
-    reports += [
-        _rule_rows(_membership_totals(df, rule), [rule]) for rule in usable if tests_membership(rule)
-    ]
+    reports += [_rule_rows(_membership_totals(df, rule), [rule]) for rule in members]
     report = reduce(DataFrame.unionAll, reports)
     return report.withColumns(
         {
@@ -185,14 +173,21 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 
 def schema_profile(df: DataFrame) -> DataFrame:
-    """One row per column: position, name, type, and whether it may be NULL."""
-    return df.sparkSession.createDataFrame(
-        [
-            (i, f.name, f.dataType.simpleString(), f.nullable)
-            for i, f in enumerate(df.schema.fields)
-        ],
-        "position int, column_name string, data_type string, nullable boolean",
-    )
+    """One row per column: position, name, type, whether it may be NULL, and how many values it has.
+
+    The values are counted in one scan, all columns at once.
+    """
+    entries = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(field.name).alias("column_name"),
+            F.lit(field.dataType.simpleString()).alias("data_type"),
+            F.lit(field.nullable).alias("nullable"),
+            (F.col("n") - F.col(f"f{i}")).alias("value_count"),
+        )
+        for i, field in enumerate(df.schema.fields)
+    ]
+    return _totals(df, [], nulls=True).select(F.inline(F.array(*entries)))
 
 
 # ---- dict reports --------------------------------------------------------------------------------
@@ -203,7 +198,7 @@ def _percent(part: int, total: int) -> float:
 
 
 def _quality_dict(
-    df: DataFrame, layer_name: str, counts: Counts, row_count: int, sample_ratio: float | None
+    df: DataFrame, layer_name: str, counts: Counts, row_count: int, sample_ratio: float | None, limit: int | None
 ) -> dict[str, Any]:
     shares = {c: _percent(n, counts.rows) for c, n in zip(df.columns, counts.nulls)}
     return {
@@ -215,12 +210,20 @@ def _quality_dict(
         "sample_size": counts.rows,
         "null_percentages": shares,
         "high_null_columns": {c: p for c, p in shares.items() if p > HIGH_NULL_PERCENT},
-        "sample_ratio": sample_ratio,
+        **_sampling(counts, sample_ratio, limit),
         "timestamp": datetime.now().isoformat(),
     }
 
 
-def _validation_dict(rules: list[Rule], counts: Counts, sample_ratio: float | None) -> dict[str, Any]:
+def _sampling(counts: Counts, sample_ratio: float | None, limit: int | None) -> dict[str, Any]:
+    """What the counts rest on: all rows, or a sample that its cap may have cut."""
+    limit = None if sample_ratio is None else limit
+    return {"sample_ratio": sample_ratio, "sample_limit": limit, "cap_reached": limit is not None and counts.rows >= limit}
+
+
+def _validation_dict(
+    rules: list[Rule], counts: Counts, sample_ratio: float | None, limit: int | None
+) -> dict[str, Any]:
     results = {
         rule.name: {
             "description": rule.description,
@@ -234,7 +237,7 @@ def _validation_dict(rules: list[Rule], counts: Counts, sample_ratio: float | No
     return {
         "validation_results": results,
         "sample_size": counts.rows,
-        "sample_ratio": sample_ratio,
+        **_sampling(counts, sample_ratio, limit),
         "timestamp": datetime.now().isoformat(),
         "all_passed": all(result["passed"] for result in results.values()),
     }
@@ -259,7 +262,7 @@ def quality_metrics(
     """
     counts = _count(df, [], True, sample_ratio, limit_sample_size)
     rows = _row_count(df, counts, sample_ratio, row_count)
-    return _quality_dict(df, layer_name, counts, rows, sample_ratio)
+    return _quality_dict(df, layer_name, counts, rows, sample_ratio, limit_sample_size)
 
 
 def validation_report(
@@ -271,7 +274,7 @@ def validation_report(
     """Failing rows per rule in a sample; in all rows if ``sample_ratio`` is None."""
     usable = usable_rules(rules)
     counts = _count(df, usable, False, sample_ratio, limit_sample_size)
-    return _validation_dict(usable, counts, sample_ratio)
+    return _validation_dict(usable, counts, sample_ratio, limit_sample_size)
 
 
 def inspect(
@@ -287,6 +290,6 @@ def inspect(
     counts = _count(df, usable, True, sample_ratio, limit_sample_size)
     rows = _row_count(df, counts, sample_ratio, row_count)
     return (
-        _quality_dict(df, layer_name, counts, rows, sample_ratio),
-        _validation_dict(usable, counts, sample_ratio),
+        _quality_dict(df, layer_name, counts, rows, sample_ratio, limit_sample_size),
+        _validation_dict(usable, counts, sample_ratio, limit_sample_size),
     )

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
 from stratakit.functions.rules import quoted
 
 SAMPLE_RATIO = 0.05
 SAMPLE_LIMIT = 1000
 SAMPLE_SEED = 42
-KEY_BUCKETS = 10_000
+HASH_SPACE = 1 << 60
 
 
 def sample_bernoulli(df: DataFrame, ratio: float = SAMPLE_RATIO, seed: int = SAMPLE_SEED) -> DataFrame:
@@ -27,18 +28,36 @@ def sample_capped(
     return sample_bernoulli(df, ratio, seed).limit(limit)
 
 
+def key_digest(df: DataFrame, keys: Sequence[str]) -> Column:
+    """MD5 of a row's keys, each with its length or a mark for NULL, so that no two keys look alike.
+
+    A row whose keys are all NULL is told apart by its other integers and texts.
+    """
+
+    def marked(name: str) -> Column:
+        text = quoted(name).cast("string")
+        return F.when(text.isNull(), F.lit("N")).otherwise(F.concat(F.lit("V"), F.char_length(text), F.lit(":"), text))
+
+    others = [
+        f.name for f in df.schema.fields if f.name not in keys and isinstance(f.dataType, (IntegralType, StringType))
+    ]
+    own = F.concat(*[marked(k) for k in keys])
+    none = F.coalesce(*[quoted(k).cast("string") for k in keys]).isNull()
+    return F.md5(F.when(none, F.concat(own, *[marked(k) for k in others])).otherwise(own))
+
+
 def sample_keyed(
     df: DataFrame, keys: Sequence[str], ratio: float = SAMPLE_RATIO, limit: int | None = None
 ) -> DataFrame:
-    """The rows whose key falls into the first hash buckets.
+    """The rows whose key has a low hash: 60 bits of it are compared with the ratio.
 
     The sample is a plain filter: the same rows under any partitioning, and no shuffle. With a limit
-    it keeps the rows with the lowest hashes, which is an unbiased choice of keys.
+    it keeps the rows with the lowest hashes, which is an unbiased choice of keys. Rows without any key
+    are drawn one by one.
     """
-    key = F.concat_ws("|", *[quoted(k).cast("string") for k in keys])
-    digest = F.md5(key)
-    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % KEY_BUCKETS
-    sample = df.where(bucket < round(ratio * KEY_BUCKETS))
+    digest = key_digest(df, keys)
+    place = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+    sample = df.where(place < round(ratio * HASH_SPACE))
     if limit is None:
         return sample
     return sample.orderBy(digest, *[quoted(k) for k in keys]).limit(limit)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame
 
-from stratakit.sources.storage import append_json_lines, path_exists
+from stratakit.sources.storage import create_text, path_exists
 from stratakit.sources.tables import TableStore
 
 CHECKPOINT_SCHEMA = """
@@ -40,7 +41,8 @@ def checkpoint(
 def save_checkpoints(store: TableStore, records: Sequence[dict[str, Any]]) -> None:
     if records:
         lines = [{**record, "metadata": json.dumps(record["metadata"])} for record in records]
-        append_json_lines(store.spark, _folder(store), lines)
+        text = "".join(json.dumps(line) + "\n" for line in lines)
+        create_text(store.spark, f"{_folder(store)}/{uuid.uuid4().hex}.json", text)
 
 
 def read_checkpoints(store: TableStore, pipeline_id: str | None = None) -> DataFrame:

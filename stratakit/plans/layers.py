@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from stratakit.operators.quality import Rules, inspect
-from stratakit.operators.sampling import SAMPLE_LIMIT, SAMPLE_RATIO
 from stratakit.plans.checkpoints import checkpoint, save_checkpoints
 from stratakit.sources.files import ingest
 from stratakit.sources.tables import TableStore, Transform, append_writer, overwrite_writer
@@ -45,11 +44,11 @@ class LayerResult:
 
 @dataclass(frozen=True)
 class Checks:
-    """How a layer is checked. Without rules there are no checks; without a ratio all rows are read."""
+    """How a layer is checked: all rows it stored, or a sample if a ratio is given. Without rules there are no checks."""
 
     rules: Rules = None
-    sample_ratio: float | None = SAMPLE_RATIO
-    limit_sample_size: int | None = SAMPLE_LIMIT
+    sample_ratio: float | None = None
+    limit_sample_size: int | None = None
 
     def run(self, df: DataFrame, layer: str, row_count: int | None):
         if not self.rules:
@@ -80,7 +79,7 @@ def _publish(
     if mode == "write":
         before = store.current(table)
         write()
-        metrics = [row["operationMetrics"] for row in store.write_metrics(table, before.version).collect()]
+        metrics = store.metrics_since(table, before.version)
         after = store.snapshot(table)
         df, version = store.read_snapshot(after), after.version
         # A writer that stored nothing leaves nothing new to check; then the table is checked.
@@ -122,8 +121,8 @@ def run_bronze(
     pipeline_id: str = "test",
     mode: str = "test",
     bronze_writer: Writer | None = None,
-    sample_ratio: float | None = SAMPLE_RATIO,
-    limit_sample_size: int | None = SAMPLE_LIMIT,
+    sample_ratio: float | None = None,
+    limit_sample_size: int | None = None,
     options: dict[str, str] | None = None,
 ) -> LayerResult:
     """Ingest files with provenance columns. The default writer appends."""
@@ -167,8 +166,8 @@ def run_silver(
     pipeline_id: str = "test",
     mode: str = "test",
     silver_writer: Writer | None = None,
-    sample_ratio: float | None = SAMPLE_RATIO,
-    limit_sample_size: int | None = SAMPLE_LIMIT,
+    sample_ratio: float | None = None,
+    limit_sample_size: int | None = None,
     source: DataFrame | None = None,
 ) -> LayerResult:
     """Cleanse a version of the bronze table (the latest if none is named).
@@ -205,8 +204,8 @@ def run_gold(
     pipeline_id: str = "test",
     mode: str = "test",
     gold_writer: Writer | None = None,
-    sample_ratio: float | None = SAMPLE_RATIO,
-    limit_sample_size: int | None = SAMPLE_LIMIT,
+    sample_ratio: float | None = None,
+    limit_sample_size: int | None = None,
     source: DataFrame | None = None,
     parallel_tables: int = 4,
 ) -> dict[str, LayerResult]:
@@ -219,6 +218,8 @@ def run_gold(
     _check_mode(mode)
     if gold_transform is None:
         raise ValueError("the gold layer needs a transform that returns a dict of DataFrames")
+    if mode == "write" and not gold_table:
+        raise ValueError("the gold layer needs a name for its tables to write them")
     silver, silver_version = _source(store, silver_table, silver_version, source)
     writer = gold_writer or overwrite_writer(store)
     frames = dict(gold_transform(silver))

@@ -15,7 +15,6 @@ from pyspark.sql.types import StructType
 
 from stratakit.operators.layout import TARGET_FILE_BYTES, optimize_table
 from stratakit.operators.quality import Rules
-from stratakit.operators.sampling import SAMPLE_LIMIT, SAMPLE_RATIO
 from stratakit.plans.layers import Writer, run_bronze, run_gold, run_silver
 from stratakit.sources.tables import TableStore, Transform
 
@@ -62,8 +61,8 @@ def run_pipeline(
     gold_validation_rules: Rules | Mapping[str, Rules] = None,
     pipeline_name: str = "pipeline",
     silver_zorder_columns: Sequence[str] | None = None,
-    sample_ratio: float | None = SAMPLE_RATIO,
-    limit_sample_size: int | None = SAMPLE_LIMIT,
+    sample_ratio: float | None = None,
+    limit_sample_size: int | None = None,
     source_options: dict[str, str] | None = None,
     target_file_bytes: int = TARGET_FILE_BYTES,
     raise_on_error: bool = False,
@@ -85,6 +84,8 @@ def run_pipeline(
     versions: dict[str, Any] = {}
     error: Exception | None = None
     try:
+        if gold_table and gold_transform is None:
+            raise ValueError("gold tables need a transform that returns a dict of DataFrames")
         with _stage(metrics, "bronze") as stage:
             bronze = run_bronze(
                 store, source_format, source_path, bronze_schema, bronze_table, bronze_transform,

@@ -1,14 +1,14 @@
-"""Where files live: existence and size of folders, scratch folders, one-line commits."""
+"""Where files live: existence and size of folders, scratch folders, small text files.
+
+Small files are written and read through the session's file system, without a Spark job.
+"""
 
 from __future__ import annotations
 
-import json
 import tempfile
 import uuid
-from typing import Any
-
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 _local_scratch: tempfile.TemporaryDirectory | None = None
 
@@ -31,15 +31,39 @@ def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
     return summary.getFileCount() - int(fs.exists(marker)), summary.getLength()
 
 
-def append_json_lines(spark: SparkSession, path: str, records: list[dict[str, Any]]) -> None:
-    """Append a few driver-side records as one JSON file; the file committer publishes it by a rename."""
-    text = "\n".join(json.dumps(record) for record in records)
-    (
-        spark.range(0, 1, 1, 1)
-        .select(F.lit(text).alias("value"))
-        .write.mode("append")
-        .text(path)
-    )
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is missing."""
+    fs, hadoop_path = _hadoop_path(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a new small file; FileExistsError if there is one of this name."""
+    fs, hadoop_path = _hadoop_path(spark, path)
+    try:
+        out = fs.create(hadoop_path, False)
+    except Py4JJavaError as error:
+        if fs.exists(hadoop_path):
+            raise FileExistsError(path) from error
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _hadoop_path(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def move_aside(spark: SparkSession, path: str, target: str) -> None:
+    fs, hadoop_path = _hadoop_path(spark, path)
+    fs.rename(hadoop_path, _hadoop_path(spark, target)[1])
 
 
 def scratch_folder(spark: SparkSession) -> str:

@@ -1,17 +1,13 @@
-"""Versioned Parquet tables: each write is a new folder, and a history row names it.
+"""Versioned Parquet tables: each write is a new folder, and a small file per version lists its folders.
 
 Layout below the store's root folder::
 
-    tables/<name>/data/<random id>/part-*.parquet          rows of one write
-    tables/<name>/history/section=<n>/part-*.txt           one JSON line per version
+    tables/<name>/data/__write=<random id>/...parquet   rows of one write
+    tables/<name>/versions/<n>.json                   one line: folders, schema and metrics of version n
 
-Data is written first and the history line last, so a write that dies half-way leaves a folder that
-no version names. A version consists of the folders added up to it, without those that an overwrite
-or a rewrite replaced. Old versions therefore stay readable. A table has one writer at a time;
-readers need no coordination.
-
-A section holds the lines of ``SECTION`` versions. Its first line lists all folders of its version,
-so finding a version's folders takes one section, however long the history is.
+Data is written first and the version's file last, so a write that dies half-way leaves a folder that
+no version names. Old versions stay readable. A version's file is only ever created, never replaced: of two
+writers of the same version the second fails, and the table stays as the first left it.
 """
 
 from __future__ import annotations
@@ -19,24 +15,25 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
+from typing import Any
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
+from stratakit.functions.rules import quoted
 from stratakit.functions.schemas import merge_types, nullable
-from stratakit.sources.storage import append_json_lines, folder_size, path_exists
+from stratakit.sources.storage import create_text, folder_size, list_names, move_aside, read_text
 
-FOLDER_TYPE = "struct<path: string, rows: long, files: long, bytes: long, clustered_by: array<string>>"
-HISTORY_SCHEMA = f"""
-    version long, timestamp timestamp, operation string, added {FOLDER_TYPE}, removed array<string>,
-    folders array<{FOLDER_TYPE}>, schema_json string, operationMetrics map<string, string>
+HISTORY_SCHEMA = """
+    version long, timestamp timestamp, operation string, schema_json string, operationMetrics map<string, string>
 """
-SECTION = 100
 MISSING = -1
+WRITE_COLUMN = "__write"
 Transform = Callable[[DataFrame], DataFrame]
 
 
@@ -44,6 +41,10 @@ class TableNotFoundError(LookupError):
     pass
 
 
+class ConcurrentWriteError(RuntimeError):
+    """Another writer made, or began, the version that was to be written."""
+
+
 @dataclass(frozen=True)
 class Folder:
     path: str
@@ -51,10 +52,8 @@ class Folder:
     files: int
     bytes: int
     clustered_by: tuple[str, ...] = ()
-
-    @classmethod
-    def from_row(cls, row: Row) -> Folder:
-        return cls(row.path, row.rows, row.files, row.bytes, tuple(row.clustered_by or ()))
+    only: tuple[str, ...] = ()
+    """Files of the folder that belong to the version, if others of it were rewritten."""
 
 
 @dataclass(frozen=True)
@@ -65,6 +64,7 @@ class Snapshot:
     version: int
     schema: StructType | None
     folders: tuple[Folder, ...] = ()
+    partition_by: tuple[str, ...] = ()
 
     @property
     def rows(self) -> int:
@@ -89,105 +89,77 @@ class TableStore:
     # ---- reading -------------------------------------------------------------------------------
 
     def exists(self, table: str) -> bool:
-        return self._has_section(table, 0)
+        return bool(self._versions(table))
 
     def history(self, table: str) -> DataFrame:
         """One row per version."""
         self._require(table)
-        history = self.spark.read.schema(HISTORY_SCHEMA).json(self._folder(table, "history"))
-        return history.drop("section", "folders")
+        return self.spark.read.schema(HISTORY_SCHEMA).json(self._folder(table, "versions")).where("version is not null")
 
     def last_history(self, table: str, n: int = 1) -> DataFrame:
         return self.history(table).orderBy(F.desc("version")).limit(n)
 
     def latest_version(self, table: str) -> int:
         """The newest version, or -1 if the table is missing."""
-        for section in self._sections_from_last(table):
-            lines = self._read_section(table, section).coalesce(1)
-            version = lines.agg(F.max("version").alias("newest")).first()["newest"]
-            if version is not None:
-                return version
-        return MISSING
+        return self.current(table).version
 
     def write_metrics(self, table: str, since: int = MISSING) -> DataFrame:
         """Metrics of the writes after a version, oldest first; no rows if nothing was written.
 
         These are a few short lines, so one task sorts them and there is no shuffle.
         """
-        self._require(table)
-        history = self.spark.read.schema(HISTORY_SCHEMA).json(self._folder(table, "history"))
         return (
-            history.where((F.col("section") >= max(since, 0) // SECTION) & (F.col("version") > since))
-            .coalesce(1)
-            .orderBy("version")
+            self.history(table).where(F.col("version") > since).coalesce(1).orderBy("version")
             .select("version", "operation", "operationMetrics")
         )
 
-    def snapshot(self, table: str, version: int | None = None) -> Snapshot:
-        """Folders and schema of a version (the latest by default).
+    def metrics_since(self, table: str, since: int) -> list[dict[str, str]]:
+        """The same metrics as dicts, without a Spark job."""
+        last = self.latest_version(table)
+        return [self._record(table, v)["operationMetrics"] for v in self._versions(table) if since < v <= last]
 
-        One section of the history reaches the driver: a short row per commit, and the folders and
-        the schema where they are stated in full.
-        """
+    def snapshot(self, table: str, version: int | None = None) -> Snapshot:
+        """Folders and schema of a version (the latest by default), from its own small file."""
         self._require(table)
-        snapshot = self._replay(table, version)
-        if snapshot.version == MISSING or version not in (None, snapshot.version):
-            raise LookupError(f"table {table} has no version {version}")
-        return snapshot
-
-    def current(self, table: str) -> Snapshot:
-        """The latest version, or version -1 without folders if the table is missing."""
-        return self._replay(table, None)
-
-    def _replay(self, table: str, version: int | None) -> Snapshot:
-        """The last version up to the given one, in its section."""
         if version is None:
-            sections = self._sections_from_last(table)
+            found = self.current(table)
         else:
-            sections = [version // SECTION] if self._has_section(table, version // SECTION) else []
-        rows: list[Row] = []
-        for section in sections:
-            lines = self._read_section(table, section).drop("timestamp", "operationMetrics")
-            if version is not None:
-                lines = lines.where(F.col("version") <= version)
-            rows = sorted(lines.collect(), key=lambda row: row.version)
-            if rows:
-                break
-        if not rows:
-            return Snapshot(table, MISSING, None)
+            record = self._record(table, version) if version in self._versions(table) else None
+            found = self._as_snapshot(table, record)
+        if found.version == MISSING:
+            raise LookupError(f"table {table} has no version {'yet' if version is None else version}")
+        return found
 
-        versions = [row.version for row in rows]
-        if len(set(versions)) < len(versions):
-            raise RuntimeError(f"table {table} had two writers at once: {versions}")
-        live = {row.path: Folder.from_row(row) for row in rows[0].folders}
-        schema_json = rows[0].schema_json
-        for row in rows[1:]:
-            if row.operation == "OVERWRITE":
-                live.clear()
-            for path in row.removed:
-                live.pop(path)
-            live[row.added.path] = Folder.from_row(row.added)
-            schema_json = row.schema_json or schema_json
-        schema = StructType.fromJson(json.loads(schema_json))
-        return Snapshot(table, versions[-1], schema, tuple(live.values()))
+    def current(self, table: str) -> Snapshot:
+        """The latest finished version, or version -1 without folders if there is none."""
+        for version in reversed(self._versions(table)):
+            record = self._record(table, version)
+            if record:
+                return self._as_snapshot(table, record)
+        return Snapshot(table, MISSING, None)
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
         """A version of a table, the latest by default. Version 0 is a version like any other."""
         return self.read_snapshot(self.snapshot(table, version))
 
     def read_snapshot(self, snapshot: Snapshot, folders: Sequence[Folder] | None = None) -> DataFrame:
-        """Scan the named folders only, with the schema the version had when it was written."""
+        """Scan the named folders only, with the schema the version had when it was written.
+
+        Filters on the columns a table is partitioned by leave out whole folders.
+        """
+        base = self._folder(snapshot.table, "data")
         paths = [
-            self._folder(snapshot.table, "data", folder.path)
-            for folder in (snapshot.folders if folders is None else folders)
+            f"{base}/{f.path}/{file}".rstrip("/")
+            for f in (snapshot.folders if folders is None else folders) for file in (f.only or ("",))
         ]
-        return self.spark.read.schema(snapshot.schema).parquet(*paths)
+        schema = StructType([*snapshot.schema.fields, StructField(WRITE_COLUMN, StringType())])
+        found = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+        return found.select(*[quoted(name) for name in snapshot.schema.names])
 
     def detail(self, table: str, version: int | None = None) -> DataFrame:
-        """One row: version, files, rows and bytes, taken from the history without a data scan."""
+        """One row: version, files, rows and bytes, taken from the version's file without a data scan."""
         snapshot = self.snapshot(table, version)
-        lines = self._read_section(table, snapshot.version // SECTION)
-        return lines.where(F.col("version") == snapshot.version).select(
+        return self.history(table).where(F.col("version") == snapshot.version).select(
             F.lit(table).alias("table_name"),
             "version",
             F.lit(snapshot.files).cast("long").alias("num_files"),
@@ -197,15 +169,18 @@ class TableStore:
 
     # ---- writing -------------------------------------------------------------------------------
 
-    def append(self, df: DataFrame, table: str) -> int:
-        """Add rows as a new version. New columns join the table; a changed type is an error."""
-        current = self.current(table)
-        return self._commit([df], current, "APPEND")
+    def append(self, df: DataFrame, table: str, partition_by: Sequence[str] | None = None) -> int:
+        """Add rows as a new version. New columns join the table, and narrower numbers take its type;
+        another changed type is an error. A table keeps the columns it was first partitioned by.
+        """
+        return self._commit([df], self.current(table), "APPEND", partition_by=partition_by).version
 
-    def overwrite(self, df: DataFrame, table: str, replace_schema: bool = False) -> int:
+    def overwrite(
+        self, df: DataFrame, table: str, replace_schema: bool = False, partition_by: Sequence[str] | None = None
+    ) -> int:
         """Replace all rows as a new version. Columns are merged unless the schema is replaced too."""
         current = self.current(table)
-        return self._commit([df], current, "OVERWRITE", replace_schema=replace_schema)
+        return self._commit([df], current, "OVERWRITE", replace_schema, partition_by=partition_by).version
 
     def rewrite(
         self,
@@ -213,13 +188,32 @@ class TableStore:
         snapshot: Snapshot,
         replaced: Sequence[Folder],
         clustered_by: Sequence[str] = (),
-    ) -> int:
+        kept: Sequence[Folder] = (),
+    ) -> Snapshot:
         """Put other files with the same rows in the place of some folders of the latest version.
 
+        ``kept`` are those folders again, each with the files only that stay.
+
         The parts are written one after another and become visible together. The version is only
         published if they have as many rows as the folders they replace.
         """
-        return self._commit(parts, snapshot, "OPTIMIZE", replaced=replaced, clustered_by=clustered_by)
+        return self._commit(parts, snapshot, "OPTIMIZE", replaced=replaced, clustered_by=clustered_by, kept=kept)
+
+    def place_in_folder(self, file_path: str) -> tuple[str, str]:
+        """Name of the write folder that a file lies in, and its place there."""
+        found = re.search(rf"/({WRITE_COLUMN}=[0-9a-f]+)/(.+)$", file_path)
+        return found[1], unquote(found[2])
+
+    def discard_unfinished(self, table: str) -> list[str]:
+        """Names of version files that a writer left unfinished when it died; they are moved aside.
+
+        Only for use when no writer is at work: until then such a file stops further writes.
+        """
+        bad = [v for v in self._versions(table) if not self._record(table, v)]
+        for version in bad:
+            path = self._folder(table, "versions", f"{version}.json")
+            move_aside(self.spark, path, self._folder(table, f"unfinished-{uuid.uuid4().hex}"))
+        return [f"{v}.json" for v in bad]
 
     def _commit(
         self,
@@ -229,70 +223,79 @@ class TableStore:
         replace_schema: bool = False,
         replaced: Sequence[Folder] = (),
         clustered_by: Sequence[str] = (),
-    ) -> int:
+        kept: Sequence[Folder] = (),
+        partition_by: Sequence[str] | None = None,
+    ) -> Snapshot:
         schema = nullable(parts[0].schema)
         if current.schema is not None and not replace_schema:
             schema = merge_types(current.schema, schema)
+        by = current.partition_by if partition_by is None else tuple(partition_by)
+        stays = current.folders if operation != "OVERWRITE" else ()
+        if stays and by != current.partition_by:
+            raise ValueError(f"table {current.table} is partitioned by {current.partition_by}, not {by}")
+        if missing := set(by) - set(schema.names):
+            raise ValueError(f"no column {sorted(missing)} to partition by")
         version = current.version + 1
-        name = uuid.uuid4().hex
+        if version in self._versions(current.table):
+            raise ConcurrentWriteError(f"version {version} of {current.table} is there already, or unfinished")
+        name = f"{WRITE_COLUMN}={uuid.uuid4().hex}"
         folder = self._folder(current.table, "data", name)
 
         rows = 0
         for part in parts:
             # The row count is taken in the write job itself, in its last stage.
             counted = Observation()
-            part.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(folder)
+            writer = _cast(part, schema).observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("append")
+            (writer.partitionBy(*by) if by else writer).parquet(folder)
             rows += counted.get["rows"]
         files, size = folder_size(self.spark, folder)
-        if replaced and rows != sum(f.rows for f in replaced):
+        if replaced and rows != sum(f.rows for f in replaced) - sum(f.rows for f in kept):
             raise RuntimeError(f"rewriting {current.table} gave {rows} rows, so it was not published")
 
-        added = Folder(name, rows, files, size, tuple(clustered_by))
         gone = list(current.folders) if operation == "OVERWRITE" else list(replaced)
+        # Partitioning writes no file for no rows, and such a folder can't be listed beside others.
+        added = (Folder(name, rows, files, size, tuple(clustered_by)),) if files else ()
+        folders = tuple(f for f in current.folders if f not in gone) + tuple(kept) + added
         metrics = {"numFiles": files, "numOutputRows": rows, "numOutputBytes": size}
         if gone:
-            metrics["numRemovedFiles"] = sum(f.files for f in gone)
+            metrics["numRemovedFiles"] = sum(f.files for f in gone) - sum(f.files for f in kept)
         record = {
             "version": version,
             "timestamp": datetime.now(timezone.utc).isoformat(timespec="milliseconds"),
             "operation": operation,
-            "added": asdict(added),
-            "removed": [f.path for f in replaced],
             "operationMetrics": {key: str(value) for key, value in metrics.items()},
+            "schema_json": schema.json(),
+            "partition_by": by,
+            "folders": [asdict(f) for f in folders],
         }
-        if version % SECTION == 0:
-            record["folders"] = [asdict(f) for f in current.folders if f not in gone] + [asdict(added)]
-        if version % SECTION == 0 or schema != current.schema:
-            record["schema_json"] = schema.json()
-        append_json_lines(self.spark, self._section(current.table, version // SECTION), [record])
-        return version
+        try:
+            create_text(self.spark, self._folder(current.table, "versions", f"{version}.json"), json.dumps(record) + "\n")
+        except FileExistsError as error:
+            raise ConcurrentWriteError(f"another writer made version {version} of {current.table}") from error
+        return Snapshot(current.table, version, schema, folders, by)
 
-    # ---- history files -------------------------------------------------------------------------
+    # ---- version files -------------------------------------------------------------------------
 
     def _require(self, table: str) -> None:
         if not self.exists(table):
             raise TableNotFoundError(f"table {table} does not exist in {self.root}")
 
-    def _section(self, table: str, section: int) -> str:
-        return self._folder(table, "history", f"section={section}")
-
-    def _has_section(self, table: str, section: int) -> bool:
-        return path_exists(self.spark, self._section(table, section))
+    def _versions(self, table: str) -> list[int]:
+        """Numbers that have a file, finished or not."""
+        names = list_names(self.spark, self._folder(table, "versions"))
+        return sorted(int(m[1]) for m in (re.fullmatch(r"(\d+)\.json", n) for n in names) if m)
 
-    def _read_section(self, table: str, section: int) -> DataFrame:
-        return self.spark.read.schema(HISTORY_SCHEMA).json(self._section(table, section))
+    def _record(self, table: str, version: int) -> dict[str, Any] | None:
+        """What a version's file says; None while its line is not finished."""
+        text = read_text(self.spark, self._folder(table, "versions", f"{version}.json"))
+        return json.loads(text) if text.endswith("\n") else None
 
-    def _sections_from_last(self, table: str) -> Iterator[int]:
-        """Section numbers downwards. The last may be empty, if its first commit never finished."""
-        if not self._has_section(table, 0):
-            return
-        low, high = 0, 1
-        while self._has_section(table, high):
-            low, high = high, high * 2
-        while high - low > 1:
-            middle = (low + high) // 2
-            low, high = (middle, high) if self._has_section(table, middle) else (low, middle)
-        yield from range(low, -1, -1)
+    def _as_snapshot(self, table: str, record: dict[str, Any] | None) -> Snapshot:
+        if record is None:
+            return Snapshot(table, MISSING, None)
+        folders = tuple(Folder(**{**f, "clustered_by": tuple(f["clustered_by"]), "only": tuple(f["only"])}) for f in record["folders"])
+        schema = StructType.fromJson(json.loads(record["schema_json"]))
+        return Snapshot(table, record["version"], schema, folders, tuple(record["partition_by"]))
 
     def _folder(self, table: str, *parts: str) -> str:
         if not isinstance(table, str) or not re.fullmatch(r"\w[\w.-]*", table):
@@ -300,19 +303,30 @@ class TableStore:
         return "/".join([self.root, "tables", table, *parts])
 
 
-def append_writer(store: TableStore) -> Callable[..., int]:
+def _cast(df: DataFrame, schema: StructType) -> DataFrame:
+    """Numbers that are narrower than the table's column take its type."""
+    types = {f.name.lower(): f.dataType for f in schema.fields}
+    wider = {
+        f.name: quoted(f.name).cast(types[f.name.lower()])
+        for f in nullable(df.schema).fields
+        if not isinstance(f.dataType, (StructType, ArrayType, MapType)) and types[f.name.lower()] != f.dataType
+    }
+    return df.select(*[wider[c].alias(c) if c in wider else quoted(c) for c in df.columns]) if wider else df
+
+
+def append_writer(store: TableStore, partition_by: Sequence[str] | None = None) -> Callable[..., int]:
     """A layer writer that applies the transform, if there is one, and appends."""
 
     def write(df: DataFrame, table: str, transform: Transform | None = None) -> int:
-        return store.append(df.transform(transform) if transform else df, table)
+        return store.append(df.transform(transform) if transform else df, table, partition_by)
 
     return write
 
 
-def overwrite_writer(store: TableStore) -> Callable[..., int]:
+def overwrite_writer(store: TableStore, partition_by: Sequence[str] | None = None) -> Callable[..., int]:
     """A layer writer that applies the transform, if there is one, and replaces the table."""
 
     def write(df: DataFrame, table: str, transform: Transform | None = None) -> int:
-        return store.overwrite(df.transform(transform) if transform else df, table)
+        return store.overwrite(df.transform(transform) if transform else df, table, partition_by=partition_by)
 
     return write
