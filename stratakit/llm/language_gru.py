@@ -271,7 +271,8 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
     def label(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             found, scores = predict(batch.fillna("").tolist(), model) if model.languages else ([UNKNOWN] * len(batch), 0.0)
-            yield pd.DataFrame({"lang_pred": found, "score": scores})
+            # Plain objects: pandas' own string column can hold several chunks, which a struct can't take.
+            yield pd.DataFrame({"lang_pred": pd.Series(found, dtype=object), "score": scores}, index=range(len(batch)))
 
     found = rows.toDF(*names).withColumn("found", label(F.col(at)))
     return found.select(*[F.col(n).alias(c) for n, c in zip(names, kept)], "found.lang_pred", "found.score")

@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 
 END = (1).to_bytes(4, "little")
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 600_000
 
 
 class WordTokenizer:
