@@ -233,7 +233,7 @@ def labelled_words(df: DataFrame, text: str, lang: str, key: Column, docs_per_la
                     words = [words[i] for i in sorted(at)]
                 drawn += words
                 langs += [language] * len(words)
-            yield pd.DataFrame({"lang": langs, "word": drawn})
+            yield pd.DataFrame({"lang": langs, "word": drawn}, dtype=object)
 
     sample = usable.where(chosen).select(label.alias("lang"), F.col(f"`{text}`").alias("text"), mark.alias("salt"))
     return sample.mapInPandas(draw, "lang string, word string").toPandas().sort_values(["lang", "word"], ignore_index=True)
