@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratakit.llm.common import bound_batches
 from stratakit.llm.tokens import END, default_path, tokenizer
 
 LENGTH, WINDOW_TOKENS = 2048, 2_000_000
@@ -111,5 +112,6 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
                         pieces, held = [], 0
         yield packed(pieces)
 
+    bound_batches(df.sparkSession)
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     return rows.mapInPandas(run, schema)

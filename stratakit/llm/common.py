@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratakit.sources.storage import scratch_folder
@@ -21,6 +21,16 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """At most so many rows at once go to a Python worker in this session; a smaller setting stays.
+
+    A batch of whole texts stands in memory several times, on both sides, so Spark's 10000 rows are many.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= rows:
+        spark.conf.set(setting, str(rows))
+
+
 def sliced(texts: Iterable[str], most: int) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring texts of at most so many characters together; a longer text stands alone."""
     begin, held, end = 0, 0, 0

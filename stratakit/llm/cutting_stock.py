@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratakit.llm.common import stored
+from stratakit.llm.common import bound_batches, stored
 from stratakit.llm.tokens import END, default_path, tokenizer
 
 LENGTH, WIDTH = 2048, 16
@@ -126,6 +126,7 @@ def token_pieces(df: DataFrame, id_col: str, text_col: str, path: str, length: i
             yield pd.DataFrame(rows, columns=columns)
 
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
+    bound_batches(df.sparkSession)
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     return rows.mapInPandas(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
 

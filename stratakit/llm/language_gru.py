@@ -12,14 +12,14 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratakit.llm.common import sliced
+from stratakit.llm.common import bound_batches, sliced
 
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -187,18 +187,37 @@ def _summed(rows: np.ndarray, model: LanguageModel) -> np.ndarray:
     return position_probabilities(rows, model.weights).sum(1)
 
 
-def predict(texts: list[str], model: LanguageModel) -> tuple[list[str], np.ndarray]:
-    """Language and score of each whole text."""
-    names, scores = [], np.zeros(len(texts))
-    for begin, end in sliced(texts, 16_000_000):
-        number: dict[str, int] = defaultdict(count().__next__)
+class WordSums:
+    """Words seen so far with their sums. Starts anew beyond so many, so that memory stays bounded."""
+
+    def __init__(self, model: LanguageModel, most: int = 100_000):
+        self.model, self.most = model, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = defaultdict(count().__next__)
+        self.sums = np.zeros((0, len(self.model.languages)))
+
+    def of(self, texts: list[str]) -> list[np.ndarray]:
+        """Of each text the sums of all its words together."""
+        if len(self.number) > self.most:
+            self._forget()
+        number, before = self.number, len(self.number)
         found = []
-        for text in texts[begin:end]:
+        for text in texts:
             words = _words(text)
             found.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
-        sums = word_sums(list(number), model)
-        for i, ids in enumerate(found, begin):
-            pooled = sums[ids].sum(0)
+        if len(number) > before:
+            self.sums = np.concatenate([self.sums, word_sums(list(islice(number, before, None)), self.model)])
+        return [self.sums[at].sum(0) for at in found]
+
+
+def predict(texts: list[str], model: LanguageModel, known: WordSums | None = None) -> tuple[list[str], np.ndarray]:
+    """Language and score of each whole text."""
+    known = known or WordSums(model)
+    names, scores = [], np.zeros(len(texts))
+    for begin, end in sliced(texts, 2_000_000):
+        for i, pooled in enumerate(known.of(texts[begin:end]), begin):
             total = pooled.sum()
             best = int(pooled.argmax()) if total > 0 else -1
             names.append(model.languages[best] if total > 0 else UNKNOWN)
@@ -246,6 +265,7 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_i
     Rows without text or language are not used. Without any labelled row the model knows no language and
     predicts ``und``.
     """
+    bound_batches(df.sparkSession)
     words = labelled_words(df, text, lang, F.col(f"`{key}`"), docs_per_language, words_per_doc, seed)
     languages = sorted(words["lang"].unique())
     number = {name: i for i, name in enumerate(languages)}
@@ -259,9 +279,10 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
     """The rows with lang_pred and score added, replacing columns of these names.
 
     ``und`` with score 0 stands for a text that is null, empty or has no letter, and for all texts if the
-    model knows no language. Equal texts get equal results. One pass, no shuffle; memory holds a slice of
-    16 million characters, or one text, and its distinct words.
+    model knows no language. One pass, no shuffle; memory holds a slice of 2 million characters, or one text, its
+    distinct words and up to 100000 words before.
     """
+    bound_batches(df.sparkSession)
     kept = [c for c in df.columns if c.lower() not in ("lang_pred", "score")]
     rows = df.select(*[F.col(f"`{c}`") for c in kept])
     names = [f"c{i}" for i in range(len(kept))]
@@ -269,8 +290,9 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
 
     @F.pandas_udf("lang_pred string, score double")
     def label(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = WordSums(model)
         for batch in texts:
-            found, scores = predict(batch.fillna("").tolist(), model) if model.languages else ([UNKNOWN] * len(batch), 0.0)
+            found, scores = predict(batch.fillna("").tolist(), model, known) if model.languages else ([UNKNOWN] * len(batch), 0.0)
             # Plain objects: pandas' own string column can hold several chunks, which a struct can't take.
             yield pd.DataFrame({"lang_pred": pd.Series(found, dtype=object), "score": scores}, index=range(len(batch)))
 

@@ -25,14 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType
 
-from stratakit.llm.common import components, sliced, stored
+from stratakit.llm.common import bound_batches, components, sliced, stored
 
 PARTS, CHUNKS, DISTANCE = 48, 8, 15
 REJECT = 24
 """Pairs that differ in more values are not confirmed; at similarity 0.85 that has a chance of one in a million."""
 BROADCAST_IDS = 500_000
 """Ids sent to all executors, at most; beyond that the join shuffles."""
-SLICE = 8_000_000
+SLICE = 2_000_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -153,6 +153,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     with the same id count as one document. A row without id has no component and is kept. Sets are held as
     64-bit hashes of their shingles. Other columns are ignored.
     """
+    bound_batches(df.sparkSession)
     base = stored(sketches(df, id_col, text_col, words))
     filled = base.where("id is not null and set_key is not null")
     classes = stored(
