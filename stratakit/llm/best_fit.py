@@ -100,7 +100,8 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
         return pd.DataFrame(rows, columns=["n_tokens", "cu_seqlens", "doc_ids", "starts", "tokens", "positions"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, pieces, held = tokenizer(path).encode, [], 0
+        words, pieces, held = tokenizer(path), [], 0
+        encode = words.encode
         for batch in batches:
             for doc, missing, text in zip(batch["doc_id"], batch["doc_id"].isna(), batch["text"]):
                 ids = encode(text or "") + END
@@ -111,6 +112,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
                         yield packed(pieces)
                         pieces, held = [], 0
         yield packed(pieces)
+        words.forget()
 
     bound_batches(df.sparkSession)
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))

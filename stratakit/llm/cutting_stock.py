@@ -112,7 +112,8 @@ def token_pieces(df: DataFrame, id_col: str, text_col: str, path: str, length: i
     """(doc_id, start, length, ids_crc32, doc_tokens, ids): every document cut at multiples of length."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = tokenizer(path).encode
+        words = tokenizer(path)
+        encode = words.encode
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"]):
@@ -124,6 +125,7 @@ def token_pieces(df: DataFrame, id_col: str, text_col: str, path: str, length: i
                     yield pd.DataFrame(rows, columns=columns)
                     rows = []
             yield pd.DataFrame(rows, columns=columns)
+        words.forget()
 
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
     bound_batches(df.sparkSession)

@@ -35,12 +35,16 @@ class WordTokenizer:
         new = [word for word in set(words) if word not in known]
         if new:
             if len(known) + 2 * len(new) > CACHED_WORDS:
-                known.clear()
-                known[""] = b""
+                self.forget()
                 new = list(set(words))
             self._learn(new)
         return b"".join(map(known.__getitem__, words))
 
+    def forget(self) -> None:
+        """Called when a task ends: its worker waits for others with nothing held."""
+        self.known.clear()
+        self.known[""] = b""
+
     def _learn(self, new: list[str]) -> None:
         known = self.known
         parts = []
