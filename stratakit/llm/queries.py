@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stratakit.llm import (
     best_fit,
+    bit_negatives,
     cutting_stock,
     flow_mix,
     hilbert_search,
@@ -105,7 +106,16 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_search.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-_QUERIES = (op1_graph, op2_secrets, op3_minhash, op4_best_fit, op5_histogram, op6_language, op7_mix, op8_cutting, op9_license, op10_hilbert)
+def op13_onebit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh row are moved on by one before mining."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return bit_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+_QUERIES = (op1_graph, op2_secrets, op3_minhash, op4_best_fit, op5_histogram, op6_language, op7_mix, op8_cutting, op9_license, op10_hilbert,
+            op13_onebit)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -158,5 +168,29 @@ _MINHASH = _SHINGLES.replace("WITH", "WITH RECURSIVE", 1) + """
 """
 
 
+_NEGATIVES = """
+    WITH usable AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND list_count(embedding) = len(embedding)
+          AND list_bool_and(list_transform(embedding, lambda x: isfinite(x)))
+    ), scored AS (
+        SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id,
+               list_inner_product(a.v, b.v)::BIGINT AS score
+        FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+    ), positives AS (
+        SELECT * FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+    )
+    SELECT anchor_id, p.id AS positive_id,
+           (row_number() OVER (PARTITION BY anchor_id, p.id ORDER BY n.score DESC, n.id))::INTEGER AS rank,
+           n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives p JOIN scored n USING (anchor_id)
+    WHERE NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+    QUALIFY rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_graph": _NEAR_VECTORS, "op3_minhash": _MINHASH}
+    return {"op1_graph": _NEAR_VECTORS, "op3_minhash": _MINHASH, "op13_onebit": _NEGATIVES}
