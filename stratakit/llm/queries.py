@@ -15,6 +15,7 @@ from stratakit.llm import (
     hilbert_search,
     histogram_sort,
     language_gru,
+    letter_tree,
     license_index,
     minhash_hamming,
     secret_markov,
@@ -106,6 +107,11 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_search.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op12_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 31st run, by its hash in its document, loses a letter before words are counted."""
+    return letter_tree.variants(_table(spark, sf_dir, "documents"), drop_each=31)
+
+
 def op13_onebit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels of every seventh row are moved on by one before mining."""
     label = F.col("label").cast("long")
@@ -115,7 +121,7 @@ def op13_onebit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (op1_graph, op2_secrets, op3_minhash, op4_best_fit, op5_histogram, op6_language, op7_mix, op8_cutting, op9_license, op10_hilbert,
-            op13_onebit)
+            op12_kdtree, op13_onebit)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
