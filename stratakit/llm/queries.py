@@ -19,6 +19,7 @@ from stratakit.llm import (
     license_index,
     minhash_hamming,
     secret_markov,
+    suffix_groups,
     vector_graph,
 )
 
@@ -107,6 +108,10 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_search.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_deepshallow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_groups.remove_repeats(_table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op12_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every 31st run, by its hash in its document, loses a letter before words are counted."""
     return letter_tree.variants(_table(spark, sf_dir, "documents"), drop_each=31)
@@ -121,7 +126,7 @@ def op13_onebit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (op1_graph, op2_secrets, op3_minhash, op4_best_fit, op5_histogram, op6_language, op7_mix, op8_cutting, op9_license, op10_hilbert,
-            op12_kdtree, op13_onebit)
+            op11_deepshallow, op12_kdtree, op13_onebit)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -196,7 +201,35 @@ _NEGATIVES = """
     WHERE NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
     QUALIFY rank <= 10
 """
+_REPEATS = """
+    WITH bodies AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    starts AS (
+        SELECT doc_id, unnest(generate_series(0, length(h) // 2 - 100)) AS pos, h FROM bodies WHERE length(h) >= 200
+    ), strings AS (SELECT doc_id, pos, md5(substr(h, 2 * pos + 1, 200)) AS s FROM starts),
+    repeats AS (
+        SELECT doc_id, pos FROM strings QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, pos) > 1
+    ), runs AS (
+        SELECT doc_id, pos, coalesce(pos - lag(pos) OVER w > 100, true) AS new FROM repeats
+        WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+    ), numbered AS (
+        SELECT doc_id, pos, sum(new::INTEGER) OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM runs
+    ), spans AS (
+        SELECT doc_id, min(pos) AS first, max(pos) + 100 AS past FROM numbered GROUP BY doc_id, span
+    ), cuts AS (
+        SELECT doc_id, count(*) AS n_spans, sum(past - first)::BIGINT AS n_removed,
+               list([first, past] ORDER BY first) AS cuts FROM spans GROUP BY doc_id
+    ), pieces AS (
+        SELECT doc_id, h, coalesce(n_spans, 0) AS n_spans, coalesce(n_removed, 0) AS n_removed,
+               list_concat([0], list_transform(coalesce(cuts, []), lambda c: c[2])) AS begins,
+               list_concat(list_transform(coalesce(cuts, []), lambda c: c[1]), [length(h) // 2]) AS ends
+        FROM bodies LEFT JOIN cuts USING (doc_id)
+    )
+    SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, n_removed, n_spans,
+           sha256(unhex(array_to_string(list_transform(range(1, len(begins) + 1),
+               lambda i: substr(h, (2 * begins[i] + 1)::BIGINT, (2 * (ends[i] - begins[i]))::BIGINT)), ''))) AS kept_sha256
+    FROM pieces
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_graph": _NEAR_VECTORS, "op3_minhash": _MINHASH, "op13_onebit": _NEGATIVES}
+    return {"op1_graph": _NEAR_VECTORS, "op3_minhash": _MINHASH, "op11_deepshallow": _REPEATS, "op13_onebit": _NEGATIVES}
