@@ -74,11 +74,11 @@ def split(points: np.ndarray, most: int, rows: np.ndarray | None = None) -> Any:
         return rows
     own = points[rows]
     best = (0, 0, 0)
-    for letter in np.flatnonzero(own.max(0) > own.min(0)):
-        values, counts = np.unique(own[:, letter], return_counts=True)
-        below = np.cumsum(counts)[:-1]
-        i = int(np.abs(below - len(rows) / 2).argmin())
-        best = max(best, (int(min(below[i], len(rows) - below[i])), int(letter), int(values[i + 1])))
+    for value in np.flatnonzero(np.bincount(own.ravel()))[1:].tolist():
+        above = (own >= value).sum(0)
+        even = np.minimum(above, len(rows) - above)
+        letter = int(even.argmax())
+        best = max(best, (int(even[letter]), letter, value))
     if not best[0]:
         return rows
     _, letter, least = best
@@ -151,15 +151,19 @@ def near_pairs(words: list[str], asking: list[str]) -> Iterator[tuple[np.ndarray
     longer = members.shape[1] - visitors.shape[1]
     points, asked = letter_counts(members), letter_counts(visitors)
     used = np.flatnonzero((points.max(0) > 0) | (asked.max(0) > 0))
+    small = np.uint8 if members.shape[1] < 256 else np.int32
     points, asked = np.ascontiguousarray(points[:, used]), np.ascontiguousarray(asked[:, used])
+    narrow, narrow_asked = points.astype(small), asked.astype(small)
     wanted = members.shape[1] - 1  # letters in common, either way
     for own, rows in reached(split(points, LEAF_WORDS), asked, 1, 1 - longer):
         at_once = max(1, COMPARED // (8 * len(own)))
+        theirs = narrow[own]
         for i in range(0, len(rows), at_once):
             part = rows[i : i + at_once]
-            common = np.zeros((len(part), len(own)), np.int32)
-            for letter in range(len(used)):
-                common += np.minimum(asked[part, letter][:, None], points[own, letter][None, :])
+            mine = narrow_asked[part]
+            common = np.zeros((len(part), len(own)), small)
+            for letter in np.flatnonzero(theirs.any(0) & mine.any(0)):
+                common += np.minimum(mine[:, letter, None], theirs[None, :, letter])
             x, y = np.nonzero(common == wanted)
             x, y = part[x], own[y]
             together = max(1, COMPARED // members.shape[1])
