@@ -230,6 +230,20 @@ def rule_report(spark, sf_dir):
     return _rounded(sk.rule_report(_table(spark, sf_dir, "events"), EVENT_RULES), "failing_pct")
 
 
+def rule_report_membership(spark, sf_dir):
+    """Orders against customers, one of whom has no key; all rules from one scan of the orders."""
+    _table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_custkey") % 50 > 0, F.col("c_custkey")).alias("key"), "c_custkey"
+    ).createOrReplaceTempView("known_customers")
+    rules = [
+        {"name": "known", "condition": "o_custkey in (select key from known_customers)"},
+        {"name": "not_in_the_first", "condition": "o_custkey not in (select c_custkey from known_customers where c_custkey < 100)"},
+        {"name": "in_none", "condition": "o_custkey in (select c_custkey from known_customers where false)"},
+        {"name": "positive_price", "condition": "o_totalprice > 0"},
+    ]
+    return _rounded(sk.rule_report(_table(spark, sf_dir, "orders"), rules), "failing_pct")
+
+
 def rule_failing_rows(spark, sf_dir):
     return sk.failing_rows(_table(spark, sf_dir, "lineitem"), "l_quantity > 10 and l_discount < 0.08")
 
@@ -477,7 +491,7 @@ def dry_run(spark, sf_dir):
     )
 
 
-def _pipeline(spark, sf_dir):
+def _pipeline(spark, sf_dir, **options):
     store = _store(spark)
     result = sk.run_pipeline(
         store, "parquet", f"{sf_dir}/orders.parquet", ORDERS,
@@ -485,7 +499,7 @@ def _pipeline(spark, sf_dir):
         silver_transform=_clean, gold_transform=_summaries,
         bronze_validation_rules=ORDER_RULES, silver_validation_rules=ORDER_RULES,
         pipeline_name="orders", silver_zorder_columns=["o_orderdate", "o_orderpriority"],
-        raise_on_error=True,
+        raise_on_error=True, **options,
     )
     return store, result
 
@@ -501,6 +515,67 @@ def full_pipeline(spark, sf_dir):
     return store.read("gold_monthly", result["gold_versions"]["gold_monthly"])
 
 
+def silver_written_once(spark, sf_dir):
+    """A run that clusters silver in its only write: folders, files, and files that can hold a point in time."""
+    store = _store(spark)
+    _bronze(store, sf_dir)
+    target = max(1, store.snapshot("bronze_orders").bytes // 16)
+    result = sk.run_pipeline(
+        store, "parquet", f"{sf_dir}/orders.parquet", ORDERS, "bronze", "silver", "gold",
+        silver_transform=_clean, gold_transform=_summaries, silver_zorder_columns=["o_orderdate"],
+        target_file_bytes=target, cluster_in_write=True, raise_on_error=True,
+    )
+    silver = store.snapshot("silver", result["silver_version"])
+    rows = store.read_snapshot(silver)
+    files = rows.groupBy(rows.metadataColumn("_metadata").getField("file_path").alias("file")).agg(
+        F.min("o_orderdate").alias("low"), F.max("o_orderdate").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    points = rows.groupBy("o_orderdate").agg(F.count(F.lit(1)).alias("own"))
+    hits = points.join(F.broadcast(files), F.expr("o_orderdate between low and high"))
+    overlap = hits.agg((F.count(F.lit(1)) / F.countDistinct("o_orderdate") <= 1.5).alias("separate_ranges"))
+    return overlap.join(files.agg((F.count(F.lit(1)) >= 8).alias("several_files"), F.sum("n").alias("row_count"))).select(
+        "*", F.lit(len(silver.folders)).cast("long").alias("folders"), F.lit(silver.version).cast("long").alias("version"),
+    )
+
+
+def _two_inputs(spark, sf_dir, **options):
+    """Two runs over the two halves of the orders, which lie in a folder each."""
+    folder = sk.scratch_folder(spark)
+    store = _store(spark)
+    for i, half in enumerate(_orders_halves(spark, sf_dir)):
+        half.write.parquet(f"{folder}/{i}")
+        result = sk.run_pipeline(
+            store, "parquet", f"{folder}/{i}", ORDERS, "bronze", "silver", "gold",
+            silver_transform=_clean, gold_transform=_summaries, raise_on_error=True, incremental=True, **options,
+        )
+    return store, result
+
+
+def incremental_run(spark, sf_dir):
+    """The second run reads the second half only; the monthly table equals that of a whole run."""
+    store, result = _two_inputs(spark, sf_dir)
+    return store.read("gold_monthly", result["gold_versions"]["gold_monthly"])
+
+
+def incremental_writes(spark, sf_dir):
+    """What the two runs wrote to silver, and whether it now holds the last version of bronze."""
+    store, result = _two_inputs(spark, sf_dir)
+    current = store.consumed("silver", "bronze") == result["bronze_version"]
+    return store.history("silver").where("operation <> 'OPTIMIZE'").select(
+        "operation", F.col("operationMetrics")["numOutputRows"].cast("long").alias("row_count"), F.lit(current).alias("is_current")
+    )
+
+
+def merge_upsert(spark, sf_dir):
+    """Late orders at twice their price, and as many new ones, merged into all orders by key."""
+    store = _two_versions(spark, sf_dir)
+    late = _orders_halves(spark, sf_dir)[1]
+    changed = late.withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    new = late.withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    store.merge(changed.union(new), "orders", ["o_orderkey"])
+    return store.read("orders")
+
+
 def failed_run(spark, sf_dir):
     """A run whose gold transform raises: how each stage ended, and the rows stored until then."""
 
@@ -544,12 +619,13 @@ _QUERIES = (
     ingest_parquet, ingest_csv, ingest_json, ingest_multi_path, provenance,
     write_append, write_overwrite, read_as_of, read_latest, schema_merge, schema_merge_upcast, write_partitioned,
     table_history, latest_version, write_metrics, history_last_n, table_detail,
-    table_shape, null_profile, high_null_columns, rule_report, rule_failing_rows,
+    table_shape, null_profile, high_null_columns, rule_report, rule_report_membership, rule_failing_rows,
     rules_all_passed, schema_profile, sample_bernoulli, sample_capped, sample_keyed,
     sample_keyed_small, sample_keyed_nulls, sample_keyed_capped, late_failures,
     optimize_compact, optimize_zorder, optimize_report, compact_mixed, zorder_overlap,
     bronze_layer, silver_layer, gold_layer, gold_fan_out, checkpoint_log, lineage,
     dry_run, stage_metrics, full_pipeline, failed_run, run_ids,
+    silver_written_once, incremental_run, incremental_writes, merge_upsert,
 )
 
 
@@ -614,6 +690,19 @@ def _low(digest: str, ratio: float) -> str:
     return f"('0x' || substr({digest}, 1, 15))::BIGINT < {round(ratio * (1 << 60))}"
 
 
+_MEMBER_RULES = " UNION ALL ".join(
+    f"""SELECT '{name}' AS rule_name, '' AS description, count(*) AS sample_size,
+        count(*) FILTER (WHERE NOT ({condition})) AS failing_count,
+        count(*) FILTER (WHERE ({condition}) IS NULL) AS unknown_count,
+        round((count(*) FILTER (WHERE NOT ({condition}))) * 100.0::DOUBLE / count(*), 6) AS failing_pct,
+        (count(*) FILTER (WHERE NOT ({condition}))) = 0 AS passed FROM orders"""
+    for name, condition in (
+        ("known", "o_custkey IN (SELECT CASE WHEN c_custkey % 50 > 0 THEN c_custkey END FROM customer)"),
+        ("not_in_the_first", "o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey < 100)"),
+        ("in_none", "o_custkey IN (SELECT c_custkey FROM customer WHERE false)"),
+        ("positive_price", "o_totalprice > 0"),
+    )
+)
 _STAGES = ("bronze", "bronze_optimize", "silver", "silver_optimize", "gold", "gold_optimize")
 
 
@@ -662,6 +751,7 @@ def _oracle_sql() -> dict[str, str]:
         "null_profile": _NULL_PROFILE,
         "high_null_columns": f"SELECT column_name, null_pct FROM ({_NULL_PROFILE}) WHERE null_pct > 5",
         "rule_report": _RULES,
+        "rule_report_membership": _MEMBER_RULES,
         "rule_failing_rows": "SELECT * FROM lineitem WHERE NOT (l_quantity > 10 AND l_discount < 0.08)",
         "rules_all_passed": f"""
             SELECT 'some_fail' AS rule_set, bool_and(passed) AS all_passed FROM ({_RULES})
@@ -741,6 +831,21 @@ def _oracle_sql() -> dict[str, str]:
             SELECT {_MONTHS} AS month_count, {_COUNT_SILVER} AS order_count, 0::BIGINT AS tables_written
         """,
         "full_pipeline": _MONTHLY,
+        "silver_written_once": f"""
+            SELECT true AS separate_ranges, true AS several_files, {_COUNT_SILVER} AS row_count, 1::BIGINT AS folders,
+                   0::BIGINT AS version FROM orders LIMIT 1
+        """,
+        "incremental_run": _MONTHLY,
+        "incremental_writes": f"""
+            SELECT 'OVERWRITE' AS operation, true AS is_current,
+                   (SELECT count(*) FROM orders WHERE o_totalprice > 1000 AND {_EARLY}) AS row_count
+            UNION ALL SELECT 'APPEND', true, (SELECT count(*) FROM orders WHERE o_totalprice > 1000 AND NOT ({_EARLY}))
+        """,
+        "merge_upsert": f"""
+            SELECT * FROM orders WHERE {_EARLY}
+            UNION ALL SELECT * REPLACE (o_totalprice * 2 AS o_totalprice) FROM orders WHERE NOT ({_EARLY})
+            UNION ALL SELECT * REPLACE (-o_orderkey - 1 AS o_orderkey) FROM orders WHERE NOT ({_EARLY})
+        """,
         "stage_metrics": " UNION ALL ".join(
             f"SELECT {i}::INTEGER AS position, '{stage}' AS stage, 'success' AS status, true AS is_timed"
             for i, stage in enumerate(_STAGES)

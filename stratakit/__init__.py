@@ -1,6 +1,7 @@
 """Layered batch pipelines on plain Parquet: ingest, versioned tables, checks, layout, full runs."""
 
-from stratakit.operators.layout import compact, optimize_report, optimize_table, zorder
+from stratakit.operators.layout import clustered_writer, compact, optimize_report, optimize_table, write_clustered, zorder
+from stratakit.operators.membership import mark_members
 from stratakit.operators.quality import (
     failing_rows,
     high_null_columns,
@@ -26,12 +27,14 @@ __all__ = [
     "TableStore",
     "append_writer",
     "checkpoint",
+    "clustered_writer",
     "compact",
     "failing_rows",
     "high_null_columns",
     "ingest",
     "inspect",
     "lineage",
+    "mark_members",
     "new_pipeline_id",
     "null_profile",
     "optimize_report",
@@ -56,5 +59,6 @@ __all__ = [
     "stamp_provenance",
     "table_shape",
     "validation_report",
+    "write_clustered",
     "zorder",
 ]

@@ -15,6 +15,7 @@ from pyspark.sql.types import (
     ShortType,
     StructField,
     StructType,
+    VariantType,
 )
 
 INTEGERS = (ByteType, ShortType, IntegerType, LongType)
@@ -37,6 +38,15 @@ def nullable(data_type: DataType) -> DataType:
     return data_type
 
 
+def holds_map(data_type: DataType) -> bool:
+    """Whether Spark can't hash values of the type."""
+    if isinstance(data_type, StructType):
+        return any(holds_map(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, ArrayType):
+        return holds_map(data_type.elementType)
+    return isinstance(data_type, (MapType, VariantType))
+
+
 def is_narrower(new: DataType, old: DataType) -> bool:
     """Whether every value of the new type is one of the old, wider number type."""
     if isinstance(new, INTEGERS) and isinstance(old, INTEGERS):

@@ -7,12 +7,14 @@ rewrites the folders that are not clustered by the same columns yet, as one key
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
-from dataclasses import replace
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass, replace
 from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -25,13 +27,16 @@ from pyspark.sql.types import (
 )
 
 from stratakit.functions.rules import quoted
-from stratakit.sources.tables import Folder, Snapshot, TableStore
+from stratakit.functions.schemas import holds_map
+from stratakit.sources.tables import Folder, Snapshot, TableStore, Transform
 
 TARGET_FILE_BYTES = 256 * 1024**2
 # A file is small if it has less than this part of the target.
 SMALL_FILE_SHARE = 0.25
 # Rows that reach the driver to find the range edges of a clustering: so many for each file, and at least.
 SAMPLE_ROWS_PER_FILE, SAMPLE_ROWS = 50, 50_000
+# Rows of each partition that stand for all of it where the size of a frame is not known.
+SKETCH_ROWS = 200
 # Cells for each file, at least, as far as the columns have different values.
 CELLS_PER_FILE = 4
 SALT_STEPS = 1 << 20
@@ -104,15 +109,18 @@ def _sort_key(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot cluster by {name} of type {data_type.simpleString()}")
 
 
-def _edges(values: np.ndarray, levels: int) -> list:
-    """Distinct quantiles of the values, without their minimum: at most ``levels`` - 1 of them.
+def _edges(values: np.ndarray, weights: np.ndarray, levels: int) -> list:
+    """Distinct quantiles of the weighted values, without their minimum: at most ``levels`` - 1 of them.
 
     NaN is no edge: it sorts above all other values and so passes every edge by itself.
     """
-    ordered = np.sort(values[values == values])
-    if len(ordered) == 0:
+    real = values == values
+    values, weights = values[real], weights[real]
+    if len(values) == 0:
         return []
-    picks = ordered[np.arange(1, levels) * len(ordered) // levels]
+    order = np.argsort(values, kind="stable")
+    ordered, passed = values[order], np.cumsum(weights[order])
+    picks = ordered[np.minimum(np.searchsorted(passed, np.arange(1, levels) * passed[-1] / levels, side="right"), len(ordered) - 1)]
     return sorted(set(picks.tolist()) - {ordered[0]})
 
 
@@ -148,6 +156,55 @@ def _interleave(levels: list[np.ndarray], bits: list[int]) -> np.ndarray:
     return cell
 
 
+@dataclass(frozen=True)
+class Placement:
+    """Where rows go: edges of each key column, the cells that a weighted sample has met, and their shares."""
+
+    bits: list[int]
+    edges: list[list]
+    met: np.ndarray
+    shares: np.ndarray
+
+    @classmethod
+    def of(cls, values: list[np.ndarray], weights: np.ndarray, files: int) -> Placement:
+        bits = _bits(values, CELLS_PER_FILE * files)
+        edges = [_edges(column, weights, 1 << n) for column, n in zip(values, bits)]
+        cells = _interleave([_levels(v, cuts, n) for v, cuts, n in zip(values, edges, bits)], bits)
+        met, at = np.unique(cells, return_inverse=True)
+        return cls(bits, edges, met, np.bincount(at, weights, len(met)) / max(weights.sum(), 1e-9))
+
+    def lay(self, keyed: DataFrame, keys: list[str], columns: Sequence[str], files: int) -> DataFrame:
+        """One shuffle to ``files`` partitions by the keys and ``__salt``, each sorted by cell and columns."""
+        bits, edges, met, shares = self.bits, self.edges, self.met, self.shares
+        # A cell the sample has not met begins where the next one that it has met does.
+        starts = np.cumsum(shares) - shares
+
+        @F.pandas_udf("cell long, spot double")
+        def place(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+            for *parts, salt in batches:
+                found = [_levels(part.to_numpy(), cuts, n) for part, cuts, n in zip(parts, edges, bits)]
+                cell = _interleave(found, bits)
+                at = np.minimum(np.searchsorted(met, cell), max(len(met) - 1, 0))
+                known = met[at] == cell if len(met) else np.zeros(len(cell), bool)
+                width = np.where(known, shares[at] * salt.to_numpy() / SALT_STEPS, 0.0) if len(met) else 0.0
+                yield pd.DataFrame({"cell": cell, "spot": (starts[at] if len(met) else 0.0) + width})
+
+        spot = F.least(F.floor(F.col("__place.spot") * files), F.lit(files - 1)).cast("int")
+        return (
+            keyed.withColumn("__place", place(*keys, "__salt"))
+            .withColumns({"__partition": spot, "__cell": F.col("__place.cell")})
+            .repartitionById(files, F.col("__partition"))
+            .sortWithinPartitions("__cell", *[quoted(name) for name in columns])
+            .drop("__cell", "__salt", "__partition", "__place", *keys)
+        )
+
+
+def _keyed(df: DataFrame, columns: Sequence[str], salt: Column) -> tuple[DataFrame, list[str]]:
+    keys = [f"__key{i}" for i in range(len(columns))]
+    own = [_sort_key(df, column).alias(key) for column, key in zip(columns, keys)]
+    return df.select("*", *own, F.pmod(salt, F.lit(SALT_STEPS)).alias("__salt")), keys
+
+
 def cluster(df: DataFrame, columns: Sequence[str], files: int, rows: int) -> DataFrame:
     """Lay rows out so that each of ``files`` partitions covers a small range of every column.
 
@@ -160,42 +217,90 @@ def cluster(df: DataFrame, columns: Sequence[str], files: int, rows: int) -> Dat
     """
     if files == 1:
         return df.coalesce(1).sortWithinPartitions(*[quoted(name) for name in columns])
-    keys = [f"__key{i}" for i in range(len(columns))]
-    position = df.metadataColumn("_metadata").getField("row_index")
-    keyed = df.select(
-        "*",
-        *[_sort_key(df, column).alias(key) for column, key in zip(columns, keys)],
-        F.pmod(F.xxhash64(position), F.lit(SALT_STEPS)).alias("__salt"),
-    )
+    keyed, keys = _keyed(df, columns, F.xxhash64(df.metadataColumn("_metadata").getField("row_index")))
     wanted = max(SAMPLE_ROWS, SAMPLE_ROWS_PER_FILE * files)
     sample = keyed.select(*keys).sample(False, min(1.0, wanted / max(rows, 1)), seed=42).toPandas()
     values = [sample[key].to_numpy() for key in keys]
-    bits = _bits(values, CELLS_PER_FILE * files)
-    edges = [_edges(column, 1 << n) for column, n in zip(values, bits)]
-    cells = _interleave([_levels(v, cuts, n) for v, cuts, n in zip(values, edges, bits)], bits)
-    # A cell the sample has not met begins where the next one that it has met does.
-    met, counts = np.unique(cells, return_counts=True)
-    shares = counts / max(len(sample), 1)
-    starts = np.cumsum(shares) - shares
-
-    @F.pandas_udf("cell long, spot double")
-    def place(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for *parts, salt in batches:
-            found = [_levels(part.to_numpy(), cuts, n) for part, cuts, n in zip(parts, edges, bits)]
-            cell = _interleave(found, bits)
-            at = np.minimum(np.searchsorted(met, cell), max(len(met) - 1, 0))
-            known = met[at] == cell if len(met) else np.zeros(len(cell), bool)
-            width = np.where(known, shares[at] * salt.to_numpy() / SALT_STEPS, 0.0) if len(met) else 0.0
-            yield pd.DataFrame({"cell": cell, "spot": (starts[at] if len(met) else 0.0) + width})
-
-    spot = F.least(F.floor(F.col("__place.spot") * files), F.lit(files - 1)).cast("int")
-    return (
-        keyed.withColumn("__place", place(*keys, "__salt"))
-        .withColumns({"__partition": spot, "__cell": F.col("__place.cell")})
-        .repartitionById(files, F.col("__partition"))
-        .sortWithinPartitions("__cell", *[quoted(name) for name in columns])
-        .drop("__cell", "__salt", "__partition", "__place", *keys)
-    )
+    return Placement.of(values, np.ones(len(sample)), files).lay(keyed, keys, columns, files)
+
+
+def _sketch(keyed: DataFrame, keys: list[str]) -> pd.DataFrame:
+    """A bounded part of each partition's keys, each with the number of rows that it stands for in ``__weight``.
+
+    One pass over the key columns only, also where the frame's size is not known beforehand.
+    """
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rng, held, seen = np.random.default_rng(42), None, 0
+        for batch in batches:
+            seen += len(batch)
+            batch["__weight"] = rng.random(len(batch))
+            held = batch if held is None else pd.concat([held, batch])
+            if len(held) > SKETCH_ROWS:
+                held = held.nsmallest(SKETCH_ROWS, "__weight")
+        if seen:
+            held["__weight"] = seen / len(held)
+            yield held
+
+    part = keyed.select(*keys)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in part.schema.fields)
+    return part.mapInPandas(draw, f"{schema}, __weight double").toPandas()
+
+
+def _row_bytes(df: DataFrame) -> float:
+    """Bytes of a row as Parquet, from a bounded number of rows; it only sets the number of files."""
+    rows = df.limit(SKETCH_ROWS).toArrow()
+    if not rows.num_rows:
+        return 1.0
+    sink = pa.BufferOutputStream()
+    pq.write_table(rows, sink)
+    return sink.getvalue().size / rows.num_rows
+
+
+def write_clustered(
+    store: TableStore,
+    df: DataFrame,
+    table: str,
+    columns: Sequence[str],
+    target_file_bytes: int = TARGET_FILE_BYTES,
+    consumed: Mapping[str, int] | None = None,
+    append: bool = False,
+) -> int:
+    """Write any frame clustered: its rows are shuffled once and written once, as one folder.
+
+    The placement comes from a bounded sample of the frame's own key columns. How large a row is, which sets
+    the number of files, comes from the table's last version or else from a few rows. Rows that are worth several
+    files are spread by a hash of their columns. By default the table's rows are replaced.
+    """
+    if not columns:
+        raise ValueError("give columns to cluster by")
+    able = [quoted(f.name) for f in df.schema.fields if not holds_map(f.dataType)]
+    keyed, keys = _keyed(df, columns, F.xxhash64(*able) if able else F.lit(0))
+    sample = _sketch(keyed, keys)
+    last = store.current(table)
+    each = last.bytes / last.rows if last.rows else _row_bytes(df)
+    rows = float(sample["__weight"].sum())
+    files = _file_count(int(rows * each), target_file_bytes)
+    if files == 1:
+        laid = df.coalesce(1).sortWithinPartitions(*[quoted(name) for name in columns])
+    else:
+        values = [sample[key].to_numpy() for key in keys]
+        laid = Placement.of(values, sample["__weight"].to_numpy(), files).lay(keyed, keys, columns, files)
+    write = store.append if append else store.overwrite
+    return write(laid, table, consumed=consumed, clustered_by=tuple(columns))
+
+
+def clustered_writer(
+    store: TableStore, columns: Sequence[str], target_file_bytes: int = TARGET_FILE_BYTES,
+    consumed: Mapping[str, int] | None = None,
+) -> Callable[..., int]:
+    """A layer writer that applies the transform, if there is one, and replaces the table, clustered."""
+
+    def write(df: DataFrame, table: str, transform: Transform | None = None) -> int:
+        made = df.transform(transform) if transform else df
+        return write_clustered(store, made, table, columns, target_file_bytes, consumed)
+
+    return write
 
 
 def zorder(

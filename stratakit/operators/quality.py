@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratakit.functions.rules import Rule, breaks, percentage, tests_membership, usable_rules
+from stratakit.operators.membership import Membership, as_membership, mark_members
 from stratakit.operators.sampling import SAMPLE_LIMIT, SAMPLE_RATIO, sample_bernoulli
 
 HIGH_NULL_PERCENT = 5
@@ -34,26 +35,47 @@ class Counts(NamedTuple):
 # ---- one row of counts ---------------------------------------------------------------------------
 
 
-def _flags(df: DataFrame, rules: list[Rule], nulls: bool) -> tuple[DataFrame, list[Column]]:
+def _flags(
+    df: DataFrame, rules: list[Rule], nulls: bool, marks: Mapping[Rule, Membership]
+) -> tuple[DataFrame, list[Column]]:
     """The frame under positional names, and boolean columns: nulls, failing rules, unknown rules.
 
-    Positional names keep dotted, back-quoted and repeated column names out of the way.
+    Positional names keep dotted, back-quoted and repeated column names out of the way. Rules that test a membership
+    are mark joins, on top of the one scan that gives all columns and the other rules.
     """
     width = len(df.columns)
-    frame = df.select("*", *[F.expr(r.condition).alias("rule") for r in rules]) if rules else df
+    outcomes = [marks[r].value if r in marks else F.expr(r.condition) for r in rules]
+    frame = df.select("*", *[o.alias("rule") for o in outcomes]) if rules else df
     frame = frame.toDF(*[f"c{i}" for i in range(width)], *[f"r{i}" for i in range(len(rules))])
+    for i, rule in enumerate(rules):
+        if rule in marks:
+            frame = mark_members(frame, f"r{i}", marks[rule].members, negated=marks[rule].negated)
     flags = [F.col(f"c{i}").isNull() for i in range(width)] if nulls else []
     flags += [~F.col(f"r{i}") for i in range(len(rules))]
     flags += [F.col(f"r{i}").isNull() for i in range(len(rules))]
     return frame, flags
 
 
-def _totals(df: DataFrame, rules: list[Rule], nulls: bool, limit: int | None = None) -> DataFrame:
+def _by_price(df: DataFrame, rules: list[Rule]) -> tuple[list[Rule], dict[Rule, Membership]]:
+    """The rules that one scan can answer together, and those of them that are memberships."""
+    together, marks = [], {}
+    for rule in rules:
+        if not tests_membership(df, rule):
+            together.append(rule)
+        elif (mark := as_membership(df, rule.condition)) is not None:
+            together.append(rule)
+            marks[rule] = mark
+    return together, marks
+
+
+def _totals(
+    df: DataFrame, rules: list[Rule], nulls: bool, limit: int | None = None, marks: Mapping[Rule, Membership] | None = None
+) -> DataFrame:
     """One row: ``n`` and one count per flag, ``f0``, ``f1`` and so on.
 
     A limit applies to the booleans, so no row of the data has to pass it.
     """
-    frame, flags = _flags(df, rules, nulls)
+    frame, flags = _flags(df, rules, nulls, marks or {})
     frame = frame.select(*[flag.alias(f"f{i}") for i, flag in enumerate(flags)])
     if limit is not None:
         frame = frame.limit(limit)
@@ -62,7 +84,7 @@ def _totals(df: DataFrame, rules: list[Rule], nulls: bool, limit: int | None = N
 
 
 def _membership_totals(df: DataFrame, rule: Rule) -> DataFrame:
-    """The same row as ``_totals`` for one rule with ``IN (<subquery>)``, which only filters treat right."""
+    """The same row as ``_totals`` for one rule with ``IN (<subquery>)`` amid other tests, which only filters treat right."""
     seen = (
         df.select(F.lit("row").alias("kind"))
         .unionAll(df.where(breaks(rule.condition)).select(F.lit("failing")))
@@ -78,13 +100,13 @@ def _count(
     sampled = df if sample_ratio is None else sample_bernoulli(df, sample_ratio)
     capped = sample_ratio is not None and limit is not None
     width = len(df.columns) if nulls else 0
-    plain = [rule for rule in rules if not tests_membership(df, rule)]
+    plain, marks = _by_price(df, rules)
     # Several jobs have to see the same capped sample, also if an executor is lost in between.
     reused = capped and len(plain) < len(rules)
     if reused:
         sampled, limit = sampled.limit(limit).persist(StorageLevel.MEMORY_AND_DISK_2), None
     try:
-        size, *counts = _totals(sampled, plain, nulls, limit if capped else None).first()
+        size, *counts = _totals(sampled, plain, nulls, limit if capped else None, marks).first()
         split = width + len(plain)
         failing = dict(zip(plain, counts[width:split]))
         unknown = dict(zip(plain, counts[split:]))
@@ -143,10 +165,9 @@ def rule_report(df: DataFrame, rules: Rules) -> DataFrame:
             "rule_name string, description string, sample_size long, failing_count long,"
             " unknown_count long, failing_pct double, passed boolean",
         )
-    members = [rule for rule in usable if tests_membership(df, rule)]
-    plain = [rule for rule in usable if rule not in members]
-    reports = [_rule_rows(_totals(df, plain, nulls=False), plain)] if plain else []
-    reports += [_rule_rows(_membership_totals(df, rule), [rule]) for rule in members]
+    together, marks = _by_price(df, usable)
+    reports = [_rule_rows(_totals(df, together, nulls=False, marks=marks), together)] if together else []
+    reports += [_rule_rows(_membership_totals(df, rule), [rule]) for rule in usable if rule not in together]
     report = reduce(DataFrame.unionAll, reports)
     return report.withColumns(
         {

@@ -9,7 +9,7 @@ hand its frame to the next layer as ``source``.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 from stratakit.operators.quality import Rules, inspect
 from stratakit.plans.checkpoints import checkpoint, save_checkpoints
 from stratakit.sources.files import ingest
-from stratakit.sources.tables import TableStore, Transform, append_writer, overwrite_writer
+from stratakit.sources.tables import MISSING, TableStore, Transform, append_writer, overwrite_writer
 
 MODES = ("test", "write")
 Writer = Callable[..., Any]
@@ -73,6 +73,7 @@ def _publish(
     source_version: int | None,
     metadata: dict[str, Any],
     check_name: str | None = None,
+    recheck: bool = True,
 ) -> LayerResult:
     """The part all layers share: write or preview, check, and make the checkpoint record."""
     started = time.time()
@@ -85,6 +86,8 @@ def _publish(
         # A writer that stored nothing leaves nothing new to check; then the table is checked.
         fresh = [f for f in after.folders if f not in before.folders] or after.folders
         checked, row_count = store.read_snapshot(after, fresh), sum(f.rows for f in fresh)
+        if after.version == before.version and not recheck:
+            checks = Checks()
     else:
         df = checked = preview()
         version, row_count, metrics = None, None, []
@@ -156,6 +159,26 @@ def _source(
     return store.read_snapshot(snapshot), snapshot.version
 
 
+def _increment(
+    store: TableStore, source: str, version: int | None, table: str, transform: Transform | None, keys: Sequence[str] | None
+) -> tuple[DataFrame, int, Callable[[], Any], bool]:
+    """What is new in the source for a table, the source's version, how to write it, and whether there is nothing to do."""
+    until = store.snapshot(source, version).version
+    since = store.consumed(table, source) if store.exists(table) else MISSING
+    if since > until:
+        raise ValueError(f"table {table} holds {source} up to version {since} already")
+    changes = store.changes(source, since, until)
+    rows, marks = store.read_changes(changes), {source: until}
+    if since != MISSING and not changes.replaced and not changes.rows:
+        return rows, until, lambda: None, True
+    made = _apply(rows, transform)
+    if changes.replaced or (since == MISSING and not keys):
+        return rows, until, lambda: store.overwrite(made, table, consumed=marks), False
+    if keys:
+        return rows, until, lambda: store.merge(made, table, keys, consumed=marks), False
+    return rows, until, lambda: store.append(made, table, consumed=marks), False
+
+
 def run_silver(
     store: TableStore,
     bronze_table: str | None,
@@ -169,25 +192,46 @@ def run_silver(
     sample_ratio: float | None = None,
     limit_sample_size: int | None = None,
     source: DataFrame | None = None,
+    incremental: bool = False,
+    merge_keys: Sequence[str] | None = None,
 ) -> LayerResult:
     """Cleanse a version of the bronze table (the latest if none is named).
 
     It gets the whole bronze version, so the default writer replaces the silver table.
+
+    An ``incremental`` run reads only the bronze rows that came since the version silver was last made from, which
+    is kept with the silver table, and appends them; with ``merge_keys`` they take the place of the silver rows
+    with the same keys. The transform must then give for some rows what it gives for them among all. If bronze rows
+    were replaced meanwhile, silver is made anew. Without new rows nothing is written.
     """
     _check_mode(mode)
-    bronze, bronze_version = _source(store, bronze_table, bronze_version, source)
-    writer = silver_writer or overwrite_writer(store)
+    idle = False
+    if incremental or merge_keys:
+        if silver_writer or source is not None:
+            raise ValueError("an incremental run reads a bronze table and writes by itself")
+        bronze, bronze_version, write, idle = _increment(
+            store, bronze_table, bronze_version, silver_table, silver_transform, merge_keys
+        )
+    else:
+        bronze, bronze_version = _source(store, bronze_table, bronze_version, source)
+        if silver_writer is None and source is None and mode == "write":
+            marks = {bronze_table: bronze_version}
+            write = lambda: store.overwrite(_apply(bronze, silver_transform), silver_table, consumed=marks)
+        else:
+            writer = silver_writer or overwrite_writer(store)
+            write = lambda: writer(bronze, silver_table, silver_transform)
     result = _publish(
         store,
         "silver",
         silver_table,
         mode,
-        lambda: writer(bronze, silver_table, silver_transform),
+        write,
         lambda: _apply(bronze, silver_transform),
         Checks(validation_rules, sample_ratio, limit_sample_size),
         pipeline_id,
         bronze_version,
         {"source_bronze_version": bronze_version},
+        recheck=not idle,
     )
     if mode == "write":
         save_checkpoints(store, [result.checkpoint])
@@ -208,12 +252,14 @@ def run_gold(
     limit_sample_size: int | None = None,
     source: DataFrame | None = None,
     parallel_tables: int = 4,
+    skip_unchanged: bool = False,
 ) -> dict[str, LayerResult]:
     """Fan a version of the silver table out into several tables named ``<gold_table>_<name>``.
 
     The tables are independent jobs and a few of them run at a time. Silver is not cached: each
     table scans only the columns it needs. ``validation_rules`` is one list for all tables, or a
-    dict of lists by table name. If a table fails, those already stored keep their checkpoints.
+    dict of lists by table name. If a table fails, those already stored keep their checkpoints. With
+    ``skip_unchanged`` a table stays as it is if silver has got no rows since the version it was made from.
     """
     _check_mode(mode)
     if gold_transform is None:
@@ -223,9 +269,26 @@ def run_gold(
     silver, silver_version = _source(store, silver_table, silver_version, source)
     writer = gold_writer or overwrite_writer(store)
     frames = dict(gold_transform(silver))
+    pinned = source is None and gold_writer is None
+
+    def unchanged(table: str) -> bool:
+        if not (skip_unchanged and pinned and mode == "write" and store.exists(table)):
+            return False
+        made_from = store.consumed(table, silver_table)
+        if not MISSING < made_from <= silver_version:
+            return False
+        changes = store.changes(silver_table, made_from, silver_version)
+        return not changes.replaced and not changes.rows
 
     def build(name: str) -> LayerResult:
         table = f"{gold_table}_{name}"
+        idle = unchanged(table)
+
+        def write():
+            if pinned:
+                return None if idle else store.overwrite(frames[name], table, consumed={silver_table: silver_version})
+            return writer(frames[name], table)
+
         by_table = isinstance(validation_rules, Mapping)
         rules = validation_rules.get(name) if by_table else validation_rules
         return _publish(
@@ -233,13 +296,14 @@ def run_gold(
             f"gold_{name}",
             table,
             mode,
-            lambda: writer(frames[name], table),
+            write,
             lambda: frames[name],
             Checks(rules, sample_ratio, limit_sample_size),
             pipeline_id,
             silver_version,
             {"source_silver_version": silver_version},
             check_name=table,
+            recheck=not idle,
         )
 
     results: dict[str, LayerResult] = {}

@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from stratakit.operators.layout import TARGET_FILE_BYTES, optimize_table
+from stratakit.operators.layout import TARGET_FILE_BYTES, clustered_writer, optimize_table
 from stratakit.operators.quality import Rules
 from stratakit.plans.layers import Writer, run_bronze, run_gold, run_silver
 from stratakit.sources.tables import TableStore, Transform
@@ -66,11 +66,18 @@ def run_pipeline(
     source_options: dict[str, str] | None = None,
     target_file_bytes: int = TARGET_FILE_BYTES,
     raise_on_error: bool = False,
+    incremental: bool = False,
+    silver_keys: Sequence[str] | None = None,
+    cluster_in_write: bool = False,
 ) -> dict[str, Any]:
     """Run all layers in write mode and return a result dict with the metrics of each stage.
 
     Each layer reads the version its predecessor has after optimisation. An error ends the run with
     ``status: failed``, unless it is to be raised. The session stays open.
+
+    With ``cluster_in_write`` silver is clustered by its columns while it is written, in place of being written
+    twice, and its optimisation finds nothing left to do. An ``incremental`` run makes silver from the bronze rows that it does not hold yet, appended or, with
+    ``silver_keys``, merged by these, and makes gold anew only if silver has changed.
     """
     pipeline_id = new_pipeline_id(pipeline_name)
     started = time.time()
@@ -99,9 +106,14 @@ def run_pipeline(
         versions["bronze_version"] = optimized["version"]
 
         with _stage(metrics, "silver") as stage:
+            if cluster_in_write and (silver_writer or incremental or silver_keys or not silver_zorder_columns):
+                raise ValueError("clustering in the write needs columns to cluster by and makes the whole silver table")
+            marks = {bronze_table: versions["bronze_version"]}
             silver = run_silver(
                 store, bronze_table, versions["bronze_version"], silver_table, silver_transform,
-                silver_validation_rules, pipeline_id, "write", silver_writer, **sampling,
+                silver_validation_rules, pipeline_id, "write",
+                clustered_writer(store, silver_zorder_columns, target_file_bytes, marks) if cluster_in_write else silver_writer,
+                incremental=incremental, merge_keys=silver_keys, **sampling,
             )
             stage.update(version=silver.version, source_bronze_version=silver.source_version)
         with _stage(metrics, "silver_optimize") as stage:
@@ -113,7 +125,7 @@ def run_pipeline(
             with _stage(metrics, "gold") as stage:
                 gold = run_gold(
                     store, silver_table, versions["silver_version"], gold_table, gold_transform,
-                    gold_validation_rules, pipeline_id, "write", gold_writer, **sampling,
+                    gold_validation_rules, pipeline_id, "write", gold_writer, skip_unchanged=incremental, **sampling,
                 )
                 stage.update(source_silver_version=versions["silver_version"], tables=list(gold))
             with _stage(metrics, "gold_optimize") as stage:

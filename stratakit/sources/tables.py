@@ -15,8 +15,8 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Callable, Sequence
-from dataclasses import asdict, dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 from typing import Any
 from urllib.parse import unquote
@@ -65,6 +65,8 @@ class Snapshot:
     schema: StructType | None
     folders: tuple[Folder, ...] = ()
     partition_by: tuple[str, ...] = ()
+    consumed: Mapping[str, int] = field(default_factory=dict)
+    """The version of each source table up to which its rows are in this table."""
 
     @property
     def rows(self) -> int:
@@ -79,6 +81,22 @@ class Snapshot:
         return sum(f.bytes for f in self.folders)
 
 
+@dataclass(frozen=True)
+class Changes:
+    """What came to a table after one version, up to another."""
+
+    table: str
+    since: int
+    until: int
+    folders: tuple[Folder, ...]
+    replaced: bool
+    """Rows were removed or changed in between, so the folders are those of the whole later version."""
+
+    @property
+    def rows(self) -> int:
+        return sum(f.rows for f in self.folders)
+
+
 class TableStore:
     """Versioned tables below one root folder, which all executors must be able to reach."""
 
@@ -147,14 +165,54 @@ class TableStore:
 
         Filters on the columns a table is partitioned by leave out whole folders.
         """
+        return self._scan(snapshot, folders).select(*self._names(snapshot))
+
+    def _names(self, snapshot: Snapshot) -> list:
+        return [quoted(name) for name in snapshot.schema.names]
+
+    def _scan(self, snapshot: Snapshot, folders: Sequence[Folder] | None = None) -> DataFrame:
+        """The rows with the folder that each lies in."""
         base = self._folder(snapshot.table, "data")
         paths = [
             f"{base}/{f.path}/{file}".rstrip("/")
             for f in (snapshot.folders if folders is None else folders) for file in (f.only or ("",))
         ]
         schema = StructType([*snapshot.schema.fields, StructField(WRITE_COLUMN, StringType())])
-        found = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
-        return found.select(*[quoted(name) for name in snapshot.schema.names])
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+
+    def changes(self, table: str, since: int, until: int | None = None) -> Changes:
+        """The folders that appends added after version ``since`` (-1: from the start), up to ``until``.
+
+        Rewrites for layout add no rows, and what they replaced can still be read, so they are passed over. After an
+        overwrite or a merge the difference is no longer a set of new rows; the whole later version is given then.
+        """
+        last = self.snapshot(table, until)
+        if not MISSING <= since <= last.version:
+            raise ValueError(f"table {table} has no version {since} up to version {last.version}")
+        if since == MISSING:
+            return Changes(table, since, last.version, last.folders, False)
+        known = {f.path for f in self.snapshot(table, since).folders}
+        added: list[Folder] = []
+        for version in (v for v in self._versions(table) if since < v <= last.version):
+            record = self._record(table, version)
+            if record["operation"] not in ("APPEND", "OPTIMIZE"):
+                return Changes(table, since, last.version, last.folders, True)
+            folders = self._as_snapshot(table, record).folders
+            if record["operation"] == "APPEND":
+                added += [f for f in folders if f.path not in known]
+            known |= {f.path for f in folders}
+        return Changes(table, since, last.version, tuple(added), False)
+
+    def read_changes(self, changes: Changes) -> DataFrame:
+        """Scan only the folders of a difference, with the schema of its later version."""
+        last = self.snapshot(changes.table, changes.until)
+        if changes.folders:
+            return self.read_snapshot(last, changes.folders)
+        return self.spark.createDataFrame([], last.schema)
+
+    def consumed(self, table: str, source: str) -> int:
+        """The version of a source table up to which its rows are in this table, or -1."""
+        return self.current(table).consumed.get(source, MISSING)
 
     def detail(self, table: str, version: int | None = None) -> DataFrame:
         """One row: version, files, rows and bytes, taken from the version's file without a data scan."""
@@ -169,18 +227,52 @@ class TableStore:
 
     # ---- writing -------------------------------------------------------------------------------
 
-    def append(self, df: DataFrame, table: str, partition_by: Sequence[str] | None = None) -> int:
+    def append(
+        self, df: DataFrame, table: str, partition_by: Sequence[str] | None = None, consumed: Mapping[str, int] | None = None,
+        clustered_by: Sequence[str] = (),
+    ) -> int:
         """Add rows as a new version. New columns join the table, and narrower numbers take its type;
         another changed type is an error. A table keeps the columns it was first partitioned by.
+
+        ``consumed`` names the versions of source tables that the rows come from. It becomes visible together with
+        the rows, so a run that dies in between neither loses nor repeats any. ``clustered_by`` says how the rows
+        are laid out already.
         """
-        return self._commit([df], self.current(table), "APPEND", partition_by=partition_by).version
+        options = {"partition_by": partition_by, "consumed": consumed, "clustered_by": clustered_by}
+        return self._commit([df], self.current(table), "APPEND", **options).version
 
     def overwrite(
-        self, df: DataFrame, table: str, replace_schema: bool = False, partition_by: Sequence[str] | None = None
+        self, df: DataFrame, table: str, replace_schema: bool = False, partition_by: Sequence[str] | None = None,
+        consumed: Mapping[str, int] | None = None, clustered_by: Sequence[str] = (),
     ) -> int:
         """Replace all rows as a new version. Columns are merged unless the schema is replaced too."""
+        options = {"partition_by": partition_by, "consumed": consumed, "clustered_by": clustered_by}
+        return self._commit([df], self.current(table), "OVERWRITE", replace_schema, **options).version
+
+    def merge(self, df: DataFrame, table: str, keys: Sequence[str], consumed: Mapping[str, int] | None = None) -> int:
+        """Rows take the place of those with the same keys, and the others are added, as a new version.
+
+        One scan of the key columns finds the folders that hold any of the keys; only these are written again. Keys
+        that are NULL equal none. The rows must not hold a key twice, which one aggregation of their keys makes sure.
+        """
         current = self.current(table)
-        return self._commit([df], current, "OVERWRITE", replace_schema, partition_by=partition_by).version
+        if current.version == MISSING:
+            return self.append(df, table, consumed=consumed)
+        names = [quoted(k) for k in keys]
+        if not names:
+            raise ValueError("give keys to merge by")
+        own = df.select(*names).dropna()
+        if not own.groupBy(*names).count().where("count > 1").isEmpty():
+            raise ValueError(f"rows to merge into {table} hold a key of {list(keys)} more than once")
+        touched = {
+            r[0] for r in self._scan(current).select(*names, WRITE_COLUMN).join(own, list(keys), "left_semi")
+            .select(WRITE_COLUMN).distinct().collect()
+        }
+        replaced = [f for f in current.folders if f.path.removeprefix(f"{WRITE_COLUMN}=") in touched]
+        parts = [df]
+        if replaced:
+            parts.append(self.read_snapshot(current, replaced).join(own, list(keys), "left_anti").select(*self._names(current)))
+        return self._commit(parts, current, "MERGE", replaced=replaced, consumed=consumed).version
 
     def rewrite(
         self,
@@ -225,6 +317,7 @@ class TableStore:
         clustered_by: Sequence[str] = (),
         kept: Sequence[Folder] = (),
         partition_by: Sequence[str] | None = None,
+        consumed: Mapping[str, int] | None = None,
     ) -> Snapshot:
         schema = nullable(parts[0].schema)
         if current.schema is not None and not replace_schema:
@@ -249,7 +342,7 @@ class TableStore:
             (writer.partitionBy(*by) if by else writer).parquet(folder)
             rows += counted.get["rows"]
         files, size = folder_size(self.spark, folder)
-        if replaced and rows != sum(f.rows for f in replaced) - sum(f.rows for f in kept):
+        if operation == "OPTIMIZE" and rows != sum(f.rows for f in replaced) - sum(f.rows for f in kept):
             raise RuntimeError(f"rewriting {current.table} gave {rows} rows, so it was not published")
 
         gone = list(current.folders) if operation == "OVERWRITE" else list(replaced)
@@ -266,13 +359,14 @@ class TableStore:
             "operationMetrics": {key: str(value) for key, value in metrics.items()},
             "schema_json": schema.json(),
             "partition_by": by,
+            "consumed": {**current.consumed, **(consumed or {})},
             "folders": [asdict(f) for f in folders],
         }
         try:
             create_text(self.spark, self._folder(current.table, "versions", f"{version}.json"), json.dumps(record) + "\n")
         except FileExistsError as error:
             raise ConcurrentWriteError(f"another writer made version {version} of {current.table}") from error
-        return Snapshot(current.table, version, schema, folders, by)
+        return Snapshot(current.table, version, schema, folders, by, record["consumed"])
 
     # ---- version files -------------------------------------------------------------------------
 
@@ -295,7 +389,9 @@ class TableStore:
             return Snapshot(table, MISSING, None)
         folders = tuple(Folder(**{**f, "clustered_by": tuple(f["clustered_by"]), "only": tuple(f["only"])}) for f in record["folders"])
         schema = StructType.fromJson(json.loads(record["schema_json"]))
-        return Snapshot(table, record["version"], schema, folders, tuple(record["partition_by"]))
+        return Snapshot(
+            table, record["version"], schema, folders, tuple(record["partition_by"]), record.get("consumed", {})
+        )
 
     def _folder(self, table: str, *parts: str) -> str:
         if not isinstance(table, str) or not re.fullmatch(r"\w[\w.-]*", table):
