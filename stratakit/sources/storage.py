@@ -5,8 +5,10 @@ Small files are written and read through the session's file system, without a Sp
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
@@ -66,6 +68,14 @@ def move_aside(spark: SparkSession, path: str, target: str) -> None:
     fs.rename(hadoop_path, _hadoop_path(spark, target)[1])
 
 
+def remove_scratch(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that ``scratch_folder`` named, with all that was written there."""
+    if not re.search(r"/(stratakit-)?[0-9a-f]{32}$", folder):
+        raise ValueError(f"not a scratch folder: {folder}")
+    fs, hadoop_path = _hadoop_path(spark, folder)
+    fs.delete(hadoop_path, True)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder for intermediate tables.
 
