@@ -112,7 +112,6 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
                         yield packed(pieces)
                         pieces, held = [], 0
         yield packed(pieces)
-        words.forget()
 
     bound_batches(df.sparkSession)
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))

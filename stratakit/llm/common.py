@@ -3,20 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratakit.sources.storage import scratch_folder
+from stratakit.sources.storage import remove_scratch, scratch_folder
 
 SPACES = "\\x20\\x09-\\x0D"
 
 
+_noted: list[list[str]] = []
+
+
+@contextmanager
+def noting(folders: list[str]) -> Iterator[None]:
+    """Lists the tables that are stored meanwhile, for ``discard`` once nothing reads them any more."""
+    _noted.append(folders)
+    try:
+        yield
+    finally:
+        _noted.pop()
+
+
+def discard(spark: SparkSession, folders: list[str]) -> None:
+    while folders:
+        remove_scratch(spark, folders.pop())
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows as a Parquet table in the folder that all executors share; this also cuts the lineage."""
     folder = scratch_folder(df.sparkSession)
+    for folders in _noted[-1:]:
+        folders.append(folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 

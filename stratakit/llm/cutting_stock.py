@@ -4,7 +4,8 @@ A document is cut into full sequences and a remainder. Remainders are counted by
 over patterns, which say how many pieces of each class share a sequence, is solved by column generation, with a
 knapsack by dynamic programming that prices new patterns. Whole numbers of each pattern are taken, what is left
 is put into a few further patterns, and pieces find their sequence by their rank in their class.
-The driver holds the histogram and the patterns; their size depends on the sequence length only.
+The driver holds the histogram and the patterns; their size depends on the sequence length only. Ranks, sequences and
+offsets are found on rows without ids; these are brought in at the end, by one exchange.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from stratakit.llm.tokens import END, default_path, tokenizer
 
 LENGTH, WIDTH = 2048, 16
 RANKED_TOGETHER = 50_000
+BYTES_AT_ONCE = 8 << 20
 
 
 # ---- the linear program --------------------------------------------------------------------------
@@ -108,24 +110,24 @@ def whole_patterns(demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray,
 # ---- pieces --------------------------------------------------------------------------------------
 
 
-def token_pieces(df: DataFrame, id_col: str, text_col: str, path: str, length: int) -> DataFrame:
+def token_pieces(df: DataFrame, id_col: str, text_col: str, path: str, length: int, with_ids: bool = True) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, ids): every document cut at multiples of length."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = tokenizer(path)
         encode = words.encode
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"]):
+            rows, held = [], 0
+            for doc, missing, text in zip(batch["doc_id"], batch["doc_id"].isna(), batch["text"]):
                 ids = encode(text or "") + END
                 for at in range(0, len(ids), 4 * length):
                     piece = ids[at : at + 4 * length]
-                    rows.append((doc, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, piece))
-                if len(rows) > 4000:
-                    yield pd.DataFrame(rows, columns=columns)
-                    rows = []
-            yield pd.DataFrame(rows, columns=columns)
-        words.forget()
+                    rows.append((None if missing else int(doc), at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, piece if with_ids else None))
+                held += len(ids)
+                if held > BYTES_AT_ONCE:
+                    yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
+                    rows, held = [], 0
+            yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
 
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
     bound_batches(df.sparkSession)
@@ -141,12 +143,13 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
     from offset 0. Full pieces have a sequence of their own. Lengths are rounded up to classes of the given
     width for the program only. Rows with equal ids are packed like others.
     """
-    pieces = token_pieces(df, id_col, text_col, path or default_path(), length)
-    kept = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
+    pieces = token_pieces(df, id_col, text_col, path or default_path(), length, with_ids)
+    kept = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     size = F.ceil(F.col("length") / width).cast("int")
-    pieces = stored(
-        pieces.select(*kept).withColumns({"class": F.when(F.col("length") < length, size).otherwise(0)})
-        .withColumn("share", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(1 << 20)))
+    # Each piece has a number, which stays once the pieces are stored; the ids are not touched until the end.
+    whole = stored(pieces.withColumn("piece", F.monotonically_increasing_id()).select(*kept, "piece", *["ids"] * with_ids))
+    pieces = whole.select(*kept, "piece").withColumns({"class": F.when(F.col("length") < length, size).otherwise(0)}).withColumn(
+        "share", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(1 << 20))
     )
     capacity = length // width
     demand = np.zeros(capacity, np.int64)
@@ -176,7 +179,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
     pieces = pieces.withColumn("bucket", F.col("share") % buckets)
     before = "sum(n) over (partition by class order by bucket) - n"
     counts = pieces.groupBy("class", "bucket").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.expr(before))
-    order = "row_number() over (partition by class, bucket order by share, doc_id, start, ids_crc32)"
+    order = "row_number() over (partition by class, bucket order by share, doc_id, start, ids_crc32, piece)"
     ranked = pieces.withColumn("rank", F.expr(order)).join(counts.select("class", "bucket", "before"), ["class", "bucket"])
     ranked = ranked.withColumn("rank", F.col("rank") - 1 + F.col("before"))
     placed = ranked.join(plan, "class").where("rank >= low and rank < high").withColumns(
@@ -186,4 +189,8 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
         }
     )
     offset = F.expr("sum(length) over (partition by sequence_id order by slot) - length")
-    return placed.withColumn("offset", offset).select(*kept, "sequence_id", "offset")
+    placed = placed.withColumn("offset", offset)
+    if not with_ids:
+        return placed.select(*kept, "sequence_id", "offset")
+    found = stored(placed.select("piece", "sequence_id", "offset"))
+    return whole.join(found, "piece").select(*kept, "ids", "sequence_id", "offset")

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import os
 from array import array
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
 
 END = (1).to_bytes(4, "little")
-CACHED_WORDS = 600_000
+CACHE_BYTES = 56 << 20
+"""Of each of two generations of words. Words of the older one that are met again move to the younger."""
+ENTRY_BYTES = 190
+"""What Python takes for a cached word beside its letters and its ids."""
 
 
 class WordTokenizer:
@@ -28,50 +32,71 @@ class WordTokenizer:
         self.ends = np.zeros(max(ids.values()) + 1, bool)
         self.ends[[i for token, i in ids.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def encode(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
-        known = self.known
-        new = [word for word in set(words) if word not in known]
+        new = set(words).difference(self.known)
         if new:
-            if len(known) + 2 * len(new) > CACHED_WORDS:
-                self.forget()
-                new = list(set(words))
-            self._learn(new)
-        return b"".join(map(known.__getitem__, words))
-
-    def forget(self) -> None:
-        """Called when a task ends: its worker waits for others with nothing held."""
-        self.known.clear()
-        self.known[""] = b""
+            if self.held > CACHE_BYTES:
+                self.older, self.known, self.held = self.known, {"": b""}, 0
+                new = set(words)
+                new.discard("")
+            self._learn(self._unseen(new))
+        ids = b"".join(map(self.known.__getitem__, words))
+        if self.held > 2 * CACHE_BYTES:  # one text alone with words beyond all bounds
+            self.known, self.older, self.held = {"": b""}, {}, 0
+        return ids
+
+    def _unseen(self, words: Iterable[str]) -> list[str]:
+        """Those in neither generation; words of the older one become young."""
+        known, older, unseen, met = self.known, self.older, [], []
+        for word in words:
+            if word in older:
+                met.append(word)
+            elif word not in known:
+                unseen.append(word)
+        self._keep(met, [older[word] for word in met])
+        return unseen
+
+    def _keep(self, words: list[str], ids: list[bytes]) -> None:
+        self.known.update(zip(words, ids))
+        self.held += ENTRY_BYTES * len(words) + sum(map(len, words)) + sum(map(len, ids))
 
     def _learn(self, new: list[str]) -> None:
-        known = self.known
-        parts = []
+        stems, parts, rest = set(), [], []
         for word in new:
             stem = word.rstrip(".,")
             if stem.isalpha():
-                parts.append((word, stem.lower() if stem.isascii() else stem, word[len(stem) :]))
-        stems = list({stem for _, stem, _ in parts}.difference(known))
-        for begin in range(0, len(stems), 20_000):
-            part = stems[begin : begin + 20_000]
-            ids = np.array(self.inner.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+                if stem.isascii():
+                    lower = stem.lower()
+                    stems.add(lower)
+                    if lower is not word and lower != word:
+                        parts.append((word, lower, word[len(stem) :]))
+                else:
+                    stems.add(stem)
+                    if stem != word:
+                        parts.append((word, stem, word[len(stem) :]))
+            else:
+                rest.append(word)
+        unseen = self._unseen(stems)
+        for begin in range(0, len(unseen), 20_000):
+            part = unseen[begin : begin + 20_000]
+            ids = np.array(self.inner.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) != len(part):  # a letter that the vocabulary sees otherwise
                 self._one_by_one(part)
                 continue
-            raw, at = ids.tobytes(), 0
-            for stem, end in zip(part, (4 * ends).tolist()):
-                known[stem] = raw[at:end]
-                at = end
-        rest = set(new).difference(word for word, _, _ in parts) | {tail for _, _, tail in parts}
-        self._one_by_one([word for word in rest if word not in known])
-        for word, stem, tail in parts:
-            known[word] = known[stem] + known[tail]
+            raw, ends = ids.tobytes(), (4 * ends).tolist()
+            self._keep(part, [raw[i:j] for i, j in zip([0, *ends], ends)])
+        self._one_by_one(rest + self._unseen({tail for _, _, tail in parts}))
+        known = self.known
+        self._keep([word for word, _, _ in parts], [known[stem] + known[tail] for _, stem, tail in parts])
 
     def _one_by_one(self, words: list[str]) -> None:
-        for word, found in zip(words, self.inner.encode_batch_fast(words, add_special_tokens=False)):
-            self.known[word] = array("I", found.ids).tobytes()
+        found = self.inner.encode_batch_fast(words, add_special_tokens=False)
+        self._keep(words, [array("I", one.ids).tobytes() for one in found])
 
 
 @lru_cache(1)
