@@ -2,7 +2,9 @@
 
 Every stage takes the documents that its predecessor kept, and all but the last return the columns of ``documents``.
 A stage's result is written to the shared folder and read again by the next one, so a lost executor costs at most the
-stage at work.
+stage at work. When a stage begins, the working tables of the one before are removed: its result is stored by then.
+
+Columns beside those of ``documents`` pass through unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -11,10 +13,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratakit.llm import cutting_stock, flow_mix, language_gru, minhash_hamming, secret_markov
-from stratakit.llm.common import SPACES, stored
+from stratakit.llm.common import SPACES, discard, noting, stored
 
 UNCERTAIN = 0.3
 """Documents whose best language has a smaller mean probability are rejected."""
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+_working: list[str] = []
+
+
+def staged(stage):
+    """The stage with its working tables noted, and those of the stage before removed."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(spark, _working)
+        aside = {c: c if c in OWN else f"_own_{i}" for i, c in enumerate(docs.columns)}
+        with noting(_working):
+            found = stage(spark, docs.toDF(*aside.values()), sf_dir)
+        named = [F.col(a).alias(c) for c, a in aside.items() if a in found.columns]
+        return found if stage is pack_tokens else found.select(*named)
+
+    return run_stage
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,11 +83,11 @@ def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("language", identify_language),
-    ("near duplicates", drop_near_duplicates),
-    ("secrets", redact_secrets),
-    ("mixing", mix_sources),
-    ("packing", pack_tokens),
+    ("language", staged(identify_language)),
+    ("near duplicates", staged(drop_near_duplicates)),
+    ("secrets", staged(redact_secrets)),
+    ("mixing", staged(mix_sources)),
+    ("packing", staged(pack_tokens)),
 ]
 # Neither the trained models nor the packing can be stated in SQL; tests compare run() with a brute-force version.
 ORACLE_SQL = None
@@ -77,6 +95,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    results: list[str] = []
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        made, before = stage(spark, docs, sf_dir), results[:]
+        with noting(results):
+            docs = stored(made)
+        del results[: len(before)]
+        discard(spark, before)
     return STAGES[-1][1](spark, docs, sf_dir)
