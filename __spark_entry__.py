@@ -306,6 +306,109 @@ def sample_keyed_capped(spark, sf_dir):
     return sk.sample_keyed(_table(spark, sf_dir, "orders"), ["o_orderkey"], 0.5, 200)
 
 
+def sample_reservoir(spark, sf_dir):
+    """1500 rows drawn fairly from all orders in one pass, without a sort of them."""
+    return sk.sample_reservoir(_table(spark, sf_dir, "orders"), ["o_orderkey"], 1500)
+
+
+def sample_reused(spark, sf_dir):
+    """Rules that need jobs of their own see the same capped sample as all others."""
+    orders = _table(spark, sf_dir, "orders")
+    _table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").createOrReplaceTempView("even_customers")
+    even = "(o_custkey in (select c_custkey from even_customers) or o_totalprice < 0)"
+    rules = [{"name": "even", "condition": even}, {"name": "odd", "condition": f"not {even}"}, {"name": "none", "condition": "false"}]
+    report = sk.validation_report(orders, rules, 0.9, 500)
+    failing = {n: r["failing_count"] for n, r in report["validation_results"].items()}
+    return orders.agg(
+        F.lit(report["sample_size"]).cast("long").alias("sample_size"),
+        F.lit(failing["even"] + failing["odd"]).cast("long").alias("failing_either"),
+        F.lit(failing["none"]).cast("long").alias("failing_none"), F.count(F.lit(1)).alias("row_count"),
+    )
+
+
+def approx_shape(spark, sf_dir):
+    """A count with a time limit holds the true one, and a Parquet scan is counted exactly within it."""
+    lineitem = _table(spark, sf_dir, "lineitem")
+    true = F.lit(lineitem.count()).cast("long")
+    shape = sk.approx_shape(lineitem, 60)
+    return shape.select("column_count", "row_count", "is_exact", F.col("low").eqNullSafe(true).alias("low_is_true"), (F.col("high") >= true).alias("holds_true"))
+
+
+def null_profile_rollup(spark, sf_dir):
+    """Three writes of events with NULLs, the last with a new column: the counts of the writes, added up."""
+    store = _store(spark)
+    events = _events_with_nulls(spark, sf_dir)
+    for i in range(3):
+        part = events.where(F.col("event_id") % 3 == i)
+        store.append(part.withColumn("extra", F.lit(1)) if i == 2 else part, "events")
+    return _rounded(sk.stored_null_profile(store, "events").drop("position"), "null_pct")
+
+
+def rule_quarantine(spark, sf_dir):
+    """Clean and broken events in one write: rows of each kind, and the broken ones of each rule as read and as counted."""
+    store = _store(spark)
+    found = sk.quarantine(store, _events_with_nulls(spark, sf_dir), "events", EVENT_RULES)
+    broken = sk.broken_rows(store, "events")
+    per_rule = broken.select(F.explode("broken_rules").alias("kind")).groupBy("kind").agg(F.count(F.lit(1)).alias("row_count"))
+    kinds = {**found["rules"], "clean": found["clean_rows"], "broken": found["broken_rows"]}
+    counted = spark.createDataFrame([(k, n) for k, n in kinds.items() if n], "kind string, counted_in_write long")
+    sizes = sk.clean_rows(store, "events").agg(F.lit("clean").alias("kind"), F.count(F.lit(1)).alias("row_count")).union(
+        broken.agg(F.lit("broken"), F.count(F.lit(1)))
+    )
+    return per_rule.union(sizes).join(counted, "kind", "full")
+
+
+def quarantine_clean(spark, sf_dir):
+    store = _store(spark)
+    sk.quarantine(store, _events_with_nulls(spark, sf_dir), "events", EVENT_RULES)
+    return sk.clean_rows(store, "events")
+
+
+def _broken_lines(spark, sf_dir):
+    """Events as JSON lines, every tenth cut off, in a file for each type of event."""
+    folder = sk.scratch_folder(spark)
+    events = _table(spark, sf_dir, "events")
+    line = F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"), "user_id", "event_type", "value", "props"))
+    text = F.when(F.col("event_id") % 10 == 0, F.substring(line, 1, 20)).otherwise(line)
+    events.select("event_type", text.alias("value")).repartition(4, "event_type").write.partitionBy("event_type").text(folder)
+    paths = [f"{folder}/event_type={r[0]}" for r in events.select("event_type").distinct().collect()]
+    store = _store(spark)
+    return sk.ingest_split(store, "events", "json", paths, EVENTS, "run-1", MICROSECONDS)
+
+
+def ingest_malformed(spark, sf_dir):
+    """The malformed lines by file type, and the good ones, as read from the table and as counted by the ingest job."""
+    done = _broken_lines(spark, sf_dir)
+    kind = F.regexp_extract("source_file", "event_type=([a-z]+)", 1)
+    bad = done.malformed_by_file().groupBy(kind.alias("event_type")).agg(F.sum("malformed_rows").alias("malformed_rows"))
+    good = done.good().groupBy("event_type").agg(F.count(F.lit(1)).alias("good_rows"), F.sum("event_id").alias("event_ids"))
+    return good.join(bad, "event_type").withColumns(
+        {"all_good": F.lit(done.good_rows).cast("long"), "all_malformed": F.lit(done.malformed_rows).cast("long")}
+    )
+
+
+def schema_merge_nested(spark, sf_dir):
+    """Structs, arrays and maps grow by fields and wider numbers; the old rows are read in the new types."""
+    store = _store(spark)
+    early, late = _orders_halves(spark, sf_dir)
+
+    def nested(orders, key, price, more=()):
+        item = F.struct(F.col("o_orderkey").cast(key).alias("key"), *more)
+        return orders.select(
+            "o_orderkey", item.alias("item"), F.array(item).alias("items"),
+            F.create_map(F.lit("price"), F.col("o_totalprice").cast(price)).alias("prices"),
+        )
+
+    store.append(nested(early, "int", "float"), "orders")
+    store.append(nested(late, "long", "double", [F.col("o_orderstatus").alias("status")]), "orders", widen=True)
+    return store.read("orders").select(
+        "o_orderkey", F.col("item.key").alias("item_key"), F.col("item.status").alias("item_status"),
+        F.col("items")[0]["key"].alias("items_key"), F.col("items")[0]["status"].alias("items_status"),
+        F.round(F.col("prices")["price"] / 1000).alias("price"),
+        F.lit(store.read("orders", 0).schema["item"].dataType.simpleString()).alias("old_type"),
+    )
+
+
 def late_failures(spark, sf_dir):
     """Rows that break a rule stand at the end of the table; a bronze run with default checks counts them all."""
     path = f"{sf_dir}/lineitem.parquet"
@@ -379,6 +482,22 @@ def zorder_overlap(spark, sf_dir):
     )
 
 
+def zorder_two_columns(spark, sf_dir):
+    """Of the files of a table clustered by two columns a point of either is in less than half, on average."""
+    store = _fragmented(spark, sf_dir)
+    target = max(1, store.snapshot("lineitem").bytes // 16)
+    rows = store.read("lineitem", sk.zorder(store, "lineitem", ["l_orderkey", "l_partkey"], target_file_bytes=target))
+    file = rows.metadataColumn("_metadata").getField("file_path").alias("file")
+    found = rows.agg(F.count(F.lit(1)).alias("row_count"))
+    for column in ("l_orderkey", "l_partkey"):
+        files = rows.groupBy(file).agg(F.min(column).alias("low"), F.max(column).alias("high"))
+        points = rows.select(F.col(column).alias("point")).distinct()
+        hits = points.join(F.broadcast(files), F.expr("point between low and high")).groupBy("point").count()
+        share = F.avg("count") / F.lit(store.snapshot("lineitem").files)
+        found = found.join(hits.agg((share < 0.5).alias(f"{column}_is_narrow")))
+    return found
+
+
 def optimize_report(spark, sf_dir):
     store = _fragmented(spark, sf_dir)
     return sk.optimize_report(store, "lineitem", 0, sk.compact(store, "lineitem"))
@@ -625,6 +744,8 @@ _QUERIES = (
     optimize_compact, optimize_zorder, optimize_report, compact_mixed, zorder_overlap,
     bronze_layer, silver_layer, gold_layer, gold_fan_out, checkpoint_log, lineage,
     dry_run, stage_metrics, full_pipeline, failed_run, run_ids,
+    sample_reservoir, sample_reused, approx_shape, null_profile_rollup, rule_quarantine, quarantine_clean,
+    ingest_malformed, schema_merge_nested, zorder_two_columns,
     silver_written_once, incremental_run, incremental_writes, merge_upsert,
 )
 
@@ -703,6 +824,13 @@ _MEMBER_RULES = " UNION ALL ".join(
         ("positive_price", "o_totalprice > 0"),
     )
 )
+_TAGGED = f"""
+    SELECT *, list_filter([CASE WHEN NOT (value > 100) THEN 'value_over_100' END,
+                           CASE WHEN NOT (nullif(event_type, 'error') <> 'click') THEN 'no_click' END,
+                           CASE WHEN NOT (user_id IS NOT NULL) THEN 'has_user' END,
+                           CASE WHEN NOT (event_id >= 0) THEN 'unnamed_rule' END], lambda x: x IS NOT NULL) AS b
+    FROM ({_NULLED})
+"""
 _STAGES = ("bronze", "bronze_optimize", "silver", "silver_optimize", "gold", "gold_optimize")
 
 
@@ -831,6 +959,44 @@ def _oracle_sql() -> dict[str, str]:
             SELECT {_MONTHS} AS month_count, {_COUNT_SILVER} AS order_count, 0::BIGINT AS tables_written
         """,
         "full_pipeline": _MONTHLY,
+        "sample_reservoir": f"SELECT * FROM orders ORDER BY {_md5('o_orderkey')} LIMIT 1500",
+        "sample_reused": """
+            SELECT 500::BIGINT AS sample_size, 500::BIGINT AS failing_either, 500::BIGINT AS failing_none,
+                   count(*) AS row_count FROM orders
+        """,
+        "approx_shape": """
+            SELECT (SELECT count(*) FROM (DESCRIBE lineitem)) AS column_count, count(*) AS row_count, true AS is_exact,
+                   true AS low_is_true, true AS holds_true FROM lineitem
+        """,
+        "null_profile_rollup": f"""
+            {_NULL_PROFILE} UNION ALL
+            SELECT 'extra', count(*), count(*) FILTER (WHERE event_id % 3 < 2),
+                   round((count(*) FILTER (WHERE event_id % 3 < 2)) * 100.0::DOUBLE / count(*), 6) FROM events
+        """,
+        "rule_quarantine": f"""
+            WITH kinds AS (
+                SELECT unnest(list_concat(
+                    [CASE WHEN len(b) > 0 THEN 'broken' ELSE 'clean' END], b)) AS kind FROM ({_TAGGED})
+            ) SELECT kind, count(*) AS row_count, count(*) AS counted_in_write FROM kinds GROUP BY kind
+        """,
+        "quarantine_clean": f"SELECT * EXCLUDE (b) FROM ({_TAGGED}) WHERE len(b) = 0",
+        "ingest_malformed": """
+            SELECT event_type, count(*) FILTER (WHERE event_id % 10 > 0) AS good_rows,
+                   sum(event_id) FILTER (WHERE event_id % 10 > 0)::BIGINT AS event_ids,
+                   count(*) FILTER (WHERE event_id % 10 = 0) AS malformed_rows,
+                   (SELECT count(*) FROM events WHERE event_id % 10 > 0) AS all_good,
+                   (SELECT count(*) FROM events WHERE event_id % 10 = 0) AS all_malformed
+            FROM events GROUP BY event_type
+        """,
+        "schema_merge_nested": f"""
+            SELECT o_orderkey, o_orderkey AS item_key, CASE WHEN NOT ({_EARLY}) THEN o_orderstatus END AS item_status,
+                   o_orderkey AS items_key, CASE WHEN NOT ({_EARLY}) THEN o_orderstatus END AS items_status,
+                   round(CASE WHEN {_EARLY} THEN o_totalprice::FLOAT::DOUBLE ELSE o_totalprice END / 1000) AS price,
+                   'struct<key:int>' AS old_type FROM orders
+        """,
+        "zorder_two_columns": """
+            SELECT count(*) AS row_count, true AS l_orderkey_is_narrow, true AS l_partkey_is_narrow FROM lineitem
+        """,
         "silver_written_once": f"""
             SELECT true AS separate_ranges, true AS several_files, {_COUNT_SILVER} AS row_count, 1::BIGINT AS folders,
                    0::BIGINT AS version FROM orders LIMIT 1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     ByteType,
@@ -56,12 +58,11 @@ def is_narrower(new: DataType, old: DataType) -> bool:
     return isinstance(new, FloatType) and isinstance(old, DoubleType)
 
 
-def merge_types(old: DataType, new: DataType, where: str = "") -> DataType:
-    """Union of two types: old fields first, new fields after them, no type changes.
+def merge_types(old: DataType, new: DataType, where: str = "", widen: bool = False) -> DataType:
+    """Union of two types: old fields first, new fields after them; other changes of a type are an error.
 
-    A top-level column of the table keeps its type if the new data has narrower numbers.
-
-    Names are matched without regard to case, as Spark resolves them.
+    A column keeps its type if the new data has narrower numbers, at any depth. With ``widen`` it takes the
+    type of wider numbers. Names are matched without regard to case, as Spark resolves them.
     """
     if isinstance(old, StructType) and isinstance(new, StructType):
         incoming = {f.name.lower(): f for f in new.fields}
@@ -70,19 +71,44 @@ def merge_types(old: DataType, new: DataType, where: str = "") -> DataType:
             match = incoming.pop(field.name.lower(), None)
             merged = field.dataType
             if match is not None:
-                merged = merge_types(field.dataType, match.dataType, f"{where}.{field.name}".lstrip("."))
+                merged = merge_types(field.dataType, match.dataType, f"{where}.{field.name}".lstrip("."), widen)
             fields.append(StructField(field.name, merged, True, field.metadata))
         return StructType(fields + list(incoming.values()))
     if isinstance(old, ArrayType) and isinstance(new, ArrayType):
-        return ArrayType(merge_types(old.elementType, new.elementType, f"{where}.element"), True)
+        return ArrayType(merge_types(old.elementType, new.elementType, f"{where}.element", widen), True)
     if isinstance(old, MapType) and isinstance(new, MapType):
         return MapType(
-            merge_types(old.keyType, new.keyType, f"{where}.key"),
-            merge_types(old.valueType, new.valueType, f"{where}.value"),
+            merge_types(old.keyType, new.keyType, f"{where}.key", widen),
+            merge_types(old.valueType, new.valueType, f"{where}.value", widen),
             True,
         )
-    if old != new and not ("." not in where and is_narrower(new, old)):
-        raise SchemaChangeError(
-            f"column {where} is {old.simpleString()} in the table and {new.simpleString()} in the new data"
-        )
-    return old
+    if old == new or is_narrower(new, old):
+        return old
+    if widen and is_narrower(old, new):
+        return new
+    raise SchemaChangeError(
+        f"column {where} is {old.simpleString()} in the table and {new.simpleString()} in the new data"
+    )
+
+
+def conformed(value: Column, own: DataType, wanted: DataType) -> Column:
+    """A value of one type as a value of a merged type: fields it has not got are NULL, numbers are cast, at any depth."""
+    if own == wanted:
+        return value
+    if isinstance(wanted, StructType):
+        there = {f.name.lower(): f for f in own.fields}
+        parts = []
+        for field in wanted.fields:
+            match = there.get(field.name.lower())
+            part = F.lit(None).cast(field.dataType)
+            if match is not None:
+                part = conformed(value.getField(match.name), match.dataType, field.dataType)
+            parts.append(part.alias(field.name))
+        return F.when(value.isNotNull(), F.struct(*parts))
+    if isinstance(wanted, ArrayType):
+        return F.transform(value, lambda x: conformed(x, own.elementType, wanted.elementType))
+    if isinstance(wanted, MapType):
+        if own.keyType != wanted.keyType:
+            value = F.transform_keys(value, lambda k, _: conformed(k, own.keyType, wanted.keyType))
+        return F.transform_values(value, lambda _, v: conformed(v, own.valueType, wanted.valueType))
+    return value.cast(wanted)

@@ -28,7 +28,7 @@ from pyspark.sql.types import (
 
 from stratakit.functions.rules import quoted
 from stratakit.functions.schemas import holds_map
-from stratakit.sources.tables import Folder, Snapshot, TableStore, Transform
+from stratakit.sources.tables import WRITE_COLUMN, Folder, Snapshot, TableStore, Transform
 
 TARGET_FILE_BYTES = 256 * 1024**2
 # A file is small if it has less than this part of the target.
@@ -65,34 +65,44 @@ def _compact(store: TableStore, snapshot: Snapshot, target_file_bytes: int) -> S
     able = [f for f in snapshot.folders if not f.clustered_by and f.files and (f.files > 1 or f.bytes < small_bytes)]
     if sum(f.files for f in able) < 2:
         return snapshot
-    scan = store.read_snapshot(snapshot, able)
-    meta = scan.metadataColumn("_metadata")
-    # Row counts come from the files' footers; the driver gets one row per file.
-    files = scan.groupBy(meta.getField("file_path").alias("path"), meta.getField("file_size").alias("size")).count().collect()
-    names = {r["path"]: store.place_in_folder(r["path"]) for r in files}
-    small = [r for r in files if r["size"] < small_bytes]
-    wanted = _file_count(sum(r["size"] for r in small), target_file_bytes)
-    if len(small) <= wanted:
+    sizes = {f: store.file_sizes(snapshot.table, f) for f in able}
+    small = {f: [name for name, size in own.items() if size < small_bytes] for f, own in sizes.items()}
+    number = sum(map(len, small.values()))
+    wanted = _file_count(sum(sizes[f][name] for f, names in small.items() for name in names), target_file_bytes)
+    if number <= wanted:
         return snapshot
+    # Only where a folder keeps some of its files, the rows of each part have to be counted, from footers.
+    mixed = [f for f in able if 0 < len(small[f]) < len(sizes[f])]
+    rows = _rows_in_small_files(store, snapshot, mixed, small)
     merged: list[Folder] = []
     kept: list[Folder] = []
     for folder in able:
-        own = [r for r in files if names[r["path"]][0] == folder.path]
-        parts = {True: [r for r in own if r["size"] < small_bytes], False: [r for r in own if r["size"] >= small_bytes]}
-        for is_small, into in ((True, merged), (False, kept)):
-            if parts[is_small]:
-                into.append(
-                    replace(
-                        folder, rows=sum(r["count"] for r in parts[is_small]), files=len(parts[is_small]),
-                        bytes=sum(r["size"] for r in parts[is_small]),
-                        only=() if len(parts[is_small]) == len(own) else tuple(names[r["path"]][1] for r in parts[is_small]),
-                    )
-                )
+        if folder not in rows:
+            (merged if small[folder] else kept).append(folder)
+            continue
+        own = set(small[folder])
+        for into, names, n in (
+            (merged, sorted(own), rows[folder]), (kept, sorted(set(sizes[folder]) - own), folder.rows - rows[folder]),
+        ):
+            into.append(replace(folder, rows=n, files=len(names), bytes=sum(sizes[folder][x] for x in names), only=tuple(names)))
     touched = {f.path for f in merged}
     packed = store.read_snapshot(snapshot, merged).coalesce(wanted)
     return store.rewrite([packed], snapshot, [f for f in able if f.path in touched], kept=[f for f in kept if f.path in touched])
 
 
+def _rows_in_small_files(
+    store: TableStore, snapshot: Snapshot, folders: list[Folder], small: dict[Folder, list[str]]
+) -> dict[Folder, int]:
+    """One row per folder comes to the driver; the scan reads footers only."""
+    if not folders:
+        return {}
+    parts = [replace(f, only=tuple(small[f])) for f in folders]
+    scan = store.read_snapshot(snapshot, parts)
+    place = F.regexp_extract(scan.metadataColumn("_metadata").getField("file_path"), f"/({WRITE_COLUMN}=[0-9a-f]+)/", 1)
+    counts = {r[0]: r[1] for r in scan.groupBy(place).count().collect()}
+    return {f: counts.get(f.path, 0) for f in folders}
+
+
 # ---- clustering ----------------------------------------------------------------------------------
 
 

@@ -7,6 +7,8 @@ return dicts; by default they look at a small sample.
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Iterable, Mapping
 from datetime import datetime
 from functools import reduce
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from stratakit.functions.rules import Rule, breaks, percentage, tests_membership, usable_rules
 from stratakit.operators.membership import Membership, as_membership, mark_members
 from stratakit.operators.sampling import SAMPLE_LIMIT, SAMPLE_RATIO, sample_bernoulli
+from stratakit.sources.tables import TableStore
 
 HIGH_NULL_PERCENT = 5
 
@@ -68,6 +71,15 @@ def _by_price(df: DataFrame, rules: list[Rule]) -> tuple[list[Rule], dict[Rule,
     return together, marks
 
 
+def flagged(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, list[Column]]:
+    """The frame under the names c0, c1 and so on, and a column for each rule that is true where a row breaks it."""
+    together, marks = _by_price(df, rules)
+    if other := [rule.name for rule in rules if rule not in together]:
+        raise ValueError(f"rules {other} hold a subquery amid other tests, which only a filter answers")
+    frame, flags = _flags(df, rules, False, marks)
+    return frame, flags[: len(rules)]
+
+
 def _totals(
     df: DataFrame, rules: list[Rule], nulls: bool, limit: int | None = None, marks: Mapping[Rule, Membership] | None = None
 ) -> DataFrame:
@@ -137,6 +149,17 @@ def null_profile(df: DataFrame) -> DataFrame:
     return profile.withColumn("null_pct", percentage(F.col("null_count"), F.col("sample_size")))
 
 
+def stored_null_profile(store: TableStore, table: str, version: int | None = None) -> DataFrame:
+    """The null profile of a stored version, from the counts that its writes have kept: no scan of the data.
+
+    Counts of nulls add up over writes, so an append costs a small file more and nothing else.
+    """
+    profile = store.null_counts(table, version).select(
+        "position", "column_name", F.col("rows").alias("sample_size"), F.col("nulls").alias("null_count")
+    )
+    return profile.withColumn("null_pct", percentage(F.col("null_count"), F.col("sample_size")))
+
+
 def high_null_columns(profile: DataFrame, threshold: float = HIGH_NULL_PERCENT) -> DataFrame:
     """Rows of a null profile above the threshold (strictly)."""
     return profile.where(F.col("null_pct") > threshold)
@@ -193,6 +216,29 @@ def table_shape(df: DataFrame) -> DataFrame:
     )
 
 
+def approx_shape(df: DataFrame, timeout_seconds: float = 10.0, confidence: float = 0.95) -> DataFrame:
+    """One row: the columns and, after so many seconds at most, the rows, with bounds and whether the count is exact.
+
+    No column is read, so a plain Parquet scan only looks at footers and mostly ends in time. If time runs out, the
+    tasks that are done by then give an estimate and an interval of the given confidence, and the rest is cancelled.
+    """
+    session = df.sparkSession
+    context, tag = session.sparkContext, f"shape-{uuid.uuid4().hex}"
+    context.addJobTag(tag)
+    try:
+        rows = df.select()._jdf.queryExecution().toRdd()
+        result = rows.countApprox(int(timeout_seconds * 1000), confidence)
+        exact, found = result.isInitialValueFinal(), result.initialValue()
+        if not exact:
+            context.cancelJobsWithTag(tag)
+    finally:
+        context.removeJobTag(tag)
+    # Without any finished task the interval has no upper end.
+    mean, low, high = (x if math.isfinite(x) else None for x in (found.mean(), found.low(), found.high()))
+    values = [len(df.columns), *[None if x is None else round(x) for x in (mean, low, high)], exact]
+    return session.createDataFrame([values], "column_count long, row_count long, low long, high long, is_exact boolean")
+
+
 def schema_profile(df: DataFrame) -> DataFrame:
     """One row per column: position, name, type, whether it may be NULL, and how many values it has.
 

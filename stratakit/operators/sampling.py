@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StringType
@@ -14,6 +16,8 @@ SAMPLE_RATIO = 0.05
 SAMPLE_LIMIT = 1000
 SAMPLE_SEED = 42
 HASH_SPACE = 1 << 60
+MERGING_TASKS = 16
+"""So many tasks merge what all others have drawn."""
 
 
 def sample_bernoulli(df: DataFrame, ratio: float = SAMPLE_RATIO, seed: int = SAMPLE_SEED) -> DataFrame:
@@ -61,3 +65,30 @@ def sample_keyed(
     if limit is None:
         return sample
     return sample.orderBy(digest, *[quoted(k) for k in keys]).limit(limit)
+
+
+def sample_reservoir(df: DataFrame, keys: Sequence[str], limit: int = SAMPLE_LIMIT) -> DataFrame:
+    """``limit`` rows drawn fairly from all rows in one pass: those whose keys have the lowest hashes.
+
+    Every task keeps its lowest ``limit`` rows as it goes through its batches; these meet in a few tasks, which do the
+    same, and what is left of those is ordered. No task sorts its rows or holds more than ``limit`` and a batch, and
+    the same rows are drawn under any partitioning. Of equal hashes the lower keys come first.
+    """
+    names = [f"__key{i}" for i in range(len(keys))]
+    own = [F.coalesce(quoted(k).cast("string"), F.lit("")).alias(name) for k, name in zip(keys, names)]
+    keyed = df.select("*", key_digest(df, keys).alias("__digest"), *own)
+    order = [(c, "ascending") for c in ("__digest", *names)]
+
+    def lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            held = part if held is None else pa.concat_tables([held, part])
+            if held.num_rows > 2 * limit:
+                held = held.take(pc.select_k_unstable(held, limit, order)).combine_chunks()
+        if held is not None and held.num_rows > limit:
+            held = held.take(pc.select_k_unstable(held, limit, order))
+        yield from held.to_batches() if held is not None else ()
+
+    drawn = keyed.mapInArrow(lowest, keyed.schema).repartition(MERGING_TASKS, "__digest").mapInArrow(lowest, keyed.schema)
+    return drawn.orderBy("__digest", *names).limit(limit).drop("__digest", *names)

@@ -3,6 +3,7 @@
 Layout below the store's root folder::
 
     tables/<name>/data/__write=<random id>/...parquet   rows of one write
+    tables/<name>/profiles/__write=<random id>.json   rows and nulls of that write
     tables/<name>/versions/<n>.json                   one line: folders, schema and metrics of version n
 
 Data is written first and the version's file last, so a write that dies half-way leaves a folder that
@@ -23,11 +24,11 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stratakit.functions.rules import quoted
-from stratakit.functions.schemas import merge_types, nullable
-from stratakit.sources.storage import create_text, folder_size, list_names, move_aside, read_text
+from stratakit.functions.schemas import conformed, merge_types, nullable
+from stratakit.sources.storage import create_text, folder_size, list_names, list_sizes, move_aside, read_text
 
 HISTORY_SCHEMA = """
     version long, timestamp timestamp, operation string, schema_json string, operationMetrics map<string, string>
@@ -225,20 +226,50 @@ class TableStore:
             F.lit(snapshot.bytes).cast("long").alias("size_bytes"),
         )
 
+    def null_counts(self, table: str, version: int | None = None) -> DataFrame:
+        """(column_name, rows, nulls) of a version, added up from what each of its writes has counted.
+
+        Those counts are small files beside the data. Data is only scanned where a write has none, or where only some
+        of its files are left; then it is those files. A column that a write did not have yet is NULL in its rows.
+        """
+        snapshot = self.snapshot(table, version)
+        names = snapshot.schema.names
+        there = set(list_names(self.spark, self._folder(table, "profiles")))
+        counted = [f for f in snapshot.folders if not f.only and f"{f.path}.json" in there]
+        schema = "rows long, nulls map<string, long>"
+        paths = [self._folder(table, "profiles", f"{f.path}.json") for f in counted]
+        parts = self.spark.read.schema(schema).json(paths) if paths else self.spark.createDataFrame([], schema)
+        left = [f for f in snapshot.folders if f not in counted]
+        if left:
+            values = [F.count(quoted(c)) for c in names]
+            n = F.count(F.lit(1))
+            entries = [x for c, v in zip(names, values) for x in (F.lit(c), n - v)]
+            parts = parts.union(self.read_snapshot(snapshot, left).agg(n.alias("rows"), F.create_map(*entries).alias("nulls")))
+        own = [F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col("nulls")[c], "rows").alias("nulls")) for c in names]
+        each = parts.select("rows", F.inline(F.array(*own)))
+        totals = each.groupBy("column_name").agg(F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"))
+        order = self.spark.createDataFrame([(i, c) for i, c in enumerate(names)], "position int, column_name string")
+        zero = F.lit(0).cast("long")
+        return order.join(totals, "column_name", "left").select(
+            "position", "column_name", F.coalesce("rows", zero).alias("rows"), F.coalesce("nulls", zero).alias("nulls")
+        )
+
     # ---- writing -------------------------------------------------------------------------------
 
     def append(
         self, df: DataFrame, table: str, partition_by: Sequence[str] | None = None, consumed: Mapping[str, int] | None = None,
-        clustered_by: Sequence[str] = (),
+        clustered_by: Sequence[str] = (), widen: bool = False,
     ) -> int:
-        """Add rows as a new version. New columns join the table, and narrower numbers take its type;
-        another changed type is an error. A table keeps the columns it was first partitioned by.
+        """Add rows as a new version. New columns and new fields of structs, also in arrays and maps, join the
+        table, and narrower numbers take its type; another changed type is an error. With ``widen`` a column of
+        the table takes the type of wider numbers; older files are read in it without being written again, and
+        older versions keep their types. A table keeps the columns it was first partitioned by.
 
         ``consumed`` names the versions of source tables that the rows come from. It becomes visible together with
         the rows, so a run that dies in between neither loses nor repeats any. ``clustered_by`` says how the rows
         are laid out already.
         """
-        options = {"partition_by": partition_by, "consumed": consumed, "clustered_by": clustered_by}
+        options = {"partition_by": partition_by, "consumed": consumed, "clustered_by": clustered_by, "widen": widen}
         return self._commit([df], self.current(table), "APPEND", **options).version
 
     def overwrite(
@@ -291,6 +322,11 @@ class TableStore:
         """
         return self._commit(parts, snapshot, "OPTIMIZE", replaced=replaced, clustered_by=clustered_by, kept=kept)
 
+    def file_sizes(self, table: str, folder: Folder) -> dict[str, int]:
+        """The files of a write folder that belong to the version, with their bytes."""
+        found = list_sizes(self.spark, self._folder(table, "data", folder.path))
+        return {f: found[f] for f in folder.only} if folder.only else found
+
     def place_in_folder(self, file_path: str) -> tuple[str, str]:
         """Name of the write folder that a file lies in, and its place there."""
         found = re.search(rf"/({WRITE_COLUMN}=[0-9a-f]+)/(.+)$", file_path)
@@ -318,10 +354,11 @@ class TableStore:
         kept: Sequence[Folder] = (),
         partition_by: Sequence[str] | None = None,
         consumed: Mapping[str, int] | None = None,
+        widen: bool = False,
     ) -> Snapshot:
         schema = nullable(parts[0].schema)
         if current.schema is not None and not replace_schema:
-            schema = merge_types(current.schema, schema)
+            schema = merge_types(current.schema, schema, widen=widen)
         by = current.partition_by if partition_by is None else tuple(partition_by)
         stays = current.folders if operation != "OVERWRITE" else ()
         if stays and by != current.partition_by:
@@ -335,16 +372,26 @@ class TableStore:
         folder = self._folder(current.table, "data", name)
 
         rows = 0
+        nulls = dict.fromkeys(schema.names, 0)
         for part in parts:
-            # The row count is taken in the write job itself, in its last stage.
-            counted = Observation()
-            writer = _cast(part, schema).observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("append")
+            # Rows and nulls are counted in the write job itself, in its last stage.
+            counted, cast = Observation(), _cast(part, schema)
+            values = [F.count(quoted(c)).alias(f"v{i}") for i, c in enumerate(cast.columns)]
+            writer = cast.observe(counted, F.count(F.lit(1)).alias("rows"), *values).write.mode("append")
             (writer.partitionBy(*by) if by else writer).parquet(folder)
-            rows += counted.get["rows"]
+            found = counted.get
+            rows += found["rows"]
+            own = {c.lower(): found[f"v{i}"] for i, c in enumerate(cast.columns)}
+            for c in nulls:
+                nulls[c] += found["rows"] - own.get(c.lower(), 0)
         files, size = folder_size(self.spark, folder)
         if operation == "OPTIMIZE" and rows != sum(f.rows for f in replaced) - sum(f.rows for f in kept):
             raise RuntimeError(f"rewriting {current.table} gave {rows} rows, so it was not published")
 
+        if files:
+            profile = {"folder": name, "rows": rows, "nulls": nulls}
+            create_text(self.spark, self._folder(current.table, "profiles", f"{name}.json"), json.dumps(profile) + "\n")
+
         gone = list(current.folders) if operation == "OVERWRITE" else list(replaced)
         # Partitioning writes no file for no rows, and such a folder can't be listed beside others.
         added = (Folder(name, rows, files, size, tuple(clustered_by)),) if files else ()
@@ -400,14 +447,13 @@ class TableStore:
 
 
 def _cast(df: DataFrame, schema: StructType) -> DataFrame:
-    """Numbers that are narrower than the table's column take its type."""
+    """Columns in the types of the table: narrower numbers, and structs that lack fields, at any depth."""
     types = {f.name.lower(): f.dataType for f in schema.fields}
-    wider = {
-        f.name: quoted(f.name).cast(types[f.name.lower()])
-        for f in nullable(df.schema).fields
-        if not isinstance(f.dataType, (StructType, ArrayType, MapType)) and types[f.name.lower()] != f.dataType
+    other = {
+        f.name: conformed(quoted(f.name), f.dataType, types[f.name.lower()])
+        for f in nullable(df.schema).fields if types[f.name.lower()] != f.dataType
     }
-    return df.select(*[wider[c].alias(c) if c in wider else quoted(c) for c in df.columns]) if wider else df
+    return df.select(*[other[c].alias(c) if c in other else quoted(c) for c in df.columns]) if other else df
 
 
 def append_writer(store: TableStore, partition_by: Sequence[str] | None = None) -> Callable[..., int]:
