@@ -1,10 +1,11 @@
 """Licence notices in texts: a positional index of rare licence words over templates.
 
 Everything on the way is a DataFrame expression. The words of all templates are weighed by their inverse document
-frequency in the corpus. The rare ones among them that a text holds are looked up in the templates'
-postings, and postings that put a template at the same place of the text are intersected. A template whose
-share of matched weight is large enough is a candidate there, and labels the text if its mandatory phrase stands
-at that very place. Base phrases are counted beside, by a plain pattern.
+frequency in the corpus, and each template is indexed under the rarest of its own words, however frequent these
+are. All of a text's indexed words are looked up in the postings; each puts a template at a place of the text, which
+stands only if the template's mandatory phrase is there. Postings that put a template at the same place are intersected,
+and a template whose share of matched weight is large enough there labels the text. Base phrases are counted beside, by
+a plain pattern.
 """
 
 from __future__ import annotations
@@ -55,10 +56,8 @@ TEMPLATES = (
 # Characters of words before the letters A to Z are lowered, and the ones between words.
 _IN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _OUT = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-COMMON = 0.02
-"""Licence words in more than this share of the texts are not looked up, only verified."""
-LOOKED_UP = 24
-"""Of a text's distinct rare words so many are looked up, those of highest inverse document frequency first."""
+RAREST = 4
+"""So many of a template's words are indexed, those in the fewest texts; of equal ones the first by code points."""
 SHARE = 0.6
 """Share of a template's rare weight that must be matched at one place."""
 
@@ -140,65 +139,57 @@ def document_frequencies(df: DataFrame, body: Column, vocabulary: list[str]) ->
     return df.count(), {r[0]: r[1] for r in counts}
 
 
-def _postings(spark: SparkSession, known: list[Template], weights: dict[str, float]) -> DataFrame:
-    """(word, template, at, weight, whole): bounded by the templates' own words."""
+def rarest(template: Template, frequency: dict[str, int]) -> list[str]:
+    """The template's words in the fewest texts, of those that any text has."""
+    own = {w for w in template.words if frequency.get(w)}
+    return sorted(own, key=lambda w: (frequency[w], w))[:RAREST]
+
+
+def weight(word: str, total: int, frequency: dict[str, int]) -> float:
+    return math.log((total + 1) / (frequency[word] + 1)) + 1e-3
+
+
+def _postings(spark: SparkSession, known: list[Template], total: int, frequency: dict[str, int]) -> DataFrame:
+    """(word, template, label, at, weight, whole, phrase_at, phrase): bounded by the templates' own words."""
     rows = []
     for number, template in enumerate(known):
-        own = [(w, i) for i, w in enumerate(template.words) if w in weights]
-        whole = sum(weights[w] for w, _ in own)
-        rows += [(w, number, i, weights[w], whole) for w, i in own]
-    return spark.createDataFrame(rows, "word string, template int, at int, weight double, whole double")
+        indexed = rarest(template, frequency)
+        own = [(w, i) for i, w in enumerate(template.words) if w in indexed]
+        whole = sum(weight(w, total, frequency) for w, _ in own)
+        rows += [
+            (w, number, template.label, i, weight(w, total, frequency), whole, template.phrase_at, template.phrase) for w, i in own
+        ]
+    schema = "word string, template int, label string, at int, weight double, whole double, phrase_at int, phrase array<string>"
+    return spark.createDataFrame(rows, schema)
 
 
 def template_labels(df: DataFrame, key: list[str], text: str, known: list[Template]) -> DataFrame:
     """(key columns, labels, share) of the texts in which a template is found; key must tell texts apart."""
     body = F.col(f"`{text}`")
-    vocabulary = sorted({w for t in known for w in t.words})
-    total, frequency = document_frequencies(df, body, vocabulary)
-    weights = {
-        w: math.log((total + 1) / (frequency[w] + 1)) + 1e-3 for w in vocabulary
-        if frequency.get(w) and frequency[w] <= max(2, COMMON * total)
-    }
-    none = df.select(*key).where("false").withColumns(
-        {"labels": F.array().cast("array<string>"), "share": F.lit(0.0)}
-    )
+    total, frequency = document_frequencies(df, body, sorted({w for t in known for w in t.words}))
     # A template whose mandatory phrase has a word that no text holds can't be verified anywhere.
-    able = [t for t in known if all(frequency.get(w) for w in t.phrase) and any(w in weights for w in t.words)]
+    able = [t for t in known if all(frequency.get(w) for w in t.phrase)]
     if not able:
-        return none
-    rare = sorted(w for w in weights)
-    idf = F.create_map(*[x for w in rare for x in (F.lit(w), F.lit(weights[w]))])
-    # Each hit takes the words around it along, as far as a template reaches, so nothing is looked up again.
-    reach = max(len(t.words) for t in able)
-    positioned = df.select(*key, _words(body).alias("words")).select(*key, "words", F.posexplode("words").alias("place", "word"))
-    hits = positioned.withColumn("word", _ascii_lower(F.col("word"))).where(F.col("word").isin(rare))
-    begin = F.greatest(F.col("place") - reach, F.lit(0))
-    hits = hits.select(*key, "word", F.struct("place", begin.alias("begin"), F.slice("words", begin + 1, 2 * reach).alias("near")).alias("hit"))
-    hits = hits.groupBy(*key, "word", F.col("hit.place").alias("place")).agg(F.any_value("hit").alias("hit"))
-    if len(rare) > LOOKED_UP:
-        top = (
-            hits.groupBy(*key).agg(F.collect_set("word").alias("own"))
-            .select(*key, F.slice(F.sort_array(F.transform("own", lambda w: F.struct((-idf[w]).alias("w"), w.alias("word")))),
-                                  1, LOOKED_UP).alias("own"))
-            .select(*key, F.explode("own.word").alias("word"))
-        )
-        hits = hits.join(top, [*key, "word"])
-    matched = hits.join(F.broadcast(_postings(df.sparkSession, able, weights)), "word").select(
-        *key, "template", (F.col("place") - F.col("at")).alias("offset"), "weight", "whole", "hit"
-    )
-    places = (
-        matched.groupBy(*key, "template", "offset")
-        .agg((F.sum("weight") / F.max("whole")).alias("share"), F.any_value("hit").alias("hit"))
-        .where(F.col("share") >= SHARE)
+        return df.select(*key).where("false").withColumns({"labels": F.array().cast("array<string>"), "share": F.lit(0.0)})
+    indexed = sorted({w for t in able for w in rarest(t, frequency)})
+    words = df.select(*key, _words(body).alias("words"))
+    positioned = words.select(*key, "words", F.posexplode("words").alias("place", "word"))
+    hits = positioned.withColumn("word", _ascii_lower(F.col("word"))).where(F.col("word").isin(indexed))
+    # The phrase is compared where the hit is found, so a word that is frequent elsewhere goes no further.
+    at = F.col("place") - F.col("at") + F.col("phrase_at")
+    there = F.transform(F.slice("words", F.greatest(at, F.lit(0)) + 1, F.size("phrase")), _ascii_lower)
+    matched = (
+        hits.join(F.broadcast(_postings(df.sparkSession, able, total, frequency)), "word")
+        .where((F.col("place") >= F.col("at")) & (there == F.col("phrase")))
+        .select(*key, "template", "label", (F.col("place") - F.col("at")).alias("offset"), "at", "weight", "whole")
+        .distinct()
     )
-    shapes = df.sparkSession.createDataFrame(
-        [(i, t.label, t.phrase_at, t.phrase) for i, t in enumerate(able)],
-        "template int, label string, phrase_at int, phrase array<string>",
+    # Weights are added in order of their places, so that equal texts get equal shares.
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("at", "weight"))), lambda x: x["weight"])
+    places = matched.groupBy(*key, "template", "label", "offset").agg(
+        (F.aggregate(ordered, F.lit(0.0), lambda a, x: a + x) / F.max("whole")).alias("share")
     )
-    at = F.col("offset") + F.col("phrase_at") - F.col("hit.begin")
-    there = F.transform(F.slice("hit.near", F.greatest(at, F.lit(0)) + 1, F.size("phrase")), _ascii_lower)
-    verified = places.join(F.broadcast(shapes), "template").where((at >= 0) & (there == F.col("phrase")))
-    return verified.groupBy(*key).agg(
+    return places.where(F.col("share") >= SHARE).groupBy(*key).agg(
         F.collect_set("label").alias("labels"), F.least(F.lit(1.0), F.max("share")).alias("share")
     )
 
