@@ -25,6 +25,7 @@ TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 STATES = len(ALPHABET) + 1
 """The characters, and the place before the first one."""
+RUN, MARKS = 256, 64
 MARGIN, MARGIN_PER_CHARACTER = 12.0, 1.2
 """Log-likelihood ratios, of a token and per character, from which it counts as random."""
 
@@ -131,33 +132,63 @@ def _ratios(counts: dict[tuple[int, int, int], int], prior: float = 0.5) -> list
 # ---- spans ---------------------------------------------------------------------------------------
 
 
-def _places(text: Column, matches: Column, pattern: str, kind: str) -> Column:
-    """Spans (start, kind number, end) of all matches: text between two matches has a known length."""
+def _running(items: Column, first: Column, add, give) -> Column:
+    """``give(held, item)`` of every item of an array, where ``held`` is what ``add`` has made of the items before it.
+
+    Results are gathered in runs of a few hundred, as an array that grows by one item is copied each time.
+    """
+    runs = F.sequence(F.lit(0), F.greatest(F.size(items) - 1, F.lit(0)), F.lit(RUN))
+
+    def inner(held: Column, item: Column) -> Column:
+        return F.struct(add(held["held"], item).alias("held"), F.concat(held["out"], F.array(give(held["held"], item))).alias("out"))
+
+    nothing = F.filter(F.transform(F.slice(items, 1, 1), lambda x: give(first, x)), lambda _: F.lit(False))
+
+    def outer(held: Column, run: Column) -> Column:
+        begun = F.struct(held["held"].alias("held"), nothing.alias("out"))
+        done = F.aggregate(F.slice(items, run + 1, RUN), begun, inner)
+        # The run is taken apart once: a struct of its end and its items, appended to the runs.
+        return F.transform(F.array(done), lambda d: F.struct(d["held"].alias("held"), F.concat(held["out"], F.array(d["out"])).alias("out")))[0]
+
+    begun = F.struct(first.alias("held"), F.filter(F.array(nothing), lambda _: F.lit(False)).alias("out"))
+    return F.aggregate(runs, begun, outer, lambda held: F.flatten(held["out"]))
+
+
+def _gaps(text: Column, matches: Column, pattern: str) -> Column:
+    """Of each match the characters between the match before and this one, and its own. The text is split once."""
     between = F.split(text, pattern, -1)
-    empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
+    lengths = F.transform(between, lambda x: F.length(x))
+    sized = F.zip_with(lengths, matches, lambda gap, match: F.struct(gap.alias("gap"), F.length(match).alias("own")))
+    nothing = F.array().cast("array<struct<gap:int,own:int>>")
+    return F.when(F.size(matches) > 0, F.slice(sized, 1, F.size(matches))).otherwise(nothing)
 
-    def step(held: Column, i: Column) -> Column:
-        start = held["at"] + F.length(F.get(between, i))
-        end = start + F.length(F.get(matches, i))
-        span = F.struct(
-            start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), end.alias("end")
-        )
-        return F.struct(end.cast("long").alias("at"), F.concat(held["spans"], F.array(span)).alias("spans"))
 
-    first = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans"))
-    found = F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), first, step, lambda held: held["spans"])
-    return F.when(F.size(matches) > 0, found).otherwise(empty)
+def _places(gaps: Column, kind: str) -> Column:
+    """Spans (start, kind number, end) of all matches, by adding up their gaps."""
+
+    def after(at: Column, x: Column) -> Column:
+        return at + x["gap"] + x["own"]
+
+    def span(at: Column, x: Column) -> Column:
+        return F.struct((at + x["gap"]).alias("start"), F.lit(KINDS.index(kind)).alias("kind"), after(at, x).alias("end"))
+
+    empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
+    return F.when(F.size(gaps) > 0, _running(gaps, F.lit(0).cast("long"), after, span)).otherwise(empty)
 
 
 def log_ratio(token: Column, model: RandomnessModel) -> Column:
-    """How much better the random model explains a token than the ordinary one; higher is more random."""
+    """How much better the random model explains a token than the ordinary one; higher is more random.
+
+    The token is split into its characters once, and each is seen beside the one before.
+    """
     table = F.split(F.lit(",".join(map(str, model.ratios))), ",").cast("array<double>")
+    codes = F.transform(F.filter(F.split(token, ""), lambda x: x != ""), _code)
 
-    def add(held: Column, i: Column) -> Column:
-        before = F.when(i == 1, 0).otherwise(_code(F.substring(token, i - 1, F.lit(1))))
-        return held + F.get(table, before * STATES + _code(F.substring(token, i, F.lit(1))))
+    def ratio(before: Column, after: Column) -> Column:
+        return F.when(after.isNotNull(), F.get(table, before * STATES + after)).otherwise(0.0)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(token)), F.lit(0.0), add)
+    # The character before the first has code 0; the last one is followed by none.
+    return F.aggregate(F.zip_with(F.concat(F.array(F.lit(0)), codes), codes, ratio), F.lit(0.0), lambda held, x: held + x)
 
 
 def find(df: DataFrame, model: RandomnessModel, text: str = "text") -> DataFrame:
@@ -178,29 +209,47 @@ def find(df: DataFrame, model: RandomnessModel, text: str = "text") -> DataFrame
             "_token": F.regexp_extract_all(body, F.lit(TOKEN), F.lit(0)),
         }
     )
+    rows = rows.withColumns(
+        {
+            "_assign": _gaps(body, F.col("_assign"), ASSIGN),
+            "_access": _gaps(body, F.col("_access"), ACCESS),
+            "_hex": _gaps(body, F.col("_hex"), HEX),
+        }
+    )
     rows = rows.withColumns(
         {
             "_assign": F.filter(
-                _places(body, F.col("_assign"), ASSIGN, "assign"),
+                _places(F.col("_assign"), "assign"),
                 lambda span, i: F.length(F.get(F.col("_value"), i)) >= 6,
             ),
-            "_access": _places(body, F.col("_access"), ACCESS, "access"),
-            "_hex": _places(body, F.col("_hex"), HEX, "hex"),
+            "_access": _places(F.col("_access"), "access"),
+            "_hex": _places(F.col("_hex"), "hex"),
             "_judged": F.transform(
                 "_token",
                 lambda token: log_ratio(token, model) >= F.greatest(F.lit(MARGIN), MARGIN_PER_CHARACTER * F.length(token)),
             ),
         }
     )
-    rows = rows.withColumn("_base", F.concat("_assign", "_access", "_hex"))
-    random = F.when(
-        F.exists("_judged", lambda x: x),
-        F.filter(
-            F.filter(_places(body, F.col("_token"), TOKEN, "markov"), lambda span, i: F.get(F.col("_judged"), i)),
-            lambda span: ~F.exists("_base", lambda own: (own["start"] < span["end"]) & (span["start"] < own["end"])),
-        ),
-    ).otherwise(F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>"))
-    rows = rows.withColumn("secrets", F.array_sort(F.concat("_base", random)))
+    rows = rows.withColumn("_base", F.array_sort(F.concat("_assign", "_access", "_hex")))
+    none = F.array().cast("array<struct<gap:int,own:int>>")
+    rows = rows.withColumn("_gaps", F.when(F.exists("_judged", lambda x: x), _gaps(body, F.col("_token"), TOKEN)).otherwise(none))
+    empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
+    random = F.filter(_places(F.col("_gaps"), "markov"), lambda span, i: F.get(F.col("_judged"), i))
+    rows = rows.withColumn("_all", F.when(F.size("_gaps") > 0, F.array_sort(F.concat("_base", random))).otherwise(empty))
+    # In order of their starts, a random token meets a base span if one before it reaches over its start, or one after
+    # it starts before its end.
+    markov, none, far = KINDS.index("markov"), F.lit(0).cast("long"), F.lit(1 << 60)
+    ends = _running(
+        F.col("_all"), none, lambda held, x: F.when(x["kind"] < markov, F.greatest(held, x["end"])).otherwise(held),
+        lambda held, x: held > x["start"],
+    )
+    starts = _running(
+        F.reverse("_all"), far, lambda held, x: F.when(x["kind"] < markov, F.least(held, x["start"])).otherwise(held),
+        lambda held, x: held < x["end"],
+    )
+    rows = rows.withColumns({"_over": F.when(F.size("_all") > 0, ends), "_under": F.when(F.size("_all") > 0, F.reverse(starts))})
+    free = F.filter("_all", lambda x, i: (x["kind"] < markov) | ~(F.get("_over", i) | F.get("_under", i)))
+    rows = rows.withColumn("secrets", F.when(F.size("_all") > 0, free).otherwise(F.col("_base")))
     kept = [F.col("_row").getField(c).alias(c) for c in df.columns if c.lower() != "secrets"]
     return rows.select(*kept, "secrets")
 
@@ -219,19 +268,30 @@ def redact(df: DataFrame, model: RandomnessModel, text: str = "text", mark: str
     rows = find(df.select(own, F.col(f"`{text}`").alias("_text")), model, "_text")
     body = F.col("_text")
 
-    def step(held: Column, span: Column) -> Column:
-        inside = span["start"] <= held["end"]
-        gap = F.substring(body, (held["end"] + 1).cast("int"), (span["start"] - held["end"]).cast("int"))
-        return F.struct(
-            F.greatest(held["end"], span["end"]).alias("end"),
-            F.when(inside & held["begun"], held["out"]).otherwise(F.concat(held["out"], gap, F.lit(mark))).alias("out"),
-            F.lit(True).alias("begun"),
-        )
-
-    first = F.struct(F.lit(0).cast("long").alias("end"), F.lit("").alias("out"), F.lit(False).alias("begun"))
-    replaced = F.aggregate(
-        "secrets", first, step,
-        lambda held: F.concat(held["out"], F.substring(body, (held["end"] + 1).cast("int"), F.length(body))),
+    # Each span with the end of all spans before it; a mark stands for those that begin behind that end.
+    reach = _running(
+        F.col("secrets"), F.lit(0).cast("long"), lambda held, x: F.greatest(held, x["end"]),
+        lambda held, x: F.struct(held.alias("since"), x["start"].alias("start"), F.greatest(held, x["end"]).alias("end")),
     )
-    changed = F.when(F.size("secrets") > 0, replaced).otherwise(body)
+    rows = rows.withColumn("_reach", F.when(F.size("secrets") > 0, reach))
+    marks = F.filter("_reach", lambda x, i: (i == 0) | (x["start"] > x["since"]))
+    rows = rows.withColumn("_marks", marks)
+
+    def cut(text: Column, start: Column, end: Column) -> Column:
+        return F.substring(text, (start + 1).cast("int"), (end - start).cast("int"))
+
+    def piece(own: Column) -> Column:
+        """The text of a run of marks is cut out of the whole once, and taken apart from there."""
+        begin = own[0]["since"]
+        region = F.struct(own.alias("own"), cut(body, begin, F.element_at(own, -1)["start"]).alias("text"))
+
+        def parts(r: Column) -> Column:
+            at = r["own"][0]["since"]
+            return F.array_join(F.transform(r["own"], lambda x: F.concat(cut(r["text"], x["since"] - at, x["start"] - at), F.lit(mark))), "")
+
+        return F.transform(F.array(region), parts)[0]
+
+    runs = F.transform(F.sequence(F.lit(0), F.size("_marks") - 1, F.lit(MARKS)), lambda r: F.slice("_marks", r + 1, MARKS))
+    tail = F.substring(body, (F.element_at("_reach", -1)["end"] + 1).cast("int"), F.length(body))
+    changed = F.when(F.size("secrets") > 0, F.concat(F.array_join(F.transform(runs, piece), ""), tail)).otherwise(body)
     return rows.select(*[(changed if c == text else F.col("_own").getField(c)).alias(c) for c in df.columns])
