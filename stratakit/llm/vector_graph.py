@@ -5,7 +5,11 @@ graph of pruned neighbour lists; a vector's lists from all its shards are united
 members' ranges: a greedy beam search from the shard's medoid, and from the vector's own place, goes on from everything
 it finds in range. Found pairs are confirmed by the exact cosine. A pair that shares several shards counts in the
 first one, so nothing but counts and one link per member leaves a shard, however many copies there are.
-Recall is audited against all rows for a sample, and the overlap doubled while it is too low.
+
+Centroids that are in range of each other become one, so that a group of near copies is not cut into many shards. A
+shard that is too large is built in slices, and a task searches one pair of slices. Recall is audited against all rows
+for a sample, half of it from vectors with links; the overlap is doubled while it is too low, and a recall that
+stays too low is an error.
 """
 
 from __future__ import annotations
@@ -21,9 +25,13 @@ from stratakit.llm.common import clean_vectors, components, matrix, stored
 
 OVERLAP, SHARD_ROWS, MOST_ROWS = 3, 1000, 2048
 MOST_CELLS, SAMPLE_PER_CELL = 4096, 24
-AUDIT_ROWS, AUDIT_RECALL = 512, 0.995
+AUDIT_ROWS, AUDIT_RECALL, MOST_OVERLAP = 512, 0.995, 48
 NEAR, FAR, DEGREE, ALPHA = 64, 16, 24, 1.2
-BEAM, AT_ONCE, QUERIES_AT_ONCE = 32, 4, 256
+BEAM, AT_ONCE, MOST_AT_ONCE, QUERIES_AT_ONCE = 32, 4, 128, 128
+
+
+class RecallError(RuntimeError):
+    """Too many links are missing, as an audit against all rows shows."""
 
 
 def centroids(points: np.ndarray, cells: int, seed: int, rounds: int = 8) -> np.ndarray:
@@ -39,6 +47,14 @@ def centroids(points: np.ndarray, cells: int, seed: int, rounds: int = 8) -> np.
     return centres
 
 
+def thinned(centres: np.ndarray, least: float) -> np.ndarray:
+    """The centroids without those that are in range of one before."""
+    kept = np.zeros(len(centres), bool)
+    for i, row in enumerate(centres @ centres.T >= least):
+        kept[i] = not (row & kept).any()
+    return centres[kept]
+
+
 def pruned_graph(points: np.ndarray, seed: int = 1) -> list[np.ndarray]:
     """Neighbour lists of unit vectors: robust pruning of near and of random candidates, and the reverse edges.
 
@@ -102,7 +118,9 @@ def range_search(points: np.ndarray, graph: np.ndarray, queries: np.ndarray, own
     while len(asks):
         rows = scores[asks]
         bar = np.minimum(np.partition(rows, -width, axis=1)[:, -width], np.float32(least))
-        some = min(AT_ONCE, len(points))
+        # All that is in range is to be expanded, in rounds of a bounded number for each query.
+        in_range = int((todo[asks] >= least).sum(1).max())
+        some = min(max(AT_ONCE, min(in_range, MOST_AT_ONCE)), len(points))
         best = np.argpartition(todo[asks], -some, axis=1)[:, -some:]
         worth = np.take_along_axis(todo[asks], best, 1)
         go = (worth >= bar[:, None]) & np.isfinite(worth)
@@ -112,11 +130,13 @@ def range_search(points: np.ndarray, graph: np.ndarray, queries: np.ndarray, own
             break
         todo[np.repeat(asks, some), best.ravel()] = np.where(go, -np.inf, todo[asks[:, None], best]).ravel()
         around = np.where(go[:, :, None], graph[best], -1).reshape(len(asks), -1)
-        new = ~seen[asks[:, None], around]
-        which, place = np.nonzero(new)[0], around[new]
-        found = np.einsum("nd,nd->n", points[place], queries[asks[which]])
+        met = np.zeros((len(asks), len(points) + 1), bool)
+        np.put_along_axis(met, np.where(around < 0, len(points), around), True, 1)
+        which, place = np.nonzero(met & ~seen[asks])
         seen[asks[which], place] = True
-        scores[asks[which], place] = todo[asks[which], place] = found
+        for i in range(0, len(which), 100_000):
+            q, x = asks[which[i : i + 100_000]], place[i : i + 100_000]
+            scores[q, x] = todo[q, x] = np.einsum("nd,nd->n", points[x], queries[q])
     return np.nonzero(scores[:, :-1] >= least)
 
 
@@ -140,9 +160,9 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
 
     Vectors that are null, zero or hold a null or non-finite part have no link and are kept. Rows with the same id
     count once, with the least usable vector; rows without id are left out. Equal vectors form one node, of which
-    copies are counted. All usable vectors must have the same number of parts. The centroids come from a
-    sample of at most 4096 x 24 vectors; a cell with more than most_rows members is built in slices, and each
-    member searches all of them.
+    copies are counted. Vectors are compared with those of as many parts. The centroids come from a sample of at
+    most 4096 x 24 vectors; a cell with more than most_rows members is built in slices, and each member searches all
+    of them. RecallError if the audited recall stays below ``recall`` at the largest overlap.
     """
     spark = df.sparkSession
     every = df.select(F.col(f"`{id_col}`").cast("long").alias("vec_id")).where("vec_id is not null").distinct()
@@ -154,20 +174,23 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
             F.min("vec_id").alias("node"), F.min("embedding").alias("embedding"), F.count(F.lit(1)).alias("copies")
         )
     )
-    total = nodes.count()
+    lengths = [r[0] for r in nodes.groupBy(F.size("embedding").alias("n")).count().orderBy("n").collect()]
     named = rows.join(nodes.select("h1", "h2", "node", "copies"), ["h1", "h2"]).select("vec_id", "node", "copies")
-    if total:
+    counts = spark.createDataFrame([], "node long, links long")
+    edges = spark.createDataFrame([], "a long, b long")
+    for length in lengths:
+        own = nodes if len(lengths) == 1 else stored(nodes.where(F.size("embedding") == length))
+        total, wide = own.count(), overlap
         while True:
-            found = _search(nodes, total, least, overlap, shard_rows, most_rows, seed)
-            share = _audit(nodes, found, least, seed)
-            if share >= recall or overlap >= 48:
+            found = _search(own, total, least, wide, shard_rows, most_rows, seed)
+            share = _audit(own, found, least, seed)
+            if share >= recall:
                 break
-            overlap *= 2
-        counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-        edges = found.where("root <> node").select(F.col("root").alias("a"), F.col("node").alias("b"))
-    else:
-        counts = spark.createDataFrame([], "node long, links long")
-        edges = spark.createDataFrame([], "a long, b long")
+            if wide >= MOST_OVERLAP:
+                raise RecallError(f"{share:.4f} of the audited links were found, fewer than {recall}")
+            wide *= 2
+        counts = counts.union(found.groupBy("node").agg(F.sum("links").alias("links")))
+        edges = edges.union(found.where("root <> node").select(F.col("root").alias("a"), F.col("node").alias("b")))
     edges = edges.union(named.where("vec_id <> node").select(F.col("node").alias("a"), F.col("vec_id").alias("b")))
     linked = components(edges).select(F.col("id").alias("vec_id"), "component")
     out = every.join(named, "vec_id", "left").join(counts, "node", "left").join(linked, "vec_id", "left")
@@ -181,8 +204,12 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
 
 
 def _units(column: pd.Series) -> np.ndarray:
+    """Vectors of length one; their largest part is made one first, so that no square over- or underflows."""
     points = matrix(column)
-    return points / np.linalg.norm(points, axis=1, keepdims=True) if len(points) else points
+    if not len(points):
+        return points
+    points = points / np.abs(points).max(axis=1, keepdims=True)
+    return points / np.linalg.norm(points, axis=1, keepdims=True)
 
 
 def _search(nodes, total, least, overlap, shard_rows, most_rows, seed) -> DataFrame:
@@ -194,7 +221,7 @@ def _search(nodes, total, least, overlap, shard_rows, most_rows, seed) -> DataFr
     sample = nodes.where(chance < int((1 << 30) * min(1.0, wanted / total))).select("node", "embedding").toPandas()
     if sample.empty:
         sample = nodes.select("node", "embedding").limit(1).toPandas()
-    centres = centroids(_units(sample.sort_values("node")["embedding"]), cells, seed)
+    centres = thinned(centroids(_units(sample.sort_values("node")["embedding"]), cells, seed), least)
     near = min(overlap, len(centres))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -219,59 +246,72 @@ def _search(nodes, total, least, overlap, shard_rows, most_rows, seed) -> DataFr
     lists = lists.applyInPandas(build, "node long, around array<long>")
     graph = stored(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("around"))).alias("around")))
 
-    members = spread.select("cell", "slice", "cells", "node", F.lit(True).alias("member"))
-    visitors = spread.where("slices > 1").select(
-        "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("other"), "slice", "cells", "node"
-    ).where("other <> slice").select("cell", F.col("other").alias("slice"), "cells", "node", F.lit(False).alias("member"))
-    met = members.union(visitors).join(vectors, "node").join(graph, "node")
+    # A task has one slice, or two of a cell whose members search each other's.
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("other")
+    met = spread.select("cell", "slice", "cells", "node", others).select(
+        "cell", F.least("slice", "other").alias("one"), F.greatest("slice", "other").alias("two"), "slice", "cells", "node"
+    ).join(vectors, "node").join(graph, "node")
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["member", "node"], ascending=[False, True], ignore_index=True)
-        names, copies, inside = rows["node"].to_numpy(), rows["copies"].to_numpy(), int(rows["member"].sum())
-        if not inside:
-            return pd.DataFrame({"node": [], "links": [], "root": []})
+        rows = rows.sort_values(["slice", "node"], ignore_index=True)
+        names, copies, side = rows["node"].to_numpy(), rows["copies"].to_numpy(), rows["slice"].to_numpy()
         exact, mine = _units(rows["embedding"]), np.stack(rows["cells"])
         points = exact.astype(np.float32)
-        place = {v: i for i, v in enumerate(names[:inside])}
-        lists = [[place[v] for v in x if v in place] for x in rows["around"].iloc[:inside]]
-        table = np.full((inside + 1, max(1, max(map(len, lists)))), -1)
-        for i, x in enumerate(lists):
-            table[i, : len(x)] = x
-        held = points[:inside]
-        entry = int((held @ held.mean(0)).argmax())
-        own = np.where(rows["member"], np.arange(len(rows)), -1)
-        a, b = [], []
+        sides = [np.flatnonzero(side == s) for s in np.unique(side)]
+        pairs = [(sides[0], sides[0])] if rows["one"].iloc[0] == rows["two"].iloc[0] else [(sides[0], sides[-1]), (sides[-1], sides[0])]
+        close = np.zeros((len(rows), len(rows)), bool)  # at most two slices, so its size is bounded
+        for data, asks in pairs if len(sides) > 1 or len(pairs) == 1 else []:
+            place = {v: i for i, v in enumerate(names[data].tolist())}
+            lists = [[place[v] for v in x.tolist() if v in place] for x in rows["around"].iloc[data]]
+            table = np.full((len(data) + 1, max(1, max(map(len, lists)))), -1)
+            for i, x in enumerate(lists):
+                table[i, : len(x)] = x
+            held = points[data]
+            entry = int((held @ held.mean(0)).argmax())
+            for begin in range(0, len(asks), QUERIES_AT_ONCE):
+                part = asks[begin : begin + QUERIES_AT_ONCE]
+                own = np.arange(begin, begin + len(part)) if data is asks else np.full(len(part), -1)
+                left, right = range_search(held, table, points[part], own, entry, least - 1e-5)
+                close[part[left], data[right]] = True
+        close |= close.T
+        np.fill_diagonal(close, False)
+        cell, links, label = rows["cell"].iloc[0], np.zeros(len(rows), np.int64), np.arange(len(rows))
         for begin in range(0, len(rows), QUERIES_AT_ONCE):
-            part = slice(begin, begin + QUERIES_AT_ONCE)
-            left, right = range_search(held, table, points[part], own[part], entry, least - 1e-5)
-            a.append(left + begin)
-            b.append(right)
-        a, b = np.concatenate(a), np.concatenate(b)
-        keep = a != b
-        pairs = np.unique(np.stack([np.r_[a[keep], b[keep][a[keep] < inside]], np.r_[b[keep], a[keep][a[keep] < inside]]], 1), axis=0)
-        a, b = pairs[:, 0], pairs[:, 1]
-        sure = np.concatenate(
-            [np.einsum("nd,nd->n", exact[a[i : i + 50_000]], exact[b[i : i + 50_000]]) >= least for i in range(0, len(a), 50_000)]
-            or [np.zeros(0, bool)]
-        )
-        a, b = a[sure], b[sure]
-        cell = rows["cell"].iloc[0]
-        first = np.ones(len(a), bool)
-        for i in range(0, len(a), 200_000):
-            x, y = mine[a[i : i + 200_000]], mine[b[i : i + 200_000]]
-            shared = (x[:, :, None] == y[:, None, :]).any(2)
-            first[i : i + 200_000] = np.where(shared, x, np.iinfo(np.int64).max).min(1) == cell
-        links = np.zeros(len(names), np.int64)
-        np.add.at(links, a[first], copies[b[first]])
-        return pd.DataFrame({"node": names, "links": links, "root": names[_roots(len(names), a, b)]})
+            a, b = np.nonzero(close[begin : begin + QUERIES_AT_ONCE])
+            a += begin
+            for i in range(0, len(a), 50_000):
+                x, y = a[i : i + 50_000], b[i : i + 50_000]
+                sure = np.einsum("nd,nd->n", exact[x], exact[y]) >= least
+                close[x[~sure], y[~sure]] = False
+                x, y = x[sure], y[sure]
+                both = np.where((mine[x][:, :, None] == mine[y][:, None, :]).any(2), mine[x], np.iinfo(np.int64).max)
+                np.add.at(links, x[both.min(1) == cell], copies[y[both.min(1) == cell]])
+        while True:  # every row takes the least label among its links, block by block, until none changes
+            low = label.copy()
+            for begin in range(0, len(rows), QUERIES_AT_ONCE):
+                block = close[begin : begin + QUERIES_AT_ONCE]
+                low[begin : begin + len(block)] = np.minimum(
+                    label[begin : begin + len(block)], np.where(block, label[None, :], len(rows)).min(1, initial=len(rows))
+                )
+            low = low[low]
+            if (low == label).all():
+                break
+            label = low
+        # Rows are in order of their slices, so the least place need not have the least name.
+        least_name = np.full(len(rows), np.iinfo(np.int64).max)
+        np.minimum.at(least_name, label, names)
+        return pd.DataFrame({"node": names, "links": links, "root": least_name[label]})
 
-    return stored(met.groupBy("cell", "slice").applyInPandas(search, "node long, links long, root long"))
+    return stored(met.groupBy("cell", "one", "two").applyInPandas(search, "node long, links long, root long"))
 
 
 def _audit(nodes: DataFrame, found: DataFrame, least: float, seed: int) -> float:
     """Share of the true links found, of a sample of nodes that is compared with all rows."""
     chance = F.xxhash64(F.lit(seed), F.lit("audit"), F.col("node"))
-    sample = nodes.orderBy(chance, "node").limit(AUDIT_ROWS).select("node", "embedding").toPandas()
+    linked = found.groupBy("node").agg(F.sum("links").alias("links")).where("links > 0").select("node")
+    halves = [nodes.join(linked, "node", "left_semi"), nodes]
+    halves = [half.orderBy(chance, "node").limit(AUDIT_ROWS // 2).select("node", "embedding") for half in halves]
+    sample = halves[0].union(halves[1]).toPandas().drop_duplicates("node")
     points, names = _units(sample["embedding"]), sample["node"].to_numpy()
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
