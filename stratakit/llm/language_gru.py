@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from stratakit.llm.common import bound_batches, sliced
 
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 LONGEST = 32
 """Bytes read as one sequence; a longer word is read in several."""
 
@@ -157,6 +156,11 @@ def train(words: list[bytes], labels: np.ndarray, languages: list[str], hidden:
 # ---- documents -----------------------------------------------------------------------------------
 
 
+def has_letter(word: str) -> bool:
+    """Letters as Unicode has them; number signs such as a superscript two or a Roman eight are none."""
+    return word.isalpha() or any(map(str.isalpha, word))
+
+
 def _words(text: str) -> list[str]:
     """The sequences of a whole text: lower case, parted by white space, full stops and commas."""
     return text.lower().replace(".", " ").replace(",", " ").split()
@@ -170,7 +174,7 @@ def _pieces(word: str) -> list[bytes]:
 def word_sums(words: list[str], model: LanguageModel, rows_at_once: int = 2048) -> np.ndarray:
     """Per word the sum of its bytes' distributions; zeros for a word without a letter."""
     sums = np.zeros((len(words), len(model.languages)))
-    raw = [w.encode("utf-8", "replace") if w.isalpha() or LETTER.search(w) else b"" for w in words]
+    raw = [w.encode("utf-8", "replace") if has_letter(w) else b"" for w in words]
     longer = [i for i, w in enumerate(raw) if len(w) > LONGEST]
     pieces = [raw[i][k : k + LONGEST] for i in longer for k in range(LONGEST, len(raw[i]), LONGEST)]
     owner = [i for i in longer for _ in range(LONGEST, len(raw[i]), LONGEST)]
@@ -246,7 +250,7 @@ def labelled_words(df: DataFrame, text: str, lang: str, key: Column, docs_per_la
         for batch in batches:
             langs, drawn = [], []
             for language, body, salt in zip(batch["lang"], batch["text"], batch["salt"]):
-                words = [w for w in _words(body) if LETTER.search(w)]
+                words = [w for w in _words(body) if has_letter(w)]
                 if len(words) > words_per_doc:
                     at = np.random.default_rng(salt).choice(len(words), words_per_doc, replace=False)
                     words = [words[i] for i in sorted(at)]
