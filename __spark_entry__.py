@@ -15,7 +15,9 @@ import stratakit as sk
 try:
     import corpus_pipeline
     from stratakit.llm import queries as llm
-except ImportError:  # the folders of that part may be left out
+except ModuleNotFoundError as error:  # that part may be left out as a whole; anything else that is missing is an error
+    if error.name not in ("corpus_pipeline", "stratakit.llm"):
+        raise
     corpus_pipeline = llm = None
 
 EVENTS = """
