@@ -500,6 +500,38 @@ def zorder_two_columns(spark, sf_dir):
     return found
 
 
+def zorder_incremental(spark, sf_dir):
+    """A clustered table, appends in the order of its key and appends all over it: how far runs and files overlap, and
+    how much of the table was written again, the appended rows included."""
+    store = _store(spark)
+    orders = _table(spark, sf_dir, "orders")
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    late, odd = F.col("o_orderkey") > last * 0.9, F.col("o_orderkey") % 40 == 3
+    store.append(orders.where(~late & ~odd), "orders")
+    target = max(1, store.snapshot("orders").bytes // 16)
+    sk.zorder_incremental(store, "orders", ["o_orderkey"], target)
+    base = store.latest_version("orders")
+    for rows in (late & ~odd, odd & (F.col("o_custkey") % 2 == 0), odd & (F.col("o_custkey") % 2 == 1)):
+        store.append(orders.where(rows), "orders")
+        sk.zorder_incremental(store, "orders", ["o_orderkey"], target)
+    written = sum(int(m["numOutputRows"]) for m in store.metrics_since("orders", base) if "numRemovedFiles" in m)
+    snapshot = store.snapshot("orders")
+    rows = store.read_with_folders(snapshot, snapshot.folders)
+    ends = [F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")]
+    files = store.read("orders")
+    files = files.groupBy(files.metadataColumn("_metadata").getField("file_path").alias("file")).agg(*ends)
+
+    def hits(ranges):
+        return rows.join(F.broadcast(ranges), F.expr("o_orderkey between low and high")).groupBy("o_orderkey").count()
+
+    return (
+        rows.agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("revenue"))
+        .join(hits(rows.groupBy("__folder").agg(*ends)).agg((F.max("count") <= 2).alias("two_runs_at_most")))
+        .join(hits(files).agg((F.avg("count") <= 2).alias("two_files_on_average")))
+        .select("*", F.lit(2 * written < snapshot.rows).alias("less_than_half_rewritten"))
+    )
+
+
 def optimize_report(spark, sf_dir):
     store = _fragmented(spark, sf_dir)
     return sk.optimize_report(store, "lineitem", 0, sk.compact(store, "lineitem"))
@@ -747,7 +779,7 @@ _QUERIES = (
     bronze_layer, silver_layer, gold_layer, gold_fan_out, checkpoint_log, lineage,
     dry_run, stage_metrics, full_pipeline, failed_run, run_ids,
     sample_reservoir, sample_reused, approx_shape, null_profile_rollup, rule_quarantine, quarantine_clean,
-    ingest_malformed, schema_merge_nested, zorder_two_columns,
+    ingest_malformed, schema_merge_nested, zorder_two_columns, zorder_incremental,
     silver_written_once, incremental_run, incremental_writes, merge_upsert,
 )
 
@@ -996,6 +1028,10 @@ def _oracle_sql() -> dict[str, str]:
                    round(CASE WHEN {_EARLY} THEN o_totalprice::FLOAT::DOUBLE ELSE o_totalprice END / 1000) AS price,
                    'struct<key:int>' AS old_type FROM orders
         """,
+        "zorder_incremental": """
+            SELECT count(*) AS row_count, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS revenue, true AS two_runs_at_most,
+                   true AS two_files_on_average, true AS less_than_half_rewritten FROM orders
+        """,
         "zorder_two_columns": """
             SELECT count(*) AS row_count, true AS l_orderkey_is_narrow, true AS l_partkey_is_narrow FROM lineitem
         """,

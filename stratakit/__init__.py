@@ -1,6 +1,8 @@
 """Layered batch pipelines on plain Parquet: ingest, versioned tables, checks, layout, full runs."""
 
-from stratakit.operators.layout import clustered_writer, compact, optimize_report, optimize_table, write_clustered, zorder
+from stratakit.operators.layout import (
+    clustered_writer, compact, optimize_report, optimize_table, write_clustered, zorder, zorder_incremental,
+)
 from stratakit.operators.membership import mark_members
 from stratakit.operators.quality import (
     approx_shape,
@@ -73,4 +75,5 @@ __all__ = [
     "validation_report",
     "write_clustered",
     "zorder",
+    "zorder_incremental",
 ]

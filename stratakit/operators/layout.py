@@ -1,7 +1,8 @@
 """Table maintenance: merge small files, and cluster rows by several columns.
 
 Compaction rewrites small files only and leaves large ones, and clustered folders, where they are. Clustering
-rewrites the folders that are not clustered by the same columns yet, as one key range.
+rewrites the folders that are not clustered by the same columns yet, as one key range. Incremental clustering
+makes what came a run of its own, and merges runs only where too many hold the same keys.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -349,6 +350,139 @@ def _zorder(
     return store.rewrite([laid], snapshot, stale, clustered_by=by)
 
 
+# ---- runs ----------------------------------------------------------------------------------------
+
+Box = list[tuple[Any, Any]]
+"""The least and the largest sort key of each clustering column."""
+
+
+@dataclass
+class Run:
+    """Folders that are, or are to be, laid out as one key range."""
+
+    folders: list[Folder]
+    box: Box
+    settled: bool
+
+    @property
+    def bytes(self) -> int:
+        return sum(f.bytes for f in self.folders)
+
+    def join(self, other: Run) -> Run:
+        box = [(min(a[0], b[0]), max(a[1], b[1])) for a, b in zip(self.box, other.box)]
+        return Run(self.folders + other.folders, box, False)
+
+
+def _deepest(boxes: list[Box], among: list[int], column: int = 0) -> list[int]:
+    """The most boxes that have a point in common; some box begins there, in every column."""
+    if not among or column == len(boxes[among[0]]):
+        return among
+    best: list[int] = []
+    for point in sorted({boxes[i][column][0] for i in among}):
+        inside = [i for i in among if boxes[i][column][0] <= point <= boxes[i][column][1]]
+        if len(inside) > len(best):
+            found = _deepest(boxes, inside, column + 1)
+            best = found if len(found) > len(best) else best
+    return best
+
+
+def _merged_runs(runs: list[Run], most_overlap: int) -> list[Run]:
+    """Runs joined until no point of the key space is in more than ``most_overlap`` of them.
+
+    Where too many meet, the smallest join, and with them each next larger run that they have grown to half of. So
+    a row is written again only as its run doubles, about log(table / append) times.
+    """
+    runs = list(runs)
+    while True:
+        met = _deepest([r.box for r in runs], list(range(len(runs))))
+        if len(met) <= most_overlap:
+            return runs
+        order = sorted((runs[i] for i in met), key=lambda r: r.bytes)
+        number = len(order) - most_overlap + 1
+        while number < len(order) and 2 * sum(r.bytes for r in order[:number]) >= order[number].bytes:
+            number += 1
+        joined = order[0]
+        for run in order[1:number]:
+            joined = joined.join(run)
+        runs = [r for r in runs if not any(r is x for x in order[:number])] + [joined]
+
+
+def _bound(value: Any) -> Any:
+    """A bound that compares with all others: NaN sorts above all numbers."""
+    return math.inf if isinstance(value, float) and math.isnan(value) else value
+
+
+def _bounds_of(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    keys = [_sort_key(df, c) for c in columns]
+    return [f(key).alias(f"__{name}{i}") for i, key in enumerate(keys) for f, name in ((F.min, "low"), (F.max, "high"))]
+
+
+def _boxes(store: TableStore, snapshot: Snapshot, folders: Sequence[Folder], columns: Sequence[str]) -> dict[str, Box]:
+    """Of each folder with rows; what was not kept with its write is measured by a scan of the key columns."""
+    boxes = store.saved_bounds(snapshot.table, columns)
+    left = [f for f in folders if f.path not in boxes]
+    if left:
+        rows = store.read_with_folders(snapshot, left)
+        for r in rows.groupBy("__folder").agg(*_bounds_of(rows, columns)).collect():
+            values = list(map(_bound, r[1:]))
+            boxes[r[0]] = list(zip(values[::2], values[1::2]))
+    return boxes
+
+
+def zorder_incremental(
+    store: TableStore,
+    table: str,
+    columns: Sequence[str],
+    target_file_bytes: int = TARGET_FILE_BYTES,
+    most_overlap: int = 2,
+) -> int:
+    """Cluster what came since and leave the rest, as long as few runs hold the same keys; gives the version to read.
+
+    All folders that are not clustered by these columns yet, and runs smaller than a file, become one run. At no point
+    of the key space more than ``most_overlap`` runs meet afterwards; to that end the smallest that do are merged.
+    Appends in the order of the keys therefore never rewrite old rows, and others rewrite them only as runs double.
+    A run's bounds are taken in the job that writes it and kept beside it, so old runs are not read to compare them.
+    Each new run is a version of its own. No version is made if nothing came and no runs are to be merged.
+    """
+    return _zorder_incremental(store, store.snapshot(table), columns, target_file_bytes, most_overlap).version
+
+
+def _zorder_incremental(
+    store: TableStore, snapshot: Snapshot, columns: Sequence[str], target_file_bytes: int, most_overlap: int
+) -> Snapshot:
+    if not columns:
+        raise ValueError("give columns to cluster by")
+    if most_overlap < 1:
+        raise ValueError("at least one run holds a point")
+    by = tuple(columns)
+    boxes = _boxes(store, snapshot, snapshot.folders, by)
+    # A folder without rows has no box, and stays.
+    each = [Run([f], boxes[f.path], f.clustered_by == by) for f in snapshot.folders if f.path in boxes]
+    small = [r for r in each if r.settled and r.bytes < target_file_bytes]
+    fresh = [r for r in each if not r.settled]
+    if fresh or len(small) > 1:
+        first, *others = fresh + small
+        first.settled = False
+        for run in others:
+            first = first.join(run)
+        each = [r for r in each if r.settled and r.bytes >= target_file_bytes] + [first]
+    for run in _merged_runs(each, most_overlap):
+        if not run.settled:
+            snapshot = _write_run(store, snapshot, run, by, target_file_bytes)
+    return snapshot
+
+
+def _write_run(store: TableStore, snapshot: Snapshot, run: Run, by: tuple[str, ...], target_file_bytes: int) -> Snapshot:
+    rows = sum(f.rows for f in run.folders)
+    laid = cluster(store.read_snapshot(snapshot, run.folders), by, _file_count(run.bytes, target_file_bytes), rows)
+    seen = Observation()
+    after = store.rewrite([laid.observe(seen, *_bounds_of(laid, by))], snapshot, run.folders, clustered_by=by)
+    found = seen.get
+    bounds = [(_bound(found[f"__low{i}"]), _bound(found[f"__high{i}"])) for i in range(len(by))]
+    store.save_bounds(snapshot.table, after.folders[-1], by, bounds)
+    return after
+
+
 # ---- report --------------------------------------------------------------------------------------
 
 
@@ -357,10 +491,16 @@ def optimize_table(
     table: str,
     zorder_columns: Sequence[str] | None = None,
     target_file_bytes: int = TARGET_FILE_BYTES,
+    most_overlap: int | None = None,
 ) -> dict[str, Any]:
-    """Compact a table, or cluster it if columns are given, and report the files before and after."""
+    """Compact a table, or cluster it if columns are given, and report the files before and after.
+
+    With ``most_overlap`` the clustering is incremental, with at most so many runs at any point of the key space.
+    """
     before = store.snapshot(table)
-    if zorder_columns:
+    if zorder_columns and most_overlap is not None:
+        after = _zorder_incremental(store, before, zorder_columns, target_file_bytes, most_overlap)
+    elif zorder_columns:
         after = _zorder(store, before, zorder_columns, target_file_bytes)
     else:
         after = _compact(store, before, target_file_bytes)

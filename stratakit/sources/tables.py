@@ -327,6 +327,23 @@ class TableStore:
         found = list_sizes(self.spark, self._folder(table, "data", folder.path))
         return {f: found[f] for f in folder.only} if folder.only else found
 
+    def save_bounds(self, table: str, folder: Folder, columns: Sequence[str], bounds: Sequence[Sequence[Any]]) -> None:
+        """Keep the least and the largest value of each column in a write folder, whose files never change."""
+        record = {"columns": list(columns), "bounds": [list(pair) for pair in bounds]}
+        create_text(self.spark, self._folder(table, "bounds", f"{folder.path}.json"), json.dumps(record) + "\n")
+
+    def saved_bounds(self, table: str, columns: Sequence[str]) -> dict[str, list[tuple[Any, Any]]]:
+        """Bounds of the folders that have any for just these columns, by the folder's path."""
+        names = list_names(self.spark, self._folder(table, "bounds"))
+        texts = {n.removesuffix(".json"): read_text(self.spark, self._folder(table, "bounds", n)) for n in names}
+        records = {path: json.loads(text) for path, text in texts.items() if text.endswith("\n")}
+        return {p: [tuple(pair) for pair in r["bounds"]] for p, r in records.items() if r["columns"] == list(columns)}
+
+    def read_with_folders(self, snapshot: Snapshot, folders: Sequence[Folder]) -> DataFrame:
+        """The rows of some folders with the path of the folder that each lies in, as ``__folder``."""
+        rows = self._scan(snapshot, folders)
+        return rows.select(*self._names(snapshot), F.concat(F.lit(f"{WRITE_COLUMN}="), WRITE_COLUMN).alias("__folder"))
+
     def place_in_folder(self, file_path: str) -> tuple[str, str]:
         """Name of the write folder that a file lies in, and its place there."""
         found = re.search(rf"/({WRITE_COLUMN}=[0-9a-f]+)/(.+)$", file_path)
