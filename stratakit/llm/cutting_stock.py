@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from stratakit.llm.common import bound_batches, stored
 from stratakit.llm.tokens import END, default_path, tokenizer
 
-LENGTH, WIDTH = 2048, 16
+LENGTH, WIDTH = 2048, 8
 RANKED_TOGETHER = 50_000
 BYTES_AT_ONCE = 8 << 20
 
@@ -31,16 +31,18 @@ BYTES_AT_ONCE = 8 << 20
 
 def best_pattern(values: np.ndarray, capacity: int) -> np.ndarray:
     """Knapsack with repetition: how many pieces of each class (of sizes 1, 2, ...) are worth most."""
-    useful = np.flatnonzero(values > 1e-12)
     worth, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    # Read from its end, it begins with the worth of the room that a piece of the first class leaves.
+    left = np.zeros(capacity + 1)
+    priced = np.where(values > 1e-12, values, -np.inf)
     for room in range(1, capacity + 1):
-        fit = useful[useful < room]
-        worth[room] = worth[room - 1]
-        if len(fit):
-            options = worth[room - 1 - fit] + values[fit]
-            i = int(options.argmax())
-            if options[i] > worth[room] + 1e-12:
-                worth[room], last[room] = options[i], fit[i]
+        options = left[capacity + 1 - room :] + priced[:room]
+        c = int(options.argmax())
+        if options[c] > worth[room - 1] + 1e-12:
+            worth[room], last[room] = options[c], c
+        else:
+            worth[room] = worth[room - 1]
+        left[capacity - room] = worth[room]
     pattern, room = np.zeros(len(values), np.int64), capacity
     while room > 0:
         if last[room] < 0:
@@ -51,24 +53,58 @@ def best_pattern(values: np.ndarray, capacity: int) -> np.ndarray:
     return pattern
 
 
-def solve(demand: np.ndarray, capacity: int, gap: float = 1e-3) -> list[tuple[np.ndarray, float]]:
+def _first_patterns(demand: np.ndarray, capacity: int) -> np.ndarray:
+    """A column for each class, the largest class first: as many of it as fit, the room left filled by size.
+
+    Classes in falling order give a triangular basis. Where its solution is not feasible, single classes are used.
+    """
+    asked = np.flatnonzero(demand)[::-1]
+    basis, left = np.zeros((len(demand), len(asked))), demand.astype(np.float64).copy()
+    for i, c in enumerate(asked):
+        own = capacity // (c + 1)
+        basis[c, i] = own
+        room, times = capacity - own * (c + 1), max(left[c], 0) / own
+        for d in asked[i + 1 :]:
+            if room <= d or left[d] <= 0 or not times:
+                continue
+            fit = min(room // (d + 1), int(left[d] / times))
+            basis[d, i] = fit
+            room -= fit * (d + 1)
+            left[d] -= fit * times
+        left[c] = 0
+    return basis
+
+
+def solve(demand: np.ndarray, capacity: int, gap: float = 1e-9) -> list[tuple[np.ndarray, float]]:
     """Patterns and how often each is used, to cover the demand of each class with few sequences.
 
-    Revised simplex: it begins with one pattern for each class, and a pattern whose value at the present
-    prices exceeds one by the gap enters until there is none: no solution is better by more than that share.
+    Revised simplex: a pattern whose value at the present prices exceeds one by the gap enters until there is
+    none: no solution is better by more than that share. It also ends where a lower bound, rounded up, equals the
+    sequences now, rounded up, as no whole number of sequences below can do. Bounds are all pieces laid end to end, and in
+    each round the sequences at the present prices by the best pattern's value. The demand is perturbed by less than a thousandth of a
+    piece, differently for each class, so that no step is degenerate and the method can't cycle; the basis found is
+    then used for the demand itself. The inverse is made anew at times, against rounding errors.
     """
     asked = np.flatnonzero(demand)
-    basis = np.zeros((len(asked), len(asked)))
-    for i, c in enumerate(asked):
-        basis[i, i] = capacity // (c + 1)
-    inverse = np.diag(1 / basis.diagonal()) if len(asked) else basis
-    used = inverse @ demand[asked]
-    while len(asked):
+    if not len(asked):
+        return []
+    basis = _first_patterns(demand, capacity)[asked][:, ::-1].copy()
+    shifted = demand[asked] + np.random.default_rng(5).uniform(1e-4, 1e-3, len(asked))
+    inverse = np.linalg.inv(basis)
+    used = inverse @ shifted
+    if used.min() < 0:
+        basis = np.diag(np.floor(capacity / (asked + 1.0)))
+        inverse = np.linalg.inv(basis)
+        used = inverse @ shifted
+    entered, bound = 0, demand @ np.arange(1, len(demand) + 1) / capacity
+    while True:
         prices = inverse.sum(0)
         values = np.zeros(len(demand))
         values[asked] = prices
         column = best_pattern(values, capacity)[asked]
-        if column @ prices <= 1 + gap:
+        worth, sequences = column @ prices, demand[asked] @ prices
+        bound = max(bound, sequences / worth)
+        if worth <= 1 + gap or np.ceil(bound - 1e-6) >= np.ceil(sequences - 1e-6):
             break
         change = inverse @ column
         steps = np.where(change > 1e-9, used / np.where(change > 1e-9, change, 1), np.inf)
@@ -76,10 +112,15 @@ def solve(demand: np.ndarray, capacity: int, gap: float = 1e-3) -> list[tuple[np
         step = steps[out]
         used = np.maximum(used - step * change, 0)
         used[out] = step
-        inverse[out] /= change[out]
-        others = np.arange(len(asked)) != out
-        inverse[others] -= np.outer(change[others], inverse[out])
+        row = inverse[out] / change[out]
+        inverse -= np.outer(change, row)
+        inverse[out] = row
         basis[:, out] = column
+        entered += 1
+        if entered % 200 == 0:
+            inverse = np.linalg.inv(basis)
+            used = np.maximum(inverse @ shifted, 0)
+    used = np.maximum(np.linalg.solve(basis, demand[asked].astype(np.float64)), 0)
     patterns = []
     for i in range(len(asked)):
         pattern = np.zeros(len(demand), np.int64)
