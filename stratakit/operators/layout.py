@@ -197,7 +197,9 @@ class Placement:
                 cell = _interleave(found, bits)
                 at = np.minimum(np.searchsorted(met, cell), max(len(met) - 1, 0))
                 known = met[at] == cell if len(met) else np.zeros(len(cell), bool)
-                width = np.where(known, shares[at] * salt.to_numpy() / SALT_STEPS, 0.0) if len(met) else 0.0
+                # A cell that is small beside a file lies whole in the file that its middle is in.
+                spread = np.where(shares[at] * files < 0.5, 0.5, salt.to_numpy() / SALT_STEPS) if len(met) else 0.0
+                width = np.where(known, shares[at] * spread, 0.0) if len(met) else 0.0
                 yield pd.DataFrame({"cell": cell, "spot": (starts[at] if len(met) else 0.0) + width})
 
         spot = F.least(F.floor(F.col("__place.spot") * files), F.lit(files - 1)).cast("int")
