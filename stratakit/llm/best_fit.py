@@ -101,10 +101,10 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, pieces, held = tokenizer(path), [], 0
-        encode = words.encode
         for batch in batches:
-            for doc, missing, text in zip(batch["doc_id"], batch["doc_id"].isna(), batch["text"]):
-                ids = encode(text or "") + END
+            found = words.encode_all([text or "" for text in batch["text"]])
+            for doc, missing, own in zip(batch["doc_id"], batch["doc_id"].isna(), found):
+                ids = own + END
                 for at in range(0, len(ids), 4 * length):
                     pieces.append((None if missing else int(doc), at // 4, ids[at : at + 4 * length]))
                     held += len(pieces[-1][2]) // 4

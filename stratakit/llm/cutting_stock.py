@@ -156,11 +156,11 @@ def token_pieces(df: DataFrame, id_col: str, text_col: str, path: str, length: i
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = tokenizer(path)
-        encode = words.encode
         for batch in batches:
             rows, held = [], 0
-            for doc, missing, text in zip(batch["doc_id"], batch["doc_id"].isna(), batch["text"]):
-                ids = encode(text or "") + END
+            found = words.encode_all([text or "" for text in batch["text"]])
+            for doc, missing, own in zip(batch["doc_id"], batch["doc_id"].isna(), found):
+                ids = own + END
                 for at in range(0, len(ids), 4 * length):
                     piece = ids[at : at + 4 * length]
                     rows.append((None if missing else int(doc), at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, piece if with_ids else None))
