@@ -32,6 +32,8 @@ from stratakit.functions.schemas import holds_map
 from stratakit.sources.tables import WRITE_COLUMN, Folder, Snapshot, TableStore, Transform
 
 TARGET_FILE_BYTES = 256 * 1024**2
+# Rows that one task sorts for a file, at most on average, however small they are stored.
+FILE_ROWS = 2_000_000
 # A file is small if it has less than this part of the target.
 SMALL_FILE_SHARE = 0.25
 # Rows that reach the driver to find the range edges of a clustering: so many for each file, and at least.
@@ -47,6 +49,11 @@ def _file_count(size: int, target_file_bytes: int) -> int:
     return max(1, math.ceil(size / target_file_bytes))
 
 
+def _sorted_file_count(size: int, rows: float, target_file_bytes: int) -> int:
+    """Files to lay rows out in, each of which one task sorts: rows that are stored small are as large in memory."""
+    return max(_file_count(size, target_file_bytes), math.ceil(rows / FILE_ROWS))
+
+
 # ---- compaction ----------------------------------------------------------------------------------
 
 
@@ -293,7 +300,7 @@ def write_clustered(
     last = store.current(table)
     each = last.bytes / last.rows if last.rows else _row_bytes(df)
     rows = float(sample["__weight"].sum())
-    files = _file_count(int(rows * each), target_file_bytes)
+    files = _sorted_file_count(int(rows * each), rows, target_file_bytes)
     if files == 1:
         laid = df.coalesce(1).sortWithinPartitions(*[quoted(name) for name in columns])
     else:
@@ -348,7 +355,7 @@ def _zorder(
     if not stale or (len(stale) == 1 and stale[0].clustered_by == by):
         return snapshot
     size, rows = sum(f.bytes for f in stale), sum(f.rows for f in stale)
-    laid = cluster(store.read_snapshot(snapshot, stale), columns, _file_count(size, target_file_bytes), rows)
+    laid = cluster(store.read_snapshot(snapshot, stale), columns, _sorted_file_count(size, rows, target_file_bytes), rows)
     return store.rewrite([laid], snapshot, stale, clustered_by=by)
 
 
@@ -476,7 +483,7 @@ def _zorder_incremental(
 
 def _write_run(store: TableStore, snapshot: Snapshot, run: Run, by: tuple[str, ...], target_file_bytes: int) -> Snapshot:
     rows = sum(f.rows for f in run.folders)
-    laid = cluster(store.read_snapshot(snapshot, run.folders), by, _file_count(run.bytes, target_file_bytes), rows)
+    laid = cluster(store.read_snapshot(snapshot, run.folders), by, _sorted_file_count(run.bytes, rows, target_file_bytes), rows)
     seen = Observation()
     after = store.rewrite([laid.observe(seen, *_bounds_of(laid, by))], snapshot, run.folders, clustered_by=by)
     found = seen.get
