@@ -111,6 +111,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
                     if held >= window_tokens:
                         yield packed(pieces)
                         pieces, held = [], 0
+        words.forget()
         yield packed(pieces)
 
     bound_batches(df.sparkSession)

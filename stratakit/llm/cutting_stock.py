@@ -169,6 +169,7 @@ def token_pieces(df: DataFrame, id_col: str, text_col: str, path: str, length: i
                     yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
                     rows, held = [], 0
             yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
+        words.forget()
 
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
     bound_batches(df.sparkSession)

@@ -71,9 +71,14 @@ class WordTokenizer:
         ids = self.inner.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(ids.values()) + 1, bool)
         self.ends[[i for token, i in ids.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-        self.held = 0
+        self.known: dict[str, bytes]
+        self.older: dict[str, bytes]
+        self.held: int
+        self.forget()
+
+    def forget(self) -> None:
+        """Drops the cached words; the vocabulary stays. A worker that waits for other work then holds little."""
+        self.known, self.older, self.held = {"": b""}, {}, 0
 
     def encode(self, text: str) -> bytes:
         return next(self.encode_all([text]))
@@ -94,7 +99,7 @@ class WordTokenizer:
                     own[i] = self.known[words[i]]
                 yield b"".join(own)
             if self.held > 2 * CACHE_BYTES:  # one text alone with words beyond all bounds
-                self.known, self.older, self.held = {"": b""}, {}, 0
+                self.forget()
 
     def _split(self, text: str) -> list[str]:
         """Strings whose ids, one after another, are those of the text."""
