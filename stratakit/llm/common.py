@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,14 +43,21 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """At most so many rows at once go to a Python worker in this session; a smaller setting stays.
+def bound_batches(spark: SparkSession, rows: int = 1000, read: int = 256) -> None:
+    """At most so many rows at once go to a Python worker or are read from Parquet in this session; smaller settings stay.
 
-    A batch of whole texts stands in memory several times, on both sides, so Spark's 10000 rows are many.
+    A batch of whole texts stands in memory several times, on both sides, so Spark's 10000 rows are many. So are 4096
+    rows read at once: their texts are one array of tens of MB for each task, which the heap grows for and seldom gives back.
     """
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(setting)) <= rows:
-        spark.conf.set(setting, str(rows))
+    for setting, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.parquet.columnarReaderBatchSize", read)):
+        if not 0 < int(spark.conf.get(setting)) <= most:
+            spark.conf.set(setting, str(most))
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: dict[str, pa.DataType]) -> DataFrame:
+    """Rows of the driver as a table. They go as one Arrow table, so no Python worker is started to unpickle them."""
+    columns = zip(*rows) if rows else [()] * len(schema)
+    return spark.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(columns, schema.values())], list(schema)))
 
 
 def sliced(texts: Iterable[str], most: int) -> Iterator[tuple[int, int]]:

@@ -15,15 +15,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratakit.llm.common import bound_batches, stored
+from stratakit.llm.common import bound_batches, small_table, stored
 from stratakit.llm.tokens import END, default_path, tokenizer
 
 LENGTH, WIDTH = 2048, 8
 RANKED_TOGETHER = 50_000
-BYTES_AT_ONCE = 8 << 20
+BYTES_AT_ONCE = 1 << 20
+"""Of ids that a task hands over together; they stand in memory several times, on both sides."""
 
 
 # ---- the linear program --------------------------------------------------------------------------
@@ -213,8 +215,8 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
             at[c] += each * times
             slot += each
         sequence += times
-    schema = "class int, low long, high long, each int, first long, slot int"
-    plan = F.broadcast(df.sparkSession.createDataFrame(table, schema))
+    schema = {"class": pa.int32(), "low": pa.int64(), "high": pa.int64(), "each": pa.int32(), "first": pa.int64(), "slot": pa.int32()}
+    plan = F.broadcast(small_table(df.sparkSession, table, schema))
 
     # Ranks: within buckets of a hash, and the sizes of the buckets before.
     buckets = max(1, -(-sum(total.values()) // RANKED_TOGETHER))

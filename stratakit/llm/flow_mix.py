@@ -13,11 +13,12 @@ import json
 from collections import deque
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratakit.llm.common import stored
+from stratakit.llm.common import small_table, stored
 
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 BUCKET_ROWS = 2000
@@ -153,8 +154,8 @@ def mix(df: DataFrame, sources: Column, size: Column, quotas: dict | None = None
         begin = at.get(p, 0)
         ranges += [(p, s, begin, begin + words, lap, lap * capacity[p]) for lap in range(most)]
         at[p] = begin + words
-    spark = df.sparkSession
-    lines = spark.createDataFrame(ranges, "pattern string, source string, low long, high long, lap int, ahead long")
+    schema = {"pattern": pa.string(), "source": pa.string(), "low": pa.int64(), "high": pa.int64(), "lap": pa.int32(), "ahead": pa.int64()}
+    lines = small_table(df.sparkSession, ranges, schema)
 
     buckets = max(1, -(-sum(r["rows"] for r in known) // bucket_rows))
     base = base.withColumn("bucket", F.pmod(F.shiftright("hash", 8), F.lit(buckets)))
