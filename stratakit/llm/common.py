@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from stratakit.sources.storage import remove_scratch, scratch_folder
 
 SPACES = "\\x20\\x09-\\x0D"
+BROADCAST_ROWS = 500_000
+"""Rows of a table that grows with the input which are sent to all executors, at most; joins with more of them sort."""
 
 
 _noted: list[list[str]] = []
@@ -43,6 +45,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def by_rows(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A stored table as one side of a join that sorts if the table has more than BROADCAST_ROWS rows.
+
+    Spark goes by the bytes of the files. Close ids and repeated values take a few bits there and some 50 bytes in the
+    driver's heap, so less than the 10 MB that Spark broadcasts may be hundreds of MB. Fewer rows are left to Spark.
+    """
+    return df.hint("merge") if (df.count() if rows is None else rows) > BROADCAST_ROWS else df
+
+
 def bound_batches(spark: SparkSession, rows: int = 1000, read: int = 256) -> None:
     """At most so many rows at once go to a Python worker or are read from Parquet in this session; smaller settings stay.
 
@@ -102,7 +113,9 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = stored(links.select("a", "b").union(links.select("b", "a")).distinct())
     labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("component")))
+    ids = labels.count()
     while True:
+        labels = by_rows(labels, ids)
         near = (
             both.join(labels.withColumnRenamed("id", "b"), "b")
             .groupBy(F.col("a").alias("id"))

@@ -25,13 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType
 
-from stratakit.llm.common import bound_batches, components, sliced, stored
+from stratakit.llm.common import BROADCAST_ROWS, bound_batches, by_rows, components, sliced, stored
 
 PARTS, CHUNKS, DISTANCE = 48, 8, 15
 REJECT = 24
 """Pairs that differ in more values are not confirmed; at similarity 0.85 that has a chance of one in a million."""
-BROADCAST_IDS = 500_000
-"""Ids sent to all executors, at most; beyond that the join shuffles."""
 SLICE = 2_000_000
 
 
@@ -163,7 +161,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.col("node").alias("a"), F.col("id").alias("b")
     )
     links = stored(same.distinct()).union(_near_links(df, id_col, text_col, words, percent, classes))
-    found = components(links).select(F.col("id").alias("linked"), "component")
+    found = by_rows(components(links)).select(F.col("id").alias("linked"), "component")
     rows = base.join(found, F.col("id") == F.col("linked"), "left")
     component = F.coalesce("component", "id")
     return rows.select(
@@ -175,12 +173,15 @@ def _near_links(df, id_col, text_col, words, percent, classes) -> DataFrame:
     """Links (a, b) between classes, enough to tell their components."""
     keyed = classes.select("node", F.explode(_keys("signature")).alias("key"))
     several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    met = stored(keyed.join(several, "key"))
+    # Spark takes the keys for one row of each class and, having them as numbers, for less than the classes themselves.
+    met = stored(keyed.hint("merge").join(several, "key"))
     scores = stored(met.groupBy("node").agg(F.sum("members").alias("score")))
+    nodes = scores.count()
+    scores = by_rows(scores, nodes)
     signatures = stored(classes.join(scores, "node").select("node", "signature"))
 
     ids = scores.select(F.col("node").alias("id"))
-    if ids.count() <= BROADCAST_IDS:
+    if nodes <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
 
     def to_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -196,9 +197,10 @@ def _near_links(df, id_col, text_col, words, percent, classes) -> DataFrame:
 
     best = F.max_by("node", F.struct(F.col("score"), -F.col("node"))).alias("leader")
     leaders = met.join(scores, "node").groupBy("key").agg(best)
-    star = stored(met.join(leaders, "key").where("node <> leader").select(*_pair("node", "leader")).distinct())
+    star = met.hint("merge").join(leaders, "key").where("node <> leader").select(*_pair("node", "leader")).distinct()
+    star = by_rows(stored(star))
     links = _confirmed(_with_ends(star, signatures, "signature"), sets, percent)
-    named = components(links).select(F.col("id").alias("node"), "component")
+    named = by_rows(components(links)).select(F.col("id").alias("node"), "component")
     rows = met.join(named, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     several = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     left = stored(rows.join(several.where("low < high").select("key"), "key"))
@@ -209,10 +211,11 @@ def _near_links(df, id_col, text_col, words, percent, classes) -> DataFrame:
     for _ in range(2):
         able = _able(able, sets, percent)
     keys = left.groupBy("node").agg(F.collect_set("key").alias("keys"))
-    left = stored(left.join(able, "node").join(keys, "node").join(signatures, "node"))
+    left = stored(left.join(by_rows(able), "node").join(keys, "node").join(signatures, "node"))
     other = left.select(*[F.col(c).alias(f"its_{c}") for c in left.columns])
     most = F.least("shared", "its_shared")
-    rest = left.join(
+    # All keys of a node stand in each of its rows, side by side, which files pack to a fraction.
+    rest = left.hint("merge").join(
         other,
         F.expr("key = its_key and node < its_node and component <> its_component")
         & (100 * most >= percent * (F.col("size") + F.col("its_size") - most))
