@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratakit.llm import cutting_stock, flow_mix, language_gru, minhash_hamming, secret_markov
-from stratakit.llm.common import SPACES, discard, noting, stored
+from stratakit.llm.common import SPACES, by_rows, discard, noting, stored
 
 UNCERTAIN = 0.3
 """Documents whose best language has a smaller mean probability are rejected."""
@@ -56,8 +56,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = stored(minhash_hamming.near_duplicates(docs).where("id is not null"))
     others = found.groupBy("id").agg(F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
     others = stored(others.where("not kept or rows > 1").withColumnRenamed("id", "doc_id"))
-    once = docs.join(others.select("doc_id"), "doc_id", "left_anti")
-    repeated = docs.join(others.where("kept").select("doc_id"), "doc_id", "left_semi")
+    once = docs.join(by_rows(others).select("doc_id"), "doc_id", "left_anti")
+    repeated = docs.join(by_rows(others.where("kept")).select("doc_id"), "doc_id", "left_semi")
     order = "row_number() over (partition by doc_id order by text, lang, source, n_chars)"
     repeated = repeated.withColumn("_n", F.expr(order)).where("_n = 1")
     return once.select(*docs.columns).union(repeated.select(*docs.columns))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratakit.llm.common import bound_batches, small_table, stored
+from stratakit.llm.common import bound_batches, by_rows, small_table, stored
 from stratakit.llm.tokens import END, default_path, tokenizer
 
 LENGTH, WIDTH = 2048, 8
@@ -236,5 +236,5 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: st
     placed = placed.withColumn("offset", offset)
     if not with_ids:
         return placed.select(*kept, "sequence_id", "offset")
-    found = stored(placed.select("piece", "sequence_id", "offset"))
+    found = by_rows(stored(placed.select("piece", "sequence_id", "offset")), sum(total.values()))
     return whole.join(found, "piece").select(*kept, "ids", "sequence_id", "offset")
